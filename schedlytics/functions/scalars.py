@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 
 def round_half_even(col: Column, digits: int = 0) -> Column:
-    return F.bround(col, digits)
+    """Half-even on the binary value, as array libraries round: scale, round to the even neighbour, scale back."""
+    return F.rint(col) if digits == 0 else F.rint(col * 10.0**digits) / 10.0**digits
 
 
 def as_count(prediction: Column) -> Column:
     """A prediction as a whole count: negatives become 0, halves round to even."""
-    return F.when(prediction <= 0, F.lit(0)).otherwise(F.bround(prediction, 0)).cast("bigint")
+    return F.when(prediction <= 0, F.lit(0)).otherwise(F.rint(prediction)).cast("bigint")
 
 
 def safe_ratio(num: Column, den: Column) -> Column:

@@ -4,7 +4,7 @@ from importlib import import_module
 
 from schedlytics.registry import QUERIES, Query
 
-SECTIONS = ("sources",)
+SECTIONS = ("sources", "time", "scalar")
 
 
 def load() -> dict[str, Query]:
