@@ -4,7 +4,7 @@ from importlib import import_module
 
 from schedlytics.registry import QUERIES, Query
 
-SECTIONS = ("sources", "time", "scalar")
+SECTIONS = ("sources", "time", "scalar", "joined")
 
 
 def load() -> dict[str, Query]:

@@ -108,6 +108,10 @@ PORTABLE = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              JOIN companies ON o_custkey = company_id JOIN restaurants ON l_suppkey = restaurant_id
         WHERE l_returnflag <> 'N' AND group_id IS NOT NULL""",
+    "cluster_samples": """
+        SELECT c_custkey AS company_id, c_custkey % 4 AS cluster_id, CAST(c_nationkey AS BIGINT) AS area_id,
+               c_acctbal / 100 AS latitude, CAST(c_custkey % 97 AS DOUBLE) AS longitude
+        FROM customer WHERE c_acctbal > 5000 AND c_nationkey < 12""",
     "metric_pairs": """
         SELECT event_id, floor(value / 50) AS y, value / 50 + (event_id % 7 - 3) / CAST(4 AS DOUBLE) AS predictions
         FROM events""",
