@@ -2,7 +2,9 @@
 
 A contract is text such as ``"schedule_on d, client_id s, n i, share f, ok b"``.
 Kinds: ``i`` long, ``f`` double rounded to 6 digits, ``s`` string, ``b`` boolean,
-``d`` day as ``yyyy-MM-dd`` text.
+``d`` day as ``yyyy-MM-dd`` text. Sums of doubles depend on the order of
+addition in their last bits; a nudge well below the 6th digit keeps exact
+halves from rounding both ways.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Columns = list[tuple[str, str]]
+NUDGE = 3.3e-9
 
 
 def parse(text: str) -> Columns:
@@ -27,7 +30,7 @@ def conform(df: DataFrame, columns: Columns) -> DataFrame:
     """Select exactly the contract's columns with their declared types."""
     shapes = {
         "i": lambda c: F.col(c).cast("bigint"),
-        "f": lambda c: F.round(F.col(c).cast("double"), 6) + F.lit(0.0),
+        "f": lambda c: F.round(F.col(c).cast("double") + F.lit(NUDGE), 6) + F.lit(0.0),
         "s": lambda c: F.col(c).cast("string"),
         "b": lambda c: F.col(c).cast("boolean"),
         "d": lambda c: F.date_format(F.col(c).cast("date"), "yyyy-MM-dd"),
@@ -39,7 +42,7 @@ def conform_sql(inner: str, columns: Columns) -> str:
     """The same shaping as text for the checking engine."""
     shapes = {
         "i": "CAST({c} AS BIGINT)",
-        "f": "round(CAST({c} AS DOUBLE), 6) + CAST(0 AS DOUBLE)",
+        "f": f"round(CAST({{c}} AS DOUBLE) + CAST({NUDGE} AS DOUBLE), 6) + CAST(0 AS DOUBLE)",
         "s": "CAST({c} AS VARCHAR)",
         "b": "CAST({c} AS BOOLEAN)",
         "d": "strftime(CAST({c} AS DATE), '%Y-%m-%d')",

@@ -44,7 +44,7 @@ def seven_sql(value: str, prefix: str) -> str:
     """Check SQL over a list column ``{value}_xs`` of the non-null values and ``{value}_nulls``; central two-pass moments."""
     xs = f"{value}_xs"
     m = f"list_avg({xs})"
-    power = lambda p: f"list_avg(list_transform({xs}, v -> pow(v - {m}, {p})))"
+    power = lambda p: f"list_avg(list_transform({xs}, lambda v: pow(v - {m}, {p})))"
     flat = f"list_max({xs}) = list_min({xs})"
     return ",\n".join([
         f"list_min({xs}) AS {prefix}_min",

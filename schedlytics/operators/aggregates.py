@@ -19,14 +19,16 @@ def keep_groups(df: DataFrame, keys: Sequence[str], having: Column) -> DataFrame
     return df.join(good, list(keys), "left_semi")
 
 
-def quantile_higher(df: DataFrame, value: str, q: float) -> DataFrame:
-    """One row: the exact quantile at sorted index ceil(q * (n - 1)).
+def quantiles_higher(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
+    """One row (q1, q2, ...): the exact quantiles at sorted index ceil(q * (n - 1)), and the maximum as ``top``.
 
     The interpolated quantile lies between that element and the one below it,
-    so the answer is the smallest value not under it.
+    so the answer is the smallest value not under it. Two aggregate passes; no
+    sort and no row numbering of the frame.
     """
-    mid = df.select(F.percentile(F.col(value), F.lit(q)).alias("mid"))
-    return df.where(F.col(value) >= mid.scalar()).select(F.min(value).alias("value"))
+    x = F.col(value)
+    mids = df.select(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).scalar()
+    return df.select(*[F.min(F.when(x >= mids[i], x)).alias(f"q{i + 1}") for i in range(len(qs))], F.max(x).alias("top"))
 
 
 def distinct_with_null(col: Column) -> Column:
@@ -46,3 +48,15 @@ def metrics_long(df: DataFrame, scope: str, domain: str, metrics: Sequence[str])
     casted = df.select(*[F.col(m).cast("double").alias(m) for m in metrics])
     return casted.unpivot([], list(metrics), "name", "value").select(
         F.lit(scope).alias("scope"), F.lit(domain).alias("domain"), "name", "value")
+
+
+def with_total_row(df: DataFrame, key: str, name: str, totals: dict) -> DataFrame:
+    """Rows of an aggregated frame with ``key`` as text, plus one "All" row of the given functions."""
+    rows = df.select(F.col(key).cast("string").alias(name), *totals)
+    return rows.unionByName(df.select(F.lit("All").alias(name), *[fn(c).alias(c) for c, fn in totals.items()]))
+
+
+def melt_sizes(wide: DataFrame, key: str, sizes: Sequence[str], size_name: str, value_name: str, default: int) -> DataFrame:
+    """One row per (key, size) of a limit table with a column per size; a missing limit becomes ``default``."""
+    long = wide.unpivot([key], list(sizes), size_name, value_name)
+    return long.withColumns({size_name: F.col(size_name).cast("int"), value_name: F.coalesce(value_name, F.lit(default))})

@@ -9,3 +9,12 @@ def with_novelty(df: DataFrame) -> DataFrame:
         "is_new": d.isNull() | (d > 90),
         "is_partly_new": F.coalesce((d > 45) & (d < 90), F.lit(False)),
     })
+
+
+def unscheduled_branches(pool: DataFrame, period: list[str]) -> DataFrame:
+    """Branches of the pool without a valid schedule, ranked by demand; one aggregate replaces the set difference."""
+    from pyspark.sql import Window
+
+    totals = pool.groupBy(*period, "branch_id").agg(F.sum("orders").alias("orders"), F.count_if(F.col("schedule_status") == 0).alias("_valid"))
+    w = Window.partitionBy(*period).orderBy(F.desc("orders"), "branch_id")
+    return totals.where(F.col("_valid") == 0).drop("_valid").withColumn("place", F.row_number().over(w))
