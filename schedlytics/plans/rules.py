@@ -1,6 +1,55 @@
-from pyspark.sql import DataFrame
+"""Schedule validation rules. Each returns the violating rows or groups.
+
+A pool row is one proposed (day, group, branch) with ``schedule_status``: 0
+valid, other values left over, NULL not scheduled. Group rules aggregate with
+sets over small domains (types, categories), never over the rows of a group.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from schedlytics.functions import arrays
+from schedlytics.functions import scalars as S
+from schedlytics.operators.aggregates import keep_groups, melt_sizes, metrics_long, with_total_row
+from schedlytics.operators.dedupe import flag_repeats
+from schedlytics.sources.inline import inline_table
+
+GROUP_DAY = ["p_date", "group_id"]
+
+# Schedules allowed per category for 3, 4 and 5 restaurants a day (None: unlimited), first rule set.
+CATEGORY_LIMITS = [
+    (23, None, None, None), (21, None, None, None), (1, None, 3, 3), (18, 2, 3, 3), (17, 3, 3, 3), (27, 3, 4, 4),
+    (2, 2, 3, 3), (8, 2, 3, 3), (14, None, None, None), (22, 2, 3, 3), (28, None, None, None),
+]
+
+# The same, second rule set.
+CATEGORY_LIMITS_2 = [
+    (25, None, None, None), (26, None, None, None), (1, None, None, None), (21, 3, 3, 3), (27, None, None, None),
+    (22, 1, 1, 1), (17, 1, 1, 1), (24, 3, 3, 3), (15, 3, 3, 3), (19, 2, 2, 2), (20, None, None, None), (8, 3, 3, 3),
+    (9, 3, 3, 3), (11, 2, 2, 2), (30, 1, 1, 1), (28, None, None, None), (29, 2, 2, 2),
+]
+UNLIMITED = 100
+
+# Fixed values: (restaurants a day, type set, how many distinct types of the set may be scheduled).
+TYPE_SETS = [
+    (3, [1], 1), (3, [9], 1), (3, [5, 6, 7], 1),
+    (4, [1], 1), (4, [9], 1), (4, [5, 6, 7], 2),
+    (5, [1], 1), (5, [9], 1), (5, [5], 1), (5, [6], 1), (5, [7], 1),
+]
+
+
+def valid(pool: DataFrame) -> DataFrame:
+    return pool.where(F.col("schedule_status") == 0)
+
+
+def on_working_day(day: Column) -> Column:
+    """Sunday to Thursday."""
+    return ~F.weekday(day).isin(4, 5)
+
 
 def with_novelty(df: DataFrame) -> DataFrame:
     """is_new: never scheduled or more than 90 days ago; is_partly_new: strictly between 45 and 90 days ago."""
@@ -11,10 +60,189 @@ def with_novelty(df: DataFrame) -> DataFrame:
     })
 
 
-def unscheduled_branches(pool: DataFrame, period: list[str]) -> DataFrame:
-    """Branches of the pool without a valid schedule, ranked by demand; one aggregate replaces the set difference."""
-    from pyspark.sql import Window
+def descriptive(pool: DataFrame) -> DataFrame:
+    """Numbers of days, branches, restaurants, areas and groups."""
+    scheduled_day = F.when(F.col("schedule_status") == 0, F.col("p_date"))
+    one = pool.agg(F.count_distinct("p_date").alias("pool_days"), F.count_distinct(scheduled_day).alias("scheduled_days"),
+                   F.count_distinct("branch_id").alias("branches"), F.count_distinct("restaurant_id").alias("restaurants"),
+                   F.count_distinct("area_id").alias("areas"), F.count_distinct("group_id").alias("groups"))
+    return metrics_long(one, "Descriptive", "Stats", one.columns)
+
+
+def pair_coverage(pool: DataFrame) -> DataFrame:
+    """Pairs made against the pairs every (weekday, group) needs."""
+    st = F.col("schedule_status")
+    made = pool.agg(F.count_if(st == 0).alias("made"), F.count_if(st.isNotNull() & (st != 0)).alias("leftover"))
+    needed = pool.select(F.weekday("p_date").alias("day"), "group_id", "perday_resto").distinct().select(F.sum("perday_resto")).scalar()
+    share = F.col("made") / F.col("essential") * 100
+    one = made.withColumn("essential", needed).select(
+        F.col("made").alias("pairs_made"), F.col("made").alias("valid_pairs"), F.col("leftover").alias("leftover_pairs"),
+        (F.col("essential") - F.col("made")).alias("missing_pairs"), F.col("essential").alias("essential_pairs"),
+        share.alias("valid_percent"), (100 - share).alias("leftover_percent"), share.alias("after_leftover_percent"), (100 - share).alias("missing_percent"))
+    return metrics_long(one, "Comparative", "Pairs", one.columns)
+
+
+def perday_matrix(pool: DataFrame) -> DataFrame:
+    """Per day: number of groups by "made/size" (sizes 3 to 5), and share of groups by number of missing pairs, with "All" rows.
+
+    Long rows (day, kind, label, value): counts add up over days, shares are averaged over the days where they occur.
+    """
+    per = pool.groupBy(*GROUP_DAY).agg(F.max("perday_resto").alias("size"), F.count_if(F.col("schedule_status") == 0).alias("made"))
+    day = F.col("p_date").cast("string").alias("day")
+    inside = F.col("size").between(3, 5) & (F.col("made") <= F.col("size"))
+    counts = (per.where(inside).groupBy(day, F.concat_ws("/", "made", "size").alias("label")).agg(F.count("*").cast("double").alias("value")))
+    missing = per.groupBy(day, (F.col("size") - F.col("made")).alias("label")).agg(F.count("*").alias("n"))
+    shares = missing.withColumn("value", F.col("n") / F.sum("n").over(Window.partitionBy("day"))).select("day", F.col("label").cast("string"), "value")
+    total = lambda df, fn: df.unionByName(df.groupBy("label").agg(fn("value").alias("value")).withColumn("day", F.lit("All")))
+    return (total(counts, F.sum).withColumn("kind", F.lit("made/size"))
+            .unionByName(total(shares, F.avg).withColumn("kind", F.lit("missing share"))))
+
+
+def daily_totals(pool: DataFrame) -> DataFrame:
+    """Pairs and orders per day, all scheduled ones and the valid ones, with an "All" row."""
+    st, q = F.col("schedule_status"), F.col("orders")
+    daily = pool.where(st.isNotNull()).groupBy("p_date").agg(
+        F.count("*").alias("pairs"), F.count_if(st == 0).alias("valid_pairs"), F.sum(q).alias("orders"),
+        F.coalesce(F.sum(F.when(st == 0, q)), F.lit(0)).alias("valid_orders"))
+    return with_total_row(daily, "p_date", "day", {c: F.sum for c in ("pairs", "valid_pairs", "orders", "valid_orders")})
+
+
+def blackout(pool: DataFrame) -> DataFrame:
+    """Valid schedules inside the blackout period."""
+    return valid(pool).where(F.col("is_not_blackout") == 0)
+
+
+def branch_areas(pool: DataFrame) -> DataFrame:
+    """Schedules of branches with capacity 1 that serve more than one area on a day."""
+    spread = keep_groups(valid(pool), ["p_date", "branch_id"], F.min("area_id") != F.max("area_id"))
+    return spread.where(F.col("delivery_capacity") == 1)
+
+
+def branch_capacity(pool: DataFrame) -> DataFrame:
+    """(day, branch) scheduled more often than its capacity."""
+    per = valid(pool).groupBy("p_date", "branch_id").agg(F.count("*").alias("times_scheduled"), F.max("delivery_capacity").alias("delivery_capacity"))
+    return per.where(F.col("delivery_capacity") < F.col("times_scheduled"))
+
+
+def category_limit(pool: DataFrame, limits: Sequence[tuple], weekdays_only: bool) -> DataFrame:
+    """(group, size, category) scheduled more often than its limit; categories outside the table have none."""
+    rows = valid(pool)
+    if weekdays_only:
+        rows = rows.where(on_working_day(F.col("p_date")))
+    wide = inline_table(pool.sparkSession, "category, `3`, `4`, `5`", limits)
+    table = melt_sizes(wide, "category", ["3", "4", "5"], "perday_resto", "max_schedules", UNLIMITED)
+    times = rows.groupBy("group_id", "perday_resto", "category").agg(F.count("*").alias("times_scheduled"))
+    return times.join(F.broadcast(table), ["category", "perday_resto"]).where(F.col("max_schedules") < F.col("times_scheduled"))
 
+
+def type_duplicate(pool: DataFrame, type_col: str, order: Sequence[str]) -> DataFrame:
+    """Valid schedules that repeat a type of their group-day."""
+    return flag_repeats(valid(pool), [*GROUP_DAY, type_col], order).where("is_repeat").drop("is_repeat")
+
+
+def _type_days(pool: DataFrame, type_col: str) -> DataFrame:
+    rows = valid(pool).where(on_working_day(F.col("p_date")))
+    return rows.groupBy(*GROUP_DAY, "perday_resto").agg(F.count("*").alias("scheduled"), F.collect_set(type_col).alias("types"))
+
+
+def type_sets(pool: DataFrame, type_col: str, rules: Sequence[tuple] = TYPE_SETS) -> DataFrame:
+    """Group-days with more distinct types of a rule's set than it allows."""
+    table = inline_table(pool.sparkSession, "perday_resto, rule_types, allowed", rules)
+    joined = _type_days(pool, type_col).join(F.broadcast(table), "perday_resto")
+    found = joined.withColumn("found", arrays.overlap_size(F.col("types"), F.col("rule_types")))
+    return found.where(F.col("found") > F.col("allowed"))
+
+
+def type_mismatch(pool: DataFrame, type_col: str) -> DataFrame:
+    """Group-days whose number of schedules is not their size."""
+    return _type_days(pool, type_col).where(F.col("scheduled") != F.col("perday_resto"))
+
+
+def top_overlap(pool: DataFrame, top: DataFrame, limit: int = 2) -> DataFrame:
+    """Group-days with more than ``limit`` of the group's top restaurants; the list holds at most the group's top entries."""
+    placed = valid(pool).select(*GROUP_DAY, "restaurant_id").distinct()
+    both = placed.join(top.select("group_id", "restaurant_id"), ["group_id", "restaurant_id"])
+    per = both.groupBy(*GROUP_DAY).agg(F.count("*").alias("top_count"), F.sort_array(F.collect_list("restaurant_id")).alias("top_restaurants"))
+    return per.where(F.col("top_count") > limit)
+
+
+def new_per_day(pool: DataFrame) -> DataFrame:
+    """Group-days with more than one new restaurant."""
+    return with_novelty(valid(pool)).groupBy(*GROUP_DAY).agg(F.count_if("is_new").alias("n_new")).where(F.col("n_new") > 1)
+
+
+def partial_per_group(pool: DataFrame) -> DataFrame:
+    """Groups with more than two partly new restaurants."""
+    return with_novelty(valid(pool)).groupBy("group_id").agg(F.count_if("is_partly_new").alias("n_partly_new")).where(F.col("n_partly_new") > 2)
+
+
+def new_and_partial(pool: DataFrame) -> DataFrame:
+    """Group-days with new and partly new restaurants together."""
+    per = with_novelty(valid(pool)).groupBy(*GROUP_DAY).agg(F.count_if("is_new").alias("n_new"), F.count_if("is_partly_new").alias("n_partly_new"))
+    return per.where((F.col("n_new") > 0) & (F.col("n_partly_new") > 0))
+
+
+def premium_share(pool: DataFrame, limit: float = 0.4) -> DataFrame:
+    """Group-days whose premium restaurants exceed ``limit`` of the per-day size."""
+    rows = valid(pool)
+    per = rows.where(F.col("is_premium").isNotNull()).groupBy(*GROUP_DAY).agg(
+        F.count_if(F.col("is_premium") == 1).alias("n_premium"), F.count_if(F.col("is_premium") == 0).alias("n_regular"))
+    sizes = rows.select("group_id", "perday_resto").distinct()
+    share = S.safe_ratio(F.col("n_premium"), F.col("perday_resto"))
+    return per.join(sizes, "group_id").withColumn("share", share).where(F.col("share") > limit)
+
+
+def type_list(pool: DataFrame, type_col: str) -> DataFrame:
+    """Group-days that break the type-list rule.
+
+    Up to 3 a day: no type twice and type 10 present. Above: types 10 and 11
+    present, only 9 and 10 may repeat, and then all categories must differ.
+    """
+    t = F.col(type_col)
+    may_repeat = t.isin(9, 10)
+    per = valid(pool).groupBy(*GROUP_DAY, "perday_resto").agg(
+        F.count("*").alias("scheduled"), F.collect_set(t).alias("types"), F.collect_set("category").alias("categories"),
+        F.count_if(~may_repeat).alias("_others"))
+    distinct = F.size("types") == F.col("scheduled")
+    has = lambda x: F.array_contains("types", x)
+    others = F.size(F.filter("types", lambda x: ~x.isin(9, 10)))
+    small_ok = distinct & has(10)
+    large_ok = has(10) & has(11) & (distinct | ((F.col("_others") == others) & (F.size("categories") == F.col("scheduled"))))
+    return per.where(~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok)).drop("_others", "categories")
+
+
+def unscheduled_branches(pool: DataFrame, period: Sequence[str]) -> DataFrame:
+    """Branches of the pool without a valid schedule, ranked by demand; one aggregate replaces the set difference."""
     totals = pool.groupBy(*period, "branch_id").agg(F.sum("orders").alias("orders"), F.count_if(F.col("schedule_status") == 0).alias("_valid"))
     w = Window.partitionBy(*period).orderBy(F.desc("orders"), "branch_id")
     return totals.where(F.col("_valid") == 0).drop("_valid").withColumn("place", F.row_number().over(w))
+
+
+def require_scheduled(pool: DataFrame) -> DataFrame:
+    """Fail when nothing is scheduled; stops at the first valid row."""
+    if valid(pool).limit(1).isEmpty():
+        raise ValueError("the schedule is empty")
+    return pool
+
+
+def report(pool: DataFrame, top: DataFrame, type_col: str, list_type_col: str, order: Sequence[str]) -> DataFrame:
+    """(scope, domain, name, value) of every rule: the descriptive numbers and one violation count per rule.
+
+    The pool is read once per rule, so hand in a materialised one.
+    """
+    counted = [
+        ("Blackout", "blackout", blackout(pool)), ("Branch_Capacity", "branch_areas", branch_areas(pool)),
+        ("Branch_Capacity", "branch_capacity", branch_capacity(pool)),
+        ("Category", "category_limit", category_limit(pool, CATEGORY_LIMITS, True)),
+        ("Category", "category_limit_2", category_limit(pool, CATEGORY_LIMITS_2, False)),
+        ("Type", "type_duplicate", type_duplicate(pool, type_col, order)), ("Type", "type_sets", type_sets(pool, type_col)),
+        ("Type", "type_mismatch", type_mismatch(pool, type_col)), ("Type", "type_list", type_list(pool, list_type_col)),
+        ("Top_Restaurants", "top_overlap", top_overlap(pool, top)), ("Novelty", "new_per_day", new_per_day(pool)),
+        ("Novelty", "partial_per_group", partial_per_group(pool)), ("Novelty", "new_and_partial", new_and_partial(pool)),
+        ("Premium", "premium_share", premium_share(pool)),
+    ]
+    out = descriptive(pool).unionByName(pair_coverage(pool))
+    for domain, name, rows in counted:
+        out = out.unionByName(rows.agg(F.count("*").cast("double").alias("value")).select(
+            F.lit("Comparative").alias("scope"), F.lit(domain).alias("domain"), F.lit(name).alias("name"), "value"))
+    return out

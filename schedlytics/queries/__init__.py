@@ -4,7 +4,7 @@ from importlib import import_module
 
 from schedlytics.registry import QUERIES, Query
 
-SECTIONS = ("sources", "time", "scalar", "joined", "grouped", "windowed", "listed", "pipelines")
+SECTIONS = ("sources", "time", "scalar", "joined", "grouped", "windowed", "listed", "pipelines", "validated")
 
 
 def load() -> dict[str, Query]:

@@ -59,6 +59,7 @@ PORTABLE = {
                CASE WHEN p_partkey % 5 = 0 THEN 0 ELSE 1 END AS status,
                CASE WHEN p_partkey % 7 = 0 THEN 0 ELSE 1 END AS publish_status
         FROM part""",
+    "meals": "SELECT p_partkey AS meal_id, p_name || ' ' || p_brand AS meal_name FROM part",
     "menu_schedules": """
         SELECT l_orderkey * 10 + l_linenumber AS id, o_custkey AS company_id, l_suppkey * 2 + l_linenumber % 2 AS branch_id,
                l_partkey AS menu_id, CAST(o_orderdate AS DATE) AS schedule_on,
@@ -135,6 +136,7 @@ _REPEATED = {
            CASE WHEN (s_suppkey * 2 + j) % 12 = 0 THEN 3 ELSE 1 END AS home_delivery_category_status,
            7 + (s_suppkey * 2 + j) % 14 AS blackout_period""",
     ),
+    "menus_meals": ([("j", range(3))], "part", "p_partkey AS menu_id, p_partkey + j AS meal_id"),
     "branch_area": (
         [("j", range(2)), ("k", range(6))], "supplier",
         """s_suppkey * 2 + j AS branch_id, CAST((s_nationkey + 3 * j + 7 * k) % 25 AS BIGINT) AS area_id,
