@@ -8,9 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def attach_group(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
-    """Group values on every row: aggregate (map-side combined) and join back, rows with a null key get NULL."""
-    return df.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
+def attach_groups(df: DataFrame, *specs: tuple[Sequence[str], Sequence[Column]]) -> DataFrame:
+    """Group values on every row, for one or more (keys, aggregates); rows with a null key get NULL.
+
+    Each group table is a map-side combined aggregate of ``df`` itself, joined
+    back: unlike a window, a group holding a third of the rows never meets in
+    one task. ``df`` is read once more per spec, with only the columns it
+    needs, so hand in a table or a staged frame when it is costly.
+    """
+    out = df
+    for keys, aggs in specs:
+        out = out.join(df.groupBy(*keys).agg(*aggs), list(keys), "left")
+    return out
 
 
 def keep_groups(df: DataFrame, keys: Sequence[str], having: Column) -> DataFrame:

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import scalars as S
-from schedlytics.operators.aggregates import attach_group
-from schedlytics.operators.dedupe import keep_one, top_n
+from schedlytics.operators.aggregates import attach_groups
+from schedlytics.operators.dedupe import top_n
+from schedlytics.plans.entities import menu_is_open
+from schedlytics.plans.history import days_since
+from schedlytics.sources.sinks import stage
 
 
 def rollup_group(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -52,11 +55,12 @@ def schedule_weight(df: DataFrame) -> DataFrame:
 
 def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame, branches: DataFrame, branch_area: DataFrame, menus: DataFrame,
                    restaurants: DataFrame, schedules: DataFrame, companies: DataFrame, start: date,
-                   types: Sequence[int], categories: Sequence[int], type_col: str = "type") -> DataFrame:
-    """Group predictions with everything the scheduler needs; ``predictions``: p_date, group_id, branch_id, restaurant_id, orders."""
-    from schedlytics.plans.entities import menu_is_open
-    from schedlytics.plans.history import days_since
+                   types: Sequence[int], categories: Sequence[int], folder: str, type_col: str = "type") -> DataFrame:
+    """Group predictions with everything the scheduler needs; ``predictions``: p_date, group_id, branch_id, restaurant_id, orders.
 
+    The joined table is written below ``folder`` once, because the two group
+    maxima and the result all read it.
+    """
     hi = cal.lookback(start, days=1)
     served = branch_area.where(F.col("is_deliverable") == 1).select("branch_id").distinct()
     open_branches = (branches.where(F.col("status").isin(1, 2) & (F.col("home_delivery_category_status") != 3) & ~S.is_test(F.col("branch_name")))
@@ -74,8 +78,9 @@ def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame,
         "per_day_restaurants": S.clamp(F.col("per_day_restaurants"), 3, 5), "day": cal.weekday(F.col("p_date")),
         "y_week_no": cal.year_week(F.col("p_date")), "pair": F.concat_ws("_", "group_id", "restaurant_id"),
     })
-    with_group = attach_group(sized, ["p_date", "group_id"], F.max("orders").alias("group_day_max"))
-    return attach_group(with_group, ["p_date", "branch_id"], F.max("orders").alias("branch_day_max"))
+    ready = stage(sized, folder, "schedule_input")
+    return attach_groups(ready, (["p_date", "group_id"], [F.max("orders").alias("group_day_max")]),
+                         (["p_date", "branch_id"], [F.max("orders").alias("branch_day_max")]))
 
 
 def relevance_share(history: DataFrame, lo_week: int, hi_week: int, min_orders: int = 5) -> DataFrame:
@@ -92,7 +97,7 @@ def relevance_share(history: DataFrame, lo_week: int, hi_week: int, min_orders:
 
 def mean_day_share(daily: DataFrame, day_keys: Sequence[str], keys: Sequence[str], value: str, name: str = "share") -> DataFrame:
     """Share of the day's total, averaged per ``keys``; ``daily`` holds one row per day and key."""
-    with_total = attach_group(daily, day_keys, F.sum(value).alias("_total"))
+    with_total = attach_groups(daily, (day_keys, [F.sum(value).alias("_total")]))
     return with_total.groupBy(*keys).agg(F.avg(S.safe_ratio(F.col(value), F.col("_total"))).alias(name))
 
 
@@ -120,15 +125,15 @@ def priority_order() -> list[Column]:
     return [F.desc("weight"), F.desc("orders"), F.desc("bin"), F.desc("rank")]
 
 
-def assign_capacity(df: DataFrame, order: Sequence[Column], capacity: str = "delivery_capacity", keys: Sequence[str] = ("p_date", "branch_id")) -> DataFrame:
+def assign_capacity(df: DataFrame, order: Sequence[Column], largest: int, capacity: str = "delivery_capacity",
+                    keys: Sequence[str] = ("p_date", "branch_id")) -> DataFrame:
     """The first ``capacity`` rows of each (day, branch) by priority.
 
-    The largest capacity, one number read beforehand, bounds the rank with a
-    literal, so map tasks drop everything beyond it before the shuffle.
+    ``largest`` is the largest capacity of any branch. As a literal bound on the
+    rank it lets map tasks drop everything beyond it before the shuffle.
     """
-    largest = df.agg(F.max(capacity)).first()[0]
-    ranked = top_n(df, keys, order, int(largest or 0), rank="_slot")
-    return ranked.where(F.col("_slot") <= F.col(capacity)).withColumnRenamed("_slot", "slot")
+    ranked = top_n(df, keys, order, largest, rank="slot")
+    return ranked.where(F.col("slot") <= F.col(capacity))
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:

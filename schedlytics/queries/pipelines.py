@@ -11,6 +11,8 @@ from schedlytics.plans import candidates, clusters, entities, history, lateness,
 from schedlytics.queries.grouped import PERIOD, visit_weeks
 from schedlytics.queries.windowed import expanding_sql, weighted_scores
 from schedlytics.registry import check_step, query
+from schedlytics.session import work_dir
+from schedlytics.sources.sinks import stage
 
 ANCHOR = date(1998, 12, 20)
 
@@ -324,7 +326,8 @@ SPEC = model.FeatureSpec(
 
 @query("train_score", "event_id i, schedule_on d, client_id s, restaurant_id i, predictions f, orders i")
 def train_score(v):
-    rows = clean_rows(v).withColumn("client_type", S.client_type(F.col("client_id")))
+    # Fitting reads its input once per stage, so the feature table is written first.
+    rows = stage(clean_rows(v).withColumn("client_type", S.client_type(F.col("client_id"))), work_dir(v.spark), "features")
     train, valid = history.time_split(rows, "schedule_on", date(2024, 1, 28))
     fitted = model.train(train, SPEC, trees=150, step=0.1)
     known = model.seen_only(valid, train, ["category", "type", "day_of_week"])
@@ -390,7 +393,7 @@ def pool_predictions(v):
 
 def pool_input(v):
     return scheduling.schedule_input(pool_predictions(v), v.client_groups, v.areas, v.branches, v.branch_area, v.menus, v.restaurants,
-                                     v.menu_schedules, v.companies, ANCHOR, SCHED_TYPES, SCHED_CATEGORIES, "type2")
+                                     v.menu_schedules, v.companies, ANCHOR, SCHED_TYPES, SCHED_CATEGORIES, work_dir(v.spark), "type2")
 
 
 @query("schedule_input", "p_date d, group_id i, branch_id i, restaurant_id i, orders i, area_id i, blackout_period i, delivery_capacity i, c2r_count i, days_diff i, "
@@ -435,14 +438,14 @@ check_step("relevance", """
         LEFT JOIN relevance_shares AS s ON p.group_id = s.group_id AND p.restaurant_id = s.restaurant_id) AS d) AS r""")
 
 
-def relevance(v):
+def relevance(v, staged=None):
     y_week = cal.year_week(F.col("schedule_on"))
     rows = (v.order_rows.join(v.companies.where(F.col("group_id").isNotNull()).select("company_id", "group_id"), "company_id")
             .select("schedule_on", S.client_id(F.col("company_id")).alias("client_id"), "group_id", "restaurant_id",
                     F.when(F.col("status") == 5, F.col("quantity")).otherwise(0).alias("delivered"), y_week.alias("y_week_no")))
     shares = scheduling.relevance_share(rows, 199846, 199851)
     # Equal shares can differ in their last bits; the rank compares them at 9 digits.
-    pairs = scheduling.default_share(pool_input(v), shares).withColumn("share", F.round("share", 9))
+    pairs = scheduling.default_share(staged if staged is not None else pool_input(v), shares).withColumn("share", F.round("share", 9))
     return scheduling.quantile_bins(pairs, "group_id", "share", "restaurant_id", "per_day_restaurants")
 
 
@@ -459,8 +462,10 @@ def relevance_share(v):
         FROM pool_input AS i JOIN relevance AS r ON i.group_id = r.group_id AND i.restaurant_id = r.restaurant_id) AS w) AS t
     WHERE slot <= delivery_capacity""")
 def capacity_assign(v):
-    ranked = scheduling.schedule_weight(pool_input(v)).join(relevance(v).select("group_id", "restaurant_id", "bin", "rank"), ["group_id", "restaurant_id"])
-    return scheduling.assign_capacity(ranked, [*scheduling.priority_order(), F.asc("group_id")])
+    staged = pool_input(v)
+    ranked = scheduling.schedule_weight(staged).join(relevance(v, staged).select("group_id", "restaurant_id", "bin", "rank"), ["group_id", "restaurant_id"])
+    largest = v.branches.agg(F.max("delivery_capacity")).first()[0]
+    return scheduling.assign_capacity(ranked, [*scheduling.priority_order(), F.asc("group_id")], largest)
 
 
 @query("top_restaurants", "group_id i, restaurant_id i, score f, place i", """

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
-from schedlytics.operators.aggregates import attach_group
+from schedlytics.operators.aggregates import attach_groups
 from schedlytics.operators.dedupe import top_n
 from schedlytics.plans import panels, scheduling
 from schedlytics.queries.grouped import STATS, visit_weeks, weekly_sql
@@ -36,8 +36,8 @@ def expanding_stats(v):
            sum(orders) OVER (PARTITION BY p_date, branch_id) AS branch_day_total FROM schedule_pool""")
 def window_broadcast(v):
     pool = v.schedule_pool.select("id", "p_date", "group_id", "branch_id", "orders")
-    by_group = attach_group(pool, ["p_date", "group_id"], F.max("orders").alias("group_day_max"))
-    return attach_group(by_group, ["p_date", "branch_id"], F.sum("orders").alias("branch_day_total"))
+    return attach_groups(pool, (["p_date", "group_id"], [F.max("orders").alias("group_day_max")]),
+                         (["p_date", "branch_id"], [F.sum("orders").alias("branch_day_total")]))
 
 
 def weekly_totals(v, *keys):
