@@ -37,7 +37,8 @@ def quantiles_higher(df: DataFrame, value: str, qs: Sequence[float]) -> DataFram
     """
     x = F.col(value)
     mids = df.select(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).scalar()
-    return df.select(*[F.min(F.when(x >= mids[i], x)).alias(f"q{i + 1}") for i in range(len(qs))], F.max(x).alias("top"))
+    cut = df.withColumn("_mids", mids)
+    return cut.select(*[F.min(F.when(x >= F.col("_mids")[i], x)).alias(f"q{i + 1}") for i in range(len(qs))], F.max(x).alias("top"))
 
 
 def distinct_with_null(col: Column) -> Column:
@@ -60,9 +61,10 @@ def metrics_long(df: DataFrame, scope: str, domain: str, metrics: Sequence[str])
 
 
 def with_total_row(df: DataFrame, key: str, name: str, totals: dict) -> DataFrame:
-    """Rows of an aggregated frame with ``key`` as text, plus one "All" row of the given functions."""
-    rows = df.select(F.col(key).cast("string").alias(name), *totals)
-    return rows.unionByName(df.select(F.lit("All").alias(name), *[fn(c).alias(c) for c, fn in totals.items()]))
+    """Rows of a frame with one row per ``key``, keyed by text, plus one "All" row of the given functions, in one roll-up."""
+    named = df.select(F.col(key).cast("string").alias(name), *totals)
+    rolled = named.rollup(name).agg(*[fn(c).alias(c) for c, fn in totals.items()], F.grouping(name).alias("_all"))
+    return rolled.withColumn(name, F.when(F.col("_all") == 1, "All").otherwise(F.col(name))).drop("_all")
 
 
 def melt_sizes(wide: DataFrame, key: str, sizes: Sequence[str], size_name: str, value_name: str, default: int) -> DataFrame:

@@ -35,6 +35,21 @@ def prefixed(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keys else F.col(c).alias(f"{prefix}{c}") for c in df.columns])
 
 
+def expanding_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, splits: int = 16) -> DataFrame:
+    """Inner equi join on ``key`` whose output is many times its input.
+
+    Input size says nothing about the work here, so size-based partitioning
+    would leave it to a few tasks. The right side is cut into ``splits`` by a
+    hash of ``spread_by``, each left row visits every cut, and the left side is
+    spread over the session's shuffle partitions by (key, cut): a hot key is
+    worked on by up to ``splits`` tasks, and each pair still appears once.
+    """
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = right.withColumn("_cut", F.pmod(F.hash(spread_by), F.lit(splits)))
+    visits = left.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))).repartition(tasks, key, "_cut")
+    return visits.join(cut, [key, "_cut"]).drop("_cut")
+
+
 def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFrame) -> DataFrame:
     """Client and branch pairs where the branch serves the client's area.
 
@@ -42,7 +57,7 @@ def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFram
     is two equi joins and never a product. Each pair appears once.
     """
     served = branch_area.select("branch_id", "area_id").distinct()
-    return clients.join(branches.join(served, "branch_id"), "area_id")
+    return expanding_join(clients, branches.join(served, "branch_id"), "area_id", "branch_id")
 
 
 def nearest_label(points: DataFrame, refs: DataFrame, part: str, coords: tuple[str, str], label: str, ref_id: str) -> DataFrame:

@@ -34,6 +34,9 @@ CATEGORY_LIMITS_2 = [
 ]
 UNLIMITED = 100
 
+# Types that may occur twice on a large day.
+MAY_REPEAT = (9, 10)
+
 # Fixed values: (restaurants a day, type set, how many distinct types of the set may be scheduled).
 TYPE_SETS = [
     (3, [1], 1), (3, [9], 1), (3, [5, 6, 7], 1),
@@ -92,10 +95,14 @@ def perday_matrix(pool: DataFrame) -> DataFrame:
     inside = F.col("size").between(3, 5) & (F.col("made") <= F.col("size"))
     counts = (per.where(inside).groupBy(day, F.concat_ws("/", "made", "size").alias("label")).agg(F.count("*").cast("double").alias("value")))
     missing = per.groupBy(day, (F.col("size") - F.col("made")).alias("label")).agg(F.count("*").alias("n"))
-    shares = missing.withColumn("value", F.col("n") / F.sum("n").over(Window.partitionBy("day"))).select("day", F.col("label").cast("string"), "value")
-    total = lambda df, fn: df.unionByName(df.groupBy("label").agg(fn("value").alias("value")).withColumn("day", F.lit("All")))
-    return (total(counts, F.sum).withColumn("kind", F.lit("made/size"))
-            .unionByName(total(shares, F.avg).withColumn("kind", F.lit("missing share"))))
+    shares = missing.select("day", F.col("label").cast("string"), (F.col("n") / F.sum("n").over(Window.partitionBy("day"))).alias("value"))
+
+    def with_all(df: DataFrame, fn, kind: str) -> DataFrame:
+        rolled = df.rollup("label", "day").agg(fn("value").alias("value"), F.grouping("label").alias("_l"), F.grouping("day").alias("_d"))
+        day_name = F.when(F.col("_d") == 1, "All").otherwise(F.col("day"))
+        return rolled.where(F.col("_l") == 0).select(day_name.alias("day"), F.lit(kind).alias("kind"), "label", "value")
+
+    return with_all(counts, F.sum, "made/size").unionByName(with_all(shares, F.avg, "missing share"))
 
 
 def daily_totals(pool: DataFrame) -> DataFrame:
@@ -140,22 +147,30 @@ def type_duplicate(pool: DataFrame, type_col: str, order: Sequence[str]) -> Data
     return flag_repeats(valid(pool), [*GROUP_DAY, type_col], order).where("is_repeat").drop("is_repeat")
 
 
-def _type_days(pool: DataFrame, type_col: str) -> DataFrame:
-    rows = valid(pool).where(on_working_day(F.col("p_date")))
-    return rows.groupBy(*GROUP_DAY, "perday_resto").agg(F.count("*").alias("scheduled"), F.collect_set(type_col).alias("types"))
+def group_days(pool: DataFrame, type_col: str = "type", list_type_col: str = "type2") -> DataFrame:
+    """One row per (day, group, size) of the valid schedules with everything the group-day rules look at.
+
+    A rule that uses part of it makes the optimizer drop the other aggregates.
+    """
+    listed = F.col(list_type_col)
+    return with_novelty(valid(pool)).groupBy(*GROUP_DAY, "perday_resto").agg(
+        F.count("*").alias("scheduled"), F.collect_set(type_col).alias("types"), F.collect_set(listed).alias("listed_types"),
+        F.collect_set("category").alias("categories"), F.count_if(~listed.isin(*MAY_REPEAT)).alias("listed_others"),
+        F.count_if("is_new").alias("n_new"), F.count_if("is_partly_new").alias("n_partly_new"),
+        F.count_if(F.col("is_premium") == 1).alias("n_premium"), F.count_if(F.col("is_premium") == 0).alias("n_regular"))
 
 
-def type_sets(pool: DataFrame, type_col: str, rules: Sequence[tuple] = TYPE_SETS) -> DataFrame:
+def type_sets(days: DataFrame, rules: Sequence[tuple] = TYPE_SETS) -> DataFrame:
     """Group-days with more distinct types of a rule's set than it allows."""
-    table = inline_table(pool.sparkSession, "perday_resto, rule_types, allowed", rules)
-    joined = _type_days(pool, type_col).join(F.broadcast(table), "perday_resto")
+    table = inline_table(days.sparkSession, "perday_resto, rule_types, allowed", rules)
+    joined = days.where(on_working_day(F.col("p_date"))).join(F.broadcast(table), "perday_resto")
     found = joined.withColumn("found", arrays.overlap_size(F.col("types"), F.col("rule_types")))
     return found.where(F.col("found") > F.col("allowed"))
 
 
-def type_mismatch(pool: DataFrame, type_col: str) -> DataFrame:
+def type_mismatch(days: DataFrame) -> DataFrame:
     """Group-days whose number of schedules is not their size."""
-    return _type_days(pool, type_col).where(F.col("scheduled") != F.col("perday_resto"))
+    return days.where(on_working_day(F.col("p_date")) & (F.col("scheduled") != F.col("perday_resto")))
 
 
 def top_overlap(pool: DataFrame, top: DataFrame, limit: int = 2) -> DataFrame:
@@ -166,49 +181,45 @@ def top_overlap(pool: DataFrame, top: DataFrame, limit: int = 2) -> DataFrame:
     return per.where(F.col("top_count") > limit)
 
 
-def new_per_day(pool: DataFrame) -> DataFrame:
+def _per_group_day(days: DataFrame, *names: str) -> DataFrame:
+    return days.groupBy(*GROUP_DAY).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def new_per_day(days: DataFrame) -> DataFrame:
     """Group-days with more than one new restaurant."""
-    return with_novelty(valid(pool)).groupBy(*GROUP_DAY).agg(F.count_if("is_new").alias("n_new")).where(F.col("n_new") > 1)
+    return _per_group_day(days, "n_new").where(F.col("n_new") > 1)
 
 
-def partial_per_group(pool: DataFrame) -> DataFrame:
+def partial_per_group(days: DataFrame) -> DataFrame:
     """Groups with more than two partly new restaurants."""
-    return with_novelty(valid(pool)).groupBy("group_id").agg(F.count_if("is_partly_new").alias("n_partly_new")).where(F.col("n_partly_new") > 2)
+    return days.groupBy("group_id").agg(F.sum("n_partly_new").alias("n_partly_new")).where(F.col("n_partly_new") > 2)
 
 
-def new_and_partial(pool: DataFrame) -> DataFrame:
+def new_and_partial(days: DataFrame) -> DataFrame:
     """Group-days with new and partly new restaurants together."""
-    per = with_novelty(valid(pool)).groupBy(*GROUP_DAY).agg(F.count_if("is_new").alias("n_new"), F.count_if("is_partly_new").alias("n_partly_new"))
-    return per.where((F.col("n_new") > 0) & (F.col("n_partly_new") > 0))
+    return _per_group_day(days, "n_new", "n_partly_new").where((F.col("n_new") > 0) & (F.col("n_partly_new") > 0))
 
 
-def premium_share(pool: DataFrame, limit: float = 0.4) -> DataFrame:
+def premium_share(days: DataFrame, limit: float = 0.4) -> DataFrame:
     """Group-days whose premium restaurants exceed ``limit`` of the per-day size."""
-    rows = valid(pool)
-    per = rows.where(F.col("is_premium").isNotNull()).groupBy(*GROUP_DAY).agg(
-        F.count_if(F.col("is_premium") == 1).alias("n_premium"), F.count_if(F.col("is_premium") == 0).alias("n_regular"))
-    sizes = rows.select("group_id", "perday_resto").distinct()
+    per = _per_group_day(days, "n_premium", "n_regular").where(F.col("n_premium") + F.col("n_regular") > 0)
+    sizes = days.select("group_id", "perday_resto").distinct()
     share = S.safe_ratio(F.col("n_premium"), F.col("perday_resto"))
     return per.join(sizes, "group_id").withColumn("share", share).where(F.col("share") > limit)
 
 
-def type_list(pool: DataFrame, type_col: str) -> DataFrame:
+def type_list(days: DataFrame) -> DataFrame:
     """Group-days that break the type-list rule.
 
     Up to 3 a day: no type twice and type 10 present. Above: types 10 and 11
     present, only 9 and 10 may repeat, and then all categories must differ.
     """
-    t = F.col(type_col)
-    may_repeat = t.isin(9, 10)
-    per = valid(pool).groupBy(*GROUP_DAY, "perday_resto").agg(
-        F.count("*").alias("scheduled"), F.collect_set(t).alias("types"), F.collect_set("category").alias("categories"),
-        F.count_if(~may_repeat).alias("_others"))
-    distinct = F.size("types") == F.col("scheduled")
-    has = lambda x: F.array_contains("types", x)
-    others = F.size(F.filter("types", lambda x: ~x.isin(9, 10)))
+    distinct = F.size("listed_types") == F.col("scheduled")
+    has = lambda x: F.array_contains("listed_types", x)
+    others = F.size(F.filter("listed_types", lambda x: ~x.isin(*MAY_REPEAT)))
     small_ok = distinct & has(10)
-    large_ok = has(10) & has(11) & (distinct | ((F.col("_others") == others) & (F.size("categories") == F.col("scheduled"))))
-    return per.where(~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok)).drop("_others", "categories")
+    large_ok = has(10) & has(11) & (distinct | ((F.col("listed_others") == others) & (F.size("categories") == F.col("scheduled"))))
+    return days.where(~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok))
 
 
 def unscheduled_branches(pool: DataFrame, period: Sequence[str]) -> DataFrame:
@@ -225,24 +236,25 @@ def require_scheduled(pool: DataFrame) -> DataFrame:
     return pool
 
 
-def report(pool: DataFrame, top: DataFrame, type_col: str, list_type_col: str, order: Sequence[str]) -> DataFrame:
+def report(pool: DataFrame, days: DataFrame, top: DataFrame, type_col: str = "type") -> DataFrame:
     """(scope, domain, name, value) of every rule: the descriptive numbers and one violation count per rule.
 
-    The pool is read once per rule, so hand in a materialised one.
+    ``pool`` and ``days`` (its ``group_days``) are read once per rule, so hand in materialised ones.
     """
+    rows = lambda df: df.agg(F.count("*").cast("double").alias("value"))
+    repeats = valid(pool).groupBy(*GROUP_DAY, type_col).agg((F.count("*") - 1).alias("n")).agg(F.sum("n").cast("double").alias("value"))
     counted = [
-        ("Blackout", "blackout", blackout(pool)), ("Branch_Capacity", "branch_areas", branch_areas(pool)),
-        ("Branch_Capacity", "branch_capacity", branch_capacity(pool)),
-        ("Category", "category_limit", category_limit(pool, CATEGORY_LIMITS, True)),
-        ("Category", "category_limit_2", category_limit(pool, CATEGORY_LIMITS_2, False)),
-        ("Type", "type_duplicate", type_duplicate(pool, type_col, order)), ("Type", "type_sets", type_sets(pool, type_col)),
-        ("Type", "type_mismatch", type_mismatch(pool, type_col)), ("Type", "type_list", type_list(pool, list_type_col)),
-        ("Top_Restaurants", "top_overlap", top_overlap(pool, top)), ("Novelty", "new_per_day", new_per_day(pool)),
-        ("Novelty", "partial_per_group", partial_per_group(pool)), ("Novelty", "new_and_partial", new_and_partial(pool)),
-        ("Premium", "premium_share", premium_share(pool)),
+        ("Blackout", "blackout", rows(blackout(pool))), ("Branch_Capacity", "branch_areas", rows(branch_areas(pool))),
+        ("Branch_Capacity", "branch_capacity", rows(branch_capacity(pool))),
+        ("Category", "category_limit", rows(category_limit(pool, CATEGORY_LIMITS, True))),
+        ("Category", "category_limit_2", rows(category_limit(pool, CATEGORY_LIMITS_2, False))),
+        ("Type", "type_duplicate", repeats), ("Type", "type_sets", rows(type_sets(days))),
+        ("Type", "type_mismatch", rows(type_mismatch(days))), ("Type", "type_list", rows(type_list(days))),
+        ("Top_Restaurants", "top_overlap", rows(top_overlap(pool, top))), ("Novelty", "new_per_day", rows(new_per_day(days))),
+        ("Novelty", "partial_per_group", rows(partial_per_group(days))), ("Novelty", "new_and_partial", rows(new_and_partial(days))),
+        ("Premium", "premium_share", rows(premium_share(days))),
     ]
     out = descriptive(pool).unionByName(pair_coverage(pool))
-    for domain, name, rows in counted:
-        out = out.unionByName(rows.agg(F.count("*").cast("double").alias("value")).select(
-            F.lit("Comparative").alias("scope"), F.lit(domain).alias("domain"), F.lit(name).alias("name"), "value"))
+    for domain, name, value in counted:
+        out = out.unionByName(value.select(F.lit("Comparative").alias("scope"), F.lit(domain).alias("domain"), F.lit(name).alias("name"), "value"))
     return out

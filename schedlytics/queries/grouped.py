@@ -12,6 +12,8 @@ from schedlytics.operators import aggregates as A
 from schedlytics.operators import dedupe
 from schedlytics.plans import model, panels, ratio, scheduling
 from schedlytics.registry import check_step, query
+from schedlytics.session import work_dir
+from schedlytics.sources import sinks
 from schedlytics.sources.inline import inline_table, values_sql
 
 PERIOD = ratio.Period(date(1998, 12, 20), date(1998, 12, 24), date(1998, 10, 1), date(1998, 10, 31))
@@ -24,6 +26,11 @@ def visit_weeks(v):
     return cal.with_week_index(v.visits, "schedule_on")
 
 
+def staged_weeks(v):
+    """The indexed visits written once, for jobs that read them many times."""
+    return sinks.stage(visit_weeks(v), work_dir(v.spark), "visit_weeks")
+
+
 def weekly_sql(keys: str, values=("rating", "orders")) -> str:
     """Check SQL of the weekly statistics for ``keys``."""
     lists = ", ".join(f"list({x}) FILTER (WHERE {x} IS NOT NULL) AS {x}_xs, count(*) - count({x}) AS {x}_nulls" for x in values)
@@ -100,7 +107,7 @@ check_step("quartiles", """
     SELECT name, value FROM (SELECT CAST(q1 AS DOUBLE) AS q1, CAST(q2 AS DOUBLE) AS q2, CAST(q3 AS DOUBLE) AS q3, CAST(q4 AS DOUBLE) AS q4 FROM total_cuts) AS t
     UNPIVOT (value FOR name IN (q1, q2, q3, q4))""")
 def quantile_higher(v):
-    totals = ratio.restaurant_totals(v.order_rows, v.branches, PERIOD)
+    totals = ratio.restaurant_totals(ratio.window_facts(v.order_rows, PERIOD), v.branches)
     cuts = A.quantiles_higher(totals, "orders_total", (0.25, 0.5, 0.75)).withColumnRenamed("top", "q4")
     return cuts.unpivot([], ["q1", "q2", "q3", "q4"], "name", "value")
 
@@ -109,7 +116,8 @@ def quantile_higher(v):
     SELECT restaurant_id, orders_total, q.quartile, restaurants, orders_min, orders_max FROM quartiles AS q JOIN (
       SELECT quartile, count(*) AS restaurants, min(orders_total) AS orders_min, max(orders_total) AS orders_max FROM quartiles GROUP BY 1) AS s ON q.quartile = s.quartile""")
 def restaurant_quartiles(v):
-    labelled = ratio.restaurant_quartiles(ratio.restaurant_totals(v.order_rows, v.branches, PERIOD))
+    totals = ratio.restaurant_totals(ratio.window_facts(v.order_rows, PERIOD), v.branches)
+    labelled = ratio.restaurant_quartiles(sinks.stage(totals, work_dir(v.spark), "restaurant_totals"))
     return labelled.join(ratio.quartile_summary(labelled), "quartile")
 
 

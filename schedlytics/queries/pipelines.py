@@ -8,7 +8,7 @@ from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
 from schedlytics.functions import scalars as S
 from schedlytics.plans import candidates, clusters, entities, history, lateness, model, panels, publishing, ratio, scheduling
-from schedlytics.queries.grouped import PERIOD, visit_weeks
+from schedlytics.queries.grouped import PERIOD, staged_weeks, visit_weeks
 from schedlytics.queries.windowed import expanding_sql, weighted_scores
 from schedlytics.registry import check_step, query
 from schedlytics.session import work_dir
@@ -56,13 +56,17 @@ check_step("ratio_rows", """
     CROSS JOIN generate_series(DATE '1998-12-20', DATE '1998-12-24', INTERVAL 1 DAY) AS days(d)""")
 
 
+def entity_frames(v):
+    return v.companies, v.client_groups, v.branches, v.restaurants, v.branch_area
+
+
 def ratio_rows(v):
-    return ratio.order_schedule_ratio(v.companies, v.client_groups, v.branches, v.restaurants, v.branch_area, v.order_rows, v.menu_schedules, PERIOD)
+    return ratio.order_schedule_ratio(*entity_frames(v), v.order_rows, v.menu_schedules, PERIOD, work_dir(v.spark))
 
 
 def routes(v):
-    pairs = ratio.serving_table(v.companies, v.client_groups, v.branches, v.restaurants, v.branch_area)
-    return ratio.client_routing(pairs, v.order_rows, PERIOD)
+    folder = work_dir(v.spark)
+    return ratio.client_routing(ratio.pair_clients(*entity_frames(v)), ratio.window_facts(v.order_rows, PERIOD, folder), folder)
 
 
 @query("order_schedule_ratio", "company_id i, group_id i, schedule_on d, branch_id i, restaurant_id i, ots f, model s", "SELECT * FROM ratio_rows")
@@ -184,12 +188,13 @@ def client_areas(v):
     return v.companies.select(S.client_id(F.col("company_id")).alias("client_id"), "area_id")
 
 
-def visit_usage(v):
-    return panels.client_usage(visit_weeks(v), "visitor_id", "orders")
+def visit_usage(weeks):
+    return panels.client_usage(weeks, "visitor_id", "orders")
 
 
 def feature_rows(v):
-    return panels.training_features(visit_weeks(v), visit_usage(v), entities.active_restaurants(v.restaurants), client_areas(v))
+    weeks = staged_weeks(v)
+    return panels.training_features(weeks, visit_usage(weeks), entities.active_restaurants(v.restaurants), client_areas(v))
 
 
 @query("training_features", FEATURE_COLUMNS, "SELECT * FROM feature_rows")
@@ -208,10 +213,10 @@ def training_features(v):
     LEFT JOIN visit_usage AS u ON b.client_id = u.client_id AND b.week_no = u.week_no
     JOIN active_restaurants AS a ON b.restaurant_id = a.restaurant_id LEFT JOIN companies AS k ON b.client_id = k.company_id || '_C'""")
 def feature_assembly(v):
-    weeks = visit_weeks(v)
+    weeks = staged_weeks(v)
     mean = lambda *keys: weeks.groupBy(*keys, "week_no").agg(F.avg("orders").alias("orders_mean"))
     base = weeks.groupBy("client_id", "restaurant_id", "week_no").agg(F.count("*").alias("visits"))
-    return panels.assemble(base, mean("client_id"), mean("restaurant_id"), mean("client_id", "restaurant_id"), visit_usage(v),
+    return panels.assemble(base, mean("client_id"), mean("restaurant_id"), mean("client_id", "restaurant_id"), visit_usage(weeks),
                            entities.active_restaurants(v.restaurants), client_areas(v))
 
 
@@ -307,8 +312,9 @@ check_step("score_rows", f"""
 
 
 def score_rows(v):
-    pairs = candidates.candidate_pairs(v.companies, v.restaurants, v.branches, v.branch_area)
-    return candidates.scoring_rows(pairs, visit_weeks(v), visit_usage(v), date(2024, 1, 28), date(2024, 2, 1))
+    weeks = staged_weeks(v)
+    serving = candidates.serving_restaurants(v.restaurants, v.branches, v.branch_area)
+    return candidates.scoring_rows(candidates.candidate_clients(v.companies), serving, weeks, visit_usage(weeks), date(2024, 1, 28), date(2024, 2, 1))
 
 
 @query("scoring_candidates", "schedule_on d, client_id s, restaurant_id i, area_id i, type i, category i, " + ", ".join(f"{c} f" for c in SCORED) +
@@ -342,8 +348,8 @@ check_step("branch_scores", f"""
 
 
 def branch_scores(v):
-    scored = score_rows(v).withColumn("orders", S.as_count(F.expr(LINEAR))).select("schedule_on", "client_id", "restaurant_id", "orders")
-    return model.attach_branches(scored, v.companies, v.branches, v.branch_area, shift_days=7)
+    scored = score_rows(v).withColumn("orders", S.as_count(F.expr(LINEAR))).select("schedule_on", "client_id", "restaurant_id", "area_id", "orders")
+    return model.attach_branches(scored, v.branches, v.branch_area, shift_days=7)
 
 
 @query("score_attach_branch", "schedule_on d, client_id s, restaurant_id i, branch_id i, orders i", "SELECT * FROM branch_scores")

@@ -150,12 +150,12 @@ check_step("over_sets", f"""
 
 @query("rule_type_sets", "p_date d, group_id i, perday_resto i, rule s, allowed i, found i", "SELECT * FROM over_sets")
 def rule_type_sets(v):
-    return rules.type_sets(pool(v), "type").withColumn("rule", text(F.col("rule_types")))
+    return rules.type_sets(rules.group_days(pool(v))).withColumn("rule", text(F.col("rule_types")))
 
 
 @query("rule_type_mismatch", "p_date d, group_id i, perday_resto i, scheduled i", "SELECT * FROM type_days WHERE scheduled <> perday_resto")
 def rule_type_mismatch(v):
-    return rules.type_mismatch(pool(v), "type")
+    return rules.type_mismatch(rules.group_days(pool(v)))
 
 
 check_step("top_hits", """
@@ -179,17 +179,17 @@ check_step("new_with_partly", """
 
 @query("rule_new_per_day", "p_date d, group_id i, n_new i", "SELECT * FROM many_new")
 def rule_new_per_day(v):
-    return rules.new_per_day(pool(v))
+    return rules.new_per_day(rules.group_days(pool(v)))
 
 
 @query("rule_partial_per_week", "group_id i, n_partly_new i", "SELECT * FROM many_partly")
 def rule_partial_per_week(v):
-    return rules.partial_per_group(pool(v))
+    return rules.partial_per_group(rules.group_days(pool(v)))
 
 
 @query("rule_new_and_partial", "p_date d, group_id i, n_new i, n_partly_new i", "SELECT * FROM new_with_partly")
 def rule_new_and_partial(v):
-    return rules.new_and_partial(pool(v))
+    return rules.new_and_partial(rules.group_days(pool(v)))
 
 
 check_step("premium_days", """
@@ -201,7 +201,7 @@ check_step("premium_days", """
 
 @query("rule_premium_share", "p_date d, group_id i, n_premium i, n_regular i, perday_resto i, share f", "SELECT * FROM premium_days")
 def rule_premium_share(v):
-    return rules.premium_share(pool(v))
+    return rules.premium_share(rules.group_days(pool(v)))
 
 
 check_step("list_breaks", """
@@ -216,7 +216,7 @@ check_step("list_breaks", """
 
 @query("rule_type_list", "p_date d, group_id i, perday_resto i, scheduled i, types s", "SELECT * FROM list_breaks")
 def rule_type_list(v):
-    return rules.type_list(pool(v), "type2").withColumn("types", text(F.col("types")))
+    return rules.type_list(rules.group_days(pool(v))).withColumn("types", text(F.col("listed_types")))
 
 
 @query("rule_report", "scope s, domain s, name s, value f", "\n    UNION ALL ".join([
@@ -232,7 +232,8 @@ def rule_report(v):
     folder = work_dir(v.spark)
     staged = sinks.stage(rules.require_scheduled(pool(v)), folder, "pool")
     top = sinks.stage(top5(v), folder, "top")
-    return rules.report(staged, top, "type", "type2", ORDER)
+    days = sinks.stage(rules.group_days(staged), folder, "group_days")
+    return rules.report(staged, days, top)
 
 
 # ---- documents ----
