@@ -42,12 +42,14 @@ def expanding_join(left: DataFrame, right: DataFrame, key: str, spread_by: str,
     would leave it to a few tasks. The right side is cut into ``splits`` by a
     hash of ``spread_by``, each left row visits every cut, and the left side is
     spread over the session's shuffle partitions by (key, cut): a hot key is
-    worked on by up to ``splits`` tasks, and each pair still appears once.
+    worked on by up to ``splits`` tasks, and each pair still appears once. The
+    merge hint keeps that layout; a broadcast of the small inputs would put the
+    whole output on the other side's few partitions.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cut = right.withColumn("_cut", F.pmod(F.hash(spread_by), F.lit(splits)))
     visits = left.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))).repartition(tasks, key, "_cut")
-    return visits.join(cut, [key, "_cut"]).drop("_cut")
+    return visits.join(cut.hint("merge"), [key, "_cut"]).drop("_cut")
 
 
 def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFrame) -> DataFrame:
