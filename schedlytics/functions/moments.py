@@ -11,29 +11,29 @@ key costs one small map per task instead of its rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from collections.abc import Sequence
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 STATS = ("min", "max", "mean", "median", "std", "kurtosis", "skew")
 
 
-def seven(value: str, window: WindowSpec | None = None, prefix: str = "") -> list[Column]:
-    """Columns ``{prefix}_{stat}`` of ``value``."""
-    over = (lambda c: c.over(window)) if window is not None else (lambda c: c)
-    x = F.col(value)
-    has_null = over(F.count(x)) < over(F.count(F.lit(1)))
-    flat = over(F.var_pop(x)) == 0
-    shape = lambda fn, at_zero: F.when(has_null, None).when(flat, F.lit(at_zero)).otherwise(over(fn(x)))
+def seven(value: str, over: str = "", prefix: str = "") -> list[Column]:
+    """Columns ``{prefix}_{stat}`` of ``value``; ``over`` is an OVER clause for the window form."""
+    shape = lambda fn, at_zero: (f"CASE WHEN count({value}) {over} < count(1) {over} THEN NULL "
+                                 f"WHEN var_pop({value}) {over} = 0 THEN {at_zero} ELSE {fn}({value}) {over} END")
     made = {
-        "min": over(F.min(x)),
-        "max": over(F.max(x)),
-        "mean": over(F.avg(x)),
-        "median": over(F.percentile(x, F.lit(0.5))),
-        "std": over(F.stddev_samp(x)),
-        "kurtosis": shape(F.kurtosis, -3.0),
-        "skew": shape(F.skewness, 0.0),
+        "min": f"min({value}) {over}", "max": f"max({value}) {over}", "mean": f"avg({value}) {over}",
+        "median": f"percentile({value}, 0.5) {over}", "std": f"stddev_samp({value}) {over}",
+        "kurtosis": shape("kurtosis", -3), "skew": shape("skewness", 0),
     }
-    return [made[s].cast("double").alias(f"{prefix or value}_{s}") for s in STATS]
+    return [F.expr(f"CAST({made[s]} AS DOUBLE) AS {prefix or value}_{s}") for s in STATS]
+
+
+def running(keys: Sequence[str], order: str) -> str:
+    """OVER clause from a key's first row to the current one."""
+    return f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
 
 
 def names(value: str, expanding: bool = False) -> list[str]:

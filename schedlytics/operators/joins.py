@@ -32,7 +32,7 @@ def join_indicator(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def prefixed(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
     """Prefix every column that is not a key, so that later joins cannot clash."""
-    return df.select(*[F.col(c) if c in keys else F.col(c).alias(f"{prefix}{c}") for c in df.columns])
+    return df.toDF(*[c if c in keys else f"{prefix}{c}" for c in df.columns])
 
 
 def expanding_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, splits: int = 16) -> DataFrame:

@@ -27,7 +27,7 @@ def weekly_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> D
 
 def expanding_stats(weekly: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """The seven statistics of the weekly means up to and including each week."""
-    run = Window.partitionBy(*keys).orderBy(WEEK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = moments.running(keys, WEEK)
     return weekly.select("*", *[c for v in values for c in moments.seven(f"{v}_mean", run, f"exp_{v}")])
 
 
@@ -37,9 +37,9 @@ def gap_fill(df: DataFrame, keys: Sequence[str], last_week: Column, carry: Seque
     Each observed row is repeated over the gap behind it, so no grid is joined.
     """
     by_week = Window.partitionBy(*keys).orderBy(WEEK)
-    run = by_week.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = moments.running(keys, WEEK)
     known = df.withColumns({
-        **{c: F.last(c, ignorenulls=True).over(run) for c in carry},
+        **{c: F.expr(f"last({c}, true) {run}") for c in carry},
         "_until": F.coalesce(F.lead(WEEK).over(by_week) - 1, last_week),
     })
     return known.withColumn(WEEK, F.explode(F.sequence(F.col(WEEK), F.col("_until")))).drop("_until")
