@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import scalars as S
-from schedlytics.operators.dedupe import keep_one
+from schedlytics.sources.sinks import stage
 
 
 def exclude_holidays(df: DataFrame, day: str, dates: Sequence[date], months: Sequence[int] = ()) -> DataFrame:
@@ -92,9 +92,15 @@ def schedules_vs_orders(schedules: DataFrame, orders: DataFrame, menus: DataFram
 
 
 def prepared_history(schedules: DataFrame, orders: DataFrame, menus: DataFrame, branches: DataFrame, companies: DataFrame,
-                     anchor: date) -> DataFrame:
-    """The schedule-versus-order table of the clients that still order."""
+                     anchor: date, folder: str | None = None) -> DataFrame:
+    """The schedule-versus-order table of the clients that still order.
+
+    With a ``folder`` the unfiltered table is written there once, since both the
+    client filter and the result read it.
+    """
     table = schedules_vs_orders(schedules, orders, menus, branches, companies, anchor)
+    if folder is not None:
+        table = stage(table, folder, "schedules_vs_orders")
     return table.join(vital_clients(table, anchor), "client_id", "left_semi")
 
 

@@ -60,23 +60,25 @@ def entity_frames(v):
     return v.companies, v.client_groups, v.branches, v.restaurants, v.branch_area
 
 
-def ratio_rows(v):
-    return ratio.order_schedule_ratio(*entity_frames(v), v.order_rows, v.menu_schedules, PERIOD, work_dir(v.spark))
+def routed(v):
+    """The shared steps: order facts and client routes, written once."""
+    folder = work_dir(v.spark)
+    facts = ratio.window_facts(v.order_rows, PERIOD, folder)
+    return folder, facts, ratio.client_routing(ratio.pair_clients(*entity_frames(v)), facts, folder)
 
 
-def routes(v):
-    folder = work_dir(v.spark)
-    return ratio.client_routing(ratio.pair_clients(*entity_frames(v)), ratio.window_facts(v.order_rows, PERIOD, folder), folder)
+def ratio_rows(v, folder, facts, routes):
+    return ratio.order_schedule_ratio(*entity_frames(v), facts, v.menu_schedules, routes, PERIOD, folder)
 
 
 @query("order_schedule_ratio", "company_id i, group_id i, schedule_on d, branch_id i, restaurant_id i, ots f, model s", "SELECT * FROM ratio_rows")
 def order_schedule_ratio(v):
-    return ratio_rows(v)
+    return ratio_rows(v, *routed(v))
 
 
 @query("client_routing", "company_id i, weeks_count i, orders_sum i, order_avg i, all_avg i, model s", "SELECT * FROM routes")
 def client_routing(v):
-    return routes(v)
+    return routed(v)[2]
 
 
 # ---- history ----
@@ -101,7 +103,7 @@ def history_args(v):
 @query("prepared_history", "schedule_on d, restaurant_id i, client_id s, rating f, quantity i", """
     SELECT * FROM history_all WHERE client_id IN (SELECT client_id FROM vital)""")
 def prepared_history(v):
-    return history.prepared_history(*history_args(v))
+    return history.prepared_history(*history_args(v), work_dir(v.spark))
 
 
 @query("vital_clients", "client_id s", "SELECT client_id FROM vital")
@@ -364,7 +366,9 @@ def score_attach_branch(v):
     JOIN routes AS r ON s.client_id = r.company_id || '_C' LEFT JOIN (SELECT DISTINCT company_id, group_id FROM ratio_pairs) AS g ON r.company_id = g.company_id
     WHERE model = 'model'""")
 def hybrid_predictions(v):
-    return model.hybrid(ratio_rows(v), branch_scores(v), routes(v).select("company_id", "model"))
+    folder, facts, routes = routed(v)
+    clients = entities.active_clients(v.companies, v.client_groups)
+    return model.hybrid(ratio_rows(v, folder, facts, routes), branch_scores(v), routes, clients)
 
 
 # ---- scheduling input ----
