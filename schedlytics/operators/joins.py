@@ -35,21 +35,32 @@ def prefixed(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
     return df.toDF(*[c if c in keys else f"{prefix}{c}" for c in df.columns])
 
 
-def expanding_join(left: DataFrame, right: DataFrame, key: str, spread_by: str, splits: int = 16) -> DataFrame:
-    """Inner equi join on ``key`` whose output is many times its input.
+def expanding_join(left: DataFrame, right: DataFrame, key: str, left_size: DataFrame | None = None, right_size: DataFrame | None = None,
+                   left_rows: int = 100_000, right_rows: int = 64) -> DataFrame:
+    """Inner equi join on ``key`` whose output is many times its input, however skewed the key.
 
     Input size says nothing about the work here, so size-based partitioning
-    would leave it to a few tasks. The right side is cut into ``splits`` by a
-    hash of ``spread_by``, each left row visits every cut, and the left side is
-    spread over the session's shuffle partitions by (key, cut): a hot key is
-    worked on by up to ``splits`` tasks, and each pair still appears once. The
-    merge hint keeps that layout; a broadcast of the small inputs would put the
-    whole output on the other side's few partitions.
+    would leave it to a few tasks, and one hot key to a single one. Each key is
+    laid out as a grid of cells of at most about ``left_rows`` x ``right_rows``:
+    a left row visits every column of the grid and a right row every line, so
+    each pair meets in exactly one cell. Repeating a left row costs less than
+    1 / ``right_rows`` of the output. The cells are spread over the session's
+    shuffle partitions; the merge hint keeps that layout, where a broadcast
+    would put the output on the other side's few partitions.
+
+    ``left_size`` and ``right_size`` are cheaper frames with the same keys to
+    count rows on.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = right.withColumn("_cut", F.pmod(F.hash(spread_by), F.lit(splits)))
-    visits = left.withColumn("_cut", F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))).repartition(tasks, key, "_cut")
-    return visits.join(cut.hint("merge"), [key, "_cut"]).drop("_cut")
+    count = lambda df, rows, name: df.groupBy(key).agg(F.ceil(F.count("*") / rows).alias(name))
+    grid = (count(left if left_size is None else left_size, left_rows, "_lines")
+            .join(count(right if right_size is None else right_size, right_rows, "_columns"), key))
+    cell_of = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    a = left.join(grid, key).withColumn("_line", cell_of(left, "_lines")).withColumn("_column", every("_columns")).drop("_lines", "_columns")
+    b = right.join(grid, key).withColumn("_column", cell_of(right, "_columns")).withColumn("_line", every("_lines")).drop("_lines", "_columns")
+    cell = [key, "_line", "_column"]
+    return a.repartition(tasks, *cell).join(b.hint("merge"), cell).drop("_line", "_column")
 
 
 def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFrame) -> DataFrame:
@@ -59,7 +70,7 @@ def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFram
     is two equi joins and never a product. Each pair appears once.
     """
     served = branch_area.select("branch_id", "area_id").distinct()
-    return expanding_join(clients, branches.join(served, "branch_id"), "area_id", "branch_id")
+    return expanding_join(clients, branches.join(served, "branch_id"), "area_id")
 
 
 def nearest_label(points: DataFrame, refs: DataFrame, part: str, coords: tuple[str, str], label: str, ref_id: str) -> DataFrame:

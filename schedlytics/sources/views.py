@@ -90,7 +90,7 @@ PORTABLE = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE l_returnflag <> 'N' AND o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' AND l_linenumber <> 7""",
     "visits": """
-        SELECT event_id, CAST(user_id AS VARCHAR(20)) || '_C' AS client_id,
+        SELECT event_id, CAST(user_id AS STRING) || '_C' AS client_id,
                CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END AS restaurant_id,
                CAST(ts AS DATE) AS schedule_on, value AS orders,
                CASE WHEN CAST(regexp_extract(props, '[0-9]+', 0) AS INT) % 4 = 0 THEN NULL
@@ -122,7 +122,7 @@ PORTABLE = {
 _REPEATED = {
     "client_groups": (
         [("j", range(5))], "nation",
-        """CAST(n_nationkey AS BIGINT) * 5 + j AS group_id, 'Group ' || CAST(n_nationkey * 5 + j AS VARCHAR(20)) AS group_name,
+        """CAST(n_nationkey AS BIGINT) * 5 + j AS group_id, 'Group ' || CAST(n_nationkey * 5 + j AS STRING) AS group_name,
            CASE WHEN (n_nationkey * 5 + j) % 9 = 0 THEN 0 ELSE 1 END AS status,
            2 + (n_nationkey * 5 + j) % 5 AS per_day_restaurants, CAST(n_nationkey AS BIGINT) AS area_id,
            (n_nationkey * 5 + j) % 2 AS is_perk_group""",

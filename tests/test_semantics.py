@@ -169,9 +169,9 @@ def test_flag_repeats_treats_null_as_a_key(spark):
 
 
 def test_expanding_join_equals_the_plain_join(spark):
-    left = spark.createDataFrame([(i, 0 if i % 3 else i % 5) for i in range(120)], "c long, area_id long")
-    right = spark.createDataFrame([(i, 0 if i % 3 else i % 7) for i in range(90)], "b long, area_id long")
-    got = joins.expanding_join(left, right, "area_id", "b", splits=8).select("area_id", "c", "b")
+    left = spark.createDataFrame([(i, 0 if i % 3 else i % 5) for i in range(120)] + [(5, 0), (5, 0)], "c long, area_id long")
+    right = spark.createDataFrame([(i, 0 if i % 3 else i % 7) for i in range(90)] + [(7, 0)], "b long, area_id long")
+    got = joins.expanding_join(left, right, "area_id", left_rows=20, right_rows=8).select("area_id", "c", "b")
     assert rows(got) == rows(left.join(right, "area_id").select("area_id", "c", "b"))
 
 
