@@ -80,28 +80,46 @@ def vital_clients(history: DataFrame, anchor: date, months: int = 2, client: str
 
 
 def schedules_vs_orders(schedules: DataFrame, orders: DataFrame, menus: DataFrame, branches: DataFrame, companies: DataFrame,
-                        anchor: date, months: int = 6) -> DataFrame:
-    """Every distinct (day, restaurant, client) schedule with its order rating and quantity (0 when nothing was ordered)."""
+                        anchor: date, months: int = 6, building_schedules: DataFrame | None = None, buildings: DataFrame | None = None) -> DataFrame:
+    """Every distinct (day, restaurant, client) schedule with its order rating and quantity (0 when nothing was ordered).
+
+    With ``building_schedules`` and ``buildings`` the clients are companies and
+    buildings, and an order with a building belongs to the building.
+    """
     since = cal.sunday_on_or_before(cal.lookback(anchor, months=months))
     tests = companies.where(S.is_test(F.col("company_name"))).select("company_id")
-    planned = (lunch_schedules(schedules, menus, since).join(branches, "branch_id")
-               .select("schedule_on", "restaurant_id", S.client_id(F.col("company_id")).alias("client_id")).distinct())
-    totals = order_totals(orders, branches, tests, since)
-    return (planned.join(totals, ["schedule_on", "restaurant_id", "client_id"], "left")
+    planned = lunch_schedules(schedules, menus, since)
+    if building_schedules is None:
+        planned = planned.withColumn("client_id", S.client_id(F.col("company_id")))
+        totals = order_totals(orders, branches, tests, since)
+    else:
+        planned = with_buildings(planned, lunch_schedules(building_schedules, menus, since, "building_id"))
+        test_buildings = buildings.where(S.is_test(F.col("building_name"))).select("building_id")
+        totals = order_totals(orders, branches, tests, since, True, test_buildings)
+    placed = planned.join(branches, "branch_id").select("schedule_on", "restaurant_id", "client_id").distinct()
+    return (placed.join(totals, ["schedule_on", "restaurant_id", "client_id"], "left")
             .withColumn("quantity", F.coalesce("quantity", F.lit(0))))
 
 
+def known_by(orders: DataFrame, created: str, until: date) -> DataFrame:
+    """Orders created up to ``until``; fails when that day has none, because the extract is then incomplete."""
+    day = orders.withColumn("_day", F.to_date(created))
+    return require_date(day, "_day", until).where(F.col("_day") <= F.lit(until)).drop("_day")
+
+
 def prepared_history(schedules: DataFrame, orders: DataFrame, menus: DataFrame, branches: DataFrame, companies: DataFrame,
-                     anchor: date, folder: str | None = None) -> DataFrame:
-    """The schedule-versus-order table of the clients that still order.
+                     anchor: date, folder: str | None = None, building_schedules: DataFrame | None = None,
+                     buildings: DataFrame | None = None, until: date | None = None) -> DataFrame:
+    """The schedule-versus-order table of the clients that still order, up to ``until`` when given.
 
     With a ``folder`` the unfiltered table is written there once, since both the
     client filter and the result read it.
     """
-    table = schedules_vs_orders(schedules, orders, menus, branches, companies, anchor)
+    table = schedules_vs_orders(schedules, orders, menus, branches, companies, anchor, building_schedules=building_schedules, buildings=buildings)
     if folder is not None:
         table = stage(table, folder, "schedules_vs_orders")
-    return table.join(vital_clients(table, anchor), "client_id", "left_semi")
+    kept = table.join(vital_clients(table, anchor), "client_id", "left_semi")
+    return kept if until is None else kept.where(F.col("schedule_on") <= F.lit(until))
 
 
 def with_buildings(company_rows: DataFrame, building_rows: DataFrame) -> DataFrame:

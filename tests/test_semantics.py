@@ -257,6 +257,30 @@ def test_clients_of_buildings_and_companies(spark):
     assert rows(history.with_buildings(c, b).select("client_id", "branch_id")) == [("1_C", 10), ("2_B", 20)]
 
 
+def test_history_with_buildings(spark):
+    d, anchor = date(2024, 3, 4), date(2024, 3, 10)
+    plan = "menu_id long, {} long, branch_id long, schedule_on date, deleted_at date"
+    companies = spark.createDataFrame([(1, "One"), (2, "Test two")], "company_id long, company_name string")
+    buildings = spark.createDataFrame([(9, "Tower"), (8, "test tower")], "building_id long, building_name string")
+    by_company = spark.createDataFrame([(5, 1, 10, d, None), (5, 1, 10, d, None), (6, 1, 10, date(2024, 3, 5), None), (5, 2, 10, d, d)], plan.format("company_id"))
+    by_building = spark.createDataFrame([(5, 9, 10, d, None), (5, 8, 11, d, None)], plan.format("building_id"))
+    menus = spark.createDataFrame([(5, 2), (6, 1)], "menu_id long, category_id int")
+    branches = spark.createDataFrame([(10, 100), (11, 101)], "branch_id long, restaurant_id long")
+    orders = spark.createDataFrame(
+        [(1, None, 10, d, 4, 3.0, 2, d), (1, 9, 10, d, 6, None, 2, d), (1, 9, 10, d, 1, 5.0, 2, date(2024, 3, 6)), (1, 8, 11, d, 9, 1.0, 2, d), (1, None, 10, d, 50, 1.0, 1, d)],
+        "company_id long, building_id long, branch_id long, schedule_on date, quantity long, rating double, category_id int, created_at date")
+    known = history.known_by(orders, "created_at", d)
+    assert known.count() == 4
+    with pytest.raises(ValueError):
+        history.known_by(orders, "created_at", date(2024, 3, 5))
+    args = (by_company, orders, menus, branches, companies, anchor)
+    both = history.prepared_history(*args, building_schedules=by_building, buildings=buildings)
+    assert rows(both.select("client_id", "restaurant_id", "quantity", "rating")) == [("1_C", 100, 4, 3.0), ("9_B", 100, 7, 5.0)]
+    assert history.prepared_history(*args, building_schedules=by_building, buildings=buildings, until=date(2024, 3, 3)).isEmpty()
+    alone = history.prepared_history(*args)
+    assert rows(alone.select("client_id", "quantity")) == [("1_C", 11)]
+
+
 # ---- scheduling ----
 
 
