@@ -15,7 +15,7 @@ from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
 from schedlytics.functions import scalars as S
 from schedlytics.operators import aggregates, dedupe, joins, publish, rejects
-from schedlytics.plans import candidates, documents, history, model, panels, rules, scheduling
+from schedlytics.plans import candidates, documents, history, lateness, model, panels, publishing, rules, scheduling
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -311,6 +311,27 @@ def test_capacity_is_never_exceeded(spark):
     assert rows(got.groupBy("p_date").agg(F.count("*"), F.max("slot"))) == [(1, 2, 2), (2, 2, 2)]
 
 
+def test_publish_rows_by_drop_off_point_and_building(spark):
+    d = date(2024, 3, 4)
+    companies = spark.createDataFrame([(1, "A", 1, 0, 7), (2, "B", 1, 0, 7), (3, "C", 2, 0, 7)], "company_id long, company_name string, status int, is_active_virtual int, drop_off_point_id long")
+    menus = spark.createDataFrame([(50, "old", 100, 2, 1, 1), (51, "new", 100, 2, 1, 1), (52, "off", 100, 2, 0, 1)],
+                                  "menu_id long, menu_name string, restaurant_id long, category_id int, status int, publish_status int")
+    schedule = spark.createDataFrame([(d, "7_CD", 10, 100), (d, "4_B", 10, 100)], "schedule_on date, client_code string, branch_id long, restaurant_id long")
+    predictions = spark.createDataFrame([(10, 100, d, 1, 12), (10, 100, d, 2, 13)], "branch_id long, restaurant_id long, schedule_on date, n long, orders long")
+    got = publishing.publish_rows(publishing.drop_off_points(schedule), companies, menus, predictions, ["n"], "drop_off_point_id", drop_tests=False)
+    assert rows(got.select("company_id", "menu_id", "ots")) == [(1, 51, 12), (2, 51, 12)]
+    got = publishing.building_rows(schedule.withColumnRenamed("client_code", "client_id"), menus, predictions, ["n"])
+    assert rows(got.select("building_id", "menu_id", "ots")) == [(4, 51, 12)]
+
+
+def test_latest_lateness_of_candidates(spark):
+    late = spark.createDataFrame([("1_C", 100, "2024_01", 10.0), ("1_C", 100, "2024_03", 30.0), ("1_C", 101, "2024_02", -5.0), ("2_C", 100, "2023_40", 99.0)],
+                                 "client_id string, restaurant_id long, week string, minutes double")
+    pairs = spark.createDataFrame([("1_C", 100), ("1_C", 102), ("2_C", 101)], "client_id string, restaurant_id long")
+    got = lateness.attach_latest(pairs, late, "2023_44").select("client_id", "restaurant_id", "p_lateness", "c_lateness", "r_lateness")
+    assert rows(got) == [("1_C", 100, 30.0, 30.0, 30.0), ("1_C", 102, 0.0, 30.0, 0.0), ("2_C", 101, 0.0, 0.0, -5.0)]
+
+
 # ---- rules ----
 
 
