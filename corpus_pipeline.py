@@ -19,7 +19,9 @@ MAIN_LANGUAGE = 0.5
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor the learned list rejects."""
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    return rules.quality_rules(rows, table(spark, sf_dir, "labels"), keep=("row",)).where("kept").select("row.*")
+    judged = rules.quality_rules(rows, table(spark, sf_dir, "labels"), keep=("row",))
+    # A filter below the row number would repeat every statistic in the place of each of its uses.
+    return judged.withColumn("place", F.monotonically_increasing_id()).where("kept and place >= 0").select("row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
