@@ -8,16 +8,31 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schedlytics.llm import bpe, jaccard, langid, mixing, rules
+from schedlytics.llm import bpe, chat, jaccard, langid, mixing, rules, warc
 from schedlytics.llm.tables import table
+from schedlytics.session import work_dir
 
 RANKS = "byte_bpe_50k.tiktoken"
+# Fixed value: a text made of control strings.
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = warc.write_archives(table(spark, folder, "pages"), f"{work_dir(spark)}/archives")
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_chat_prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    planted = spark.sql(f"SELECT -1L AS conv_id, t AS turn, r AS role, '{CONTROL}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS x(t, r)")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    packs, members = chat.format_conversations(rows)
+    return members.join(chat.read_back(packs), "path").drop("path")
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     return bpe.decode_ids(bpe.encode_texts(table(spark, folder, "documents"), path, pattern), path, pattern, digests=True)
@@ -38,7 +53,7 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op3_mix_sources, op5_byte_bpe, op6_language_id, op7_quality_rules, op10_jaccard_join)}
+    op1_warc, op3_mix_sources, op4_chat_prefix_tree, op5_byte_bpe, op6_language_id, op7_quality_rules, op10_jaccard_join)}
 SQL: dict[str, str] = {
     "op3_mix_sources": mixing.MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM mixed",
 }
