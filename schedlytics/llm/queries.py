@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schedlytics.llm import bpe, chat, jaccard, langid, mixing, rules, warc
+from schedlytics.llm import bpe, chat, jaccard, langid, licences, masked_lm, mixing, rules, search, warc
 from schedlytics.llm.tables import table
 from schedlytics.session import work_dir
 
@@ -22,6 +22,10 @@ def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_masked_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return masked_lm.pseudo_likelihood(table(spark, folder, "documents"))
+
+
 def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -48,12 +52,22 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", F.concat_ws("|", "licences").alias("licences"), F.concat_ws("|", "sentence_ids").alias("sentence_ids"), "n_unknown")
+
+
+def op9_wand_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return search.search(docs, docs.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_warc, op3_mix_sources, op4_chat_prefix_tree, op5_byte_bpe, op6_language_id, op7_quality_rules, op10_jaccard_join)}
+    op1_warc, op2_masked_lm, op3_mix_sources, op4_chat_prefix_tree, op5_byte_bpe, op6_language_id, op7_quality_rules, op8_license_scan, op9_wand_top_k, op10_jaccard_join)}
 SQL: dict[str, str] = {
     "op3_mix_sources": mixing.MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM mixed",
 }
