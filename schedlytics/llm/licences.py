@@ -53,7 +53,7 @@ RULES = [
 # Every sentence above has one of these in lower case, so that a text without any has no licence sentence.
 MARKS = ("licen", "permission", "copyright", "warrant", "redistribut", "public domain", "cc by", "rights reserved")
 TAG = re.compile(r"spdx-license-identifier:\s*([\w.+-]+)", re.IGNORECASE)
-END = re.compile(r"(?<=[.!?:;])[\"')\]]*\s+|\n\s*\n")
+END = re.compile(r"(?<=[.!?;])[\"')\]]*\s+|(?<=:)(?<!dentifier:)\s+|\n\s*\n")
 OTHER = re.compile(r"[^\w.+]+|_+")
 
 
