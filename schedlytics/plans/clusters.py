@@ -19,7 +19,7 @@ def cluster_groups(companies: DataFrame, samples: DataFrame) -> DataFrame:
     """(company_id, area_id, group_id as ``<group>_<cluster>``) of the active companies.
 
     The cluster is the company's own sample where it has one, else the nearest
-    sample of its area, and 0 in areas without samples.
+    sample of its area, and 0 in areas without samples or for a company without coordinates.
     """
     areas = samples.select("area_id").distinct()
     live = companies.where(F.col("deleted_at").isNull() & F.col("group_id").isNotNull())
@@ -29,7 +29,7 @@ def cluster_groups(companies: DataFrame, samples: DataFrame) -> DataFrame:
     own = samples.select("company_id", "cluster_id")
     sampled = areas.withColumn("_sampled", F.lit(True))
     joined = near.join(own, "company_id", "left").join(sampled, "area_id", "left")
-    cluster = F.when(F.col("_sampled").isNull(), F.lit(0)).otherwise(F.coalesce("cluster_id", "nearest_cluster_id"))
+    cluster = F.when(F.col("_sampled").isNull(), F.lit(0)).otherwise(F.coalesce("cluster_id", "nearest_cluster_id", F.lit(0)))
     return joined.select("company_id", "area_id",
                          F.concat_ws("_", F.col("group_id").cast("string"), cluster.cast("string")).alias("group_id"))
 

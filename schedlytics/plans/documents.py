@@ -7,32 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schedlytics.functions.calendar import day_name
+from schedlytics.functions.calendar import day_name, snap_sunday
 from schedlytics.operators.dedupe import keep_one
 from schedlytics.plans.publishing import current_menus
 
 
-def in_parts(df: DataFrame, keys: Sequence[str], rows_per_part: int, name: str = "part") -> DataFrame:
-    """Spread the rows of each key over numbered parts of about ``rows_per_part`` rows.
-
-    A normal key has the single part 0; a hot one is split by a hash of the
-    whole row, so that no task has to gather all of it.
-    """
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / rows_per_part).alias("_parts"))
-    return df.join(sizes, list(keys)).withColumn(name, F.pmod(F.xxhash64(*df.columns), F.col("_parts"))).drop("_parts")
-
-
-def branch_docs(rows: DataFrame, rows_per_doc: int = 10000) -> DataFrame:
-    """One document per branch (and part): weekday -> list of {group, status, orders}.
+def branch_docs(rows: DataFrame) -> DataFrame:
+    """One document per branch and schedule week (from Sunday): weekday -> list of {group, status, orders}.
 
     ``rows``: branch_id, branch_name, capacity, restaurant_id, restaurant_name,
-    schedule_on, group_id, group_name, schedule_status, orders.
+    schedule_on, group_id, group_name, schedule_status, orders. A branch's
+    capacity bounds what one week holds.
     """
-    head = ["branch_id", "branch_name", "capacity", "restaurant_id", "restaurant_name"]
-    split = in_parts(rows.withColumn("day", day_name(F.col("schedule_on"))), ["branch_id"], rows_per_doc)
+    head = ["branch_id", "branch_name", "capacity", "restaurant_id", "restaurant_name", "week"]
+    dated = rows.withColumns({"week": snap_sunday(F.col("schedule_on")), "day": day_name(F.col("schedule_on"))})
     entry = F.struct("group_id", "group_name", "schedule_status", "orders")
-    days = split.groupBy(*head, "part", "day").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    return days.groupBy(*head, "part").agg(F.map_from_entries(F.collect_list(F.struct("day", "entries"))).alias("schedules"))
+    days = dated.groupBy(*head, "day").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    return days.groupBy(*head).agg(F.map_from_entries(F.collect_list(F.struct("day", "entries"))).alias("schedules"))
 
 
 def menu_docs(menus: DataFrame, menus_meals: DataFrame, meals: DataFrame) -> DataFrame:

@@ -86,12 +86,13 @@ def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame,
 def relevance_share(history: DataFrame, lo_week: int, hi_week: int, min_orders: int = 5) -> DataFrame:
     """Mean daily share of a group's delivered orders per (group, restaurant), over the clients active in the weeks.
 
-    ``history``: schedule_on, client_id, group_id, restaurant_id, delivered, y_week_no.
+    ``history``: schedule_on, client_id, group_id, restaurant_id, branch_id, delivered, y_week_no. A day's share is that of
+    one branch; the mean is over the branches and days of a restaurant.
     """
     recent = history.where(F.col("y_week_no").between(lo_week, hi_week))
     active = recent.groupBy("client_id").agg(F.sum("delivered").alias("n")).where(F.col("n") > min_orders).select("client_id")
     daily = (recent.join(active, "client_id", "left_semi")
-             .groupBy("schedule_on", "group_id", "restaurant_id").agg(F.sum("delivered").alias("delivered")))
+             .groupBy("schedule_on", "group_id", "restaurant_id", "branch_id").agg(F.sum("delivered").alias("delivered")))
     return mean_day_share(daily, ["schedule_on", "group_id"], ["group_id", "restaurant_id"], "delivered")
 
 
@@ -125,15 +126,19 @@ def priority_order() -> list[Column]:
     return [F.desc("weight"), F.desc("orders"), F.desc("bin"), F.desc("rank")]
 
 
-def assign_capacity(df: DataFrame, order: Sequence[Column], largest: int, capacity: str = "delivery_capacity",
+def assign_capacity(df: DataFrame, order: Sequence[Column], largest: int | None, capacity: str = "delivery_capacity",
                     keys: Sequence[str] = ("p_date", "branch_id")) -> DataFrame:
     """The first ``capacity`` rows of each (day, branch) by priority.
 
     ``largest`` is the largest capacity of any branch. As a literal bound on the
-    rank it lets map tasks drop everything beyond it before the shuffle.
+    rank it lets map tasks drop everything beyond it before the shuffle. A branch
+    without a capacity is never full: its rows all stay, without a slot.
     """
-    ranked = top_n(df, keys, order, largest, rank="slot")
-    return ranked.where(F.col("slot") <= F.col(capacity))
+    free = df.where(F.col(capacity).isNull()).withColumn("slot", F.lit(None).cast("int"))
+    if largest is None:
+        return free
+    ranked = top_n(df.where(F.col(capacity).isNotNull()), keys, order, largest, rank="slot")
+    return ranked.where(F.col("slot") <= F.col(capacity)).unionByName(free)
 
 
 def average_rank(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:

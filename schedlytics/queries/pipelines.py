@@ -338,7 +338,7 @@ def train_score(v):
     rows = stage(clean_rows(v).withColumn("client_type", S.client_type(F.col("client_id"))), work_dir(v.spark), "features")
     train, valid = history.time_split(rows, "schedule_on", date(2024, 1, 28))
     fitted = model.train(train, SPEC, trees=150, step=0.1)
-    known = model.seen_only(valid, train, ["category", "type", "day_of_week"])
+    known = model.seen_only(valid, train, ["category", "type"])
     return model.score(fitted, known, SPEC, ["event_id", "schedule_on", "client_id", "restaurant_id"])
 
 
@@ -431,15 +431,15 @@ def schedule_weight(v):
 
 
 check_step("relevance_rows", """
-    SELECT o.schedule_on, o.company_id || '_C' AS client_id, group_id, restaurant_id, CASE WHEN o.status = 5 THEN quantity ELSE 0 END AS delivered,
+    SELECT o.schedule_on, o.company_id || '_C' AS client_id, group_id, restaurant_id, branch_id, CASE WHEN o.status = 5 THEN quantity ELSE 0 END AS delivered,
            (year(o.schedule_on) - CASE WHEN week(o.schedule_on) >= 51 AND month(o.schedule_on) = 1 THEN 1 ELSE 0 END) * 100 + week(o.schedule_on) AS y_week_no
     FROM order_rows AS o JOIN companies AS c ON o.company_id = c.company_id WHERE group_id IS NOT NULL""")
 check_step("relevance_shares", """
     SELECT group_id, restaurant_id, avg(delivered / CAST(nullif(total, 0) AS DOUBLE)) AS share FROM (
       SELECT *, sum(delivered) OVER (PARTITION BY schedule_on, group_id) AS total FROM (
-        SELECT schedule_on, group_id, restaurant_id, sum(delivered) AS delivered FROM relevance_rows WHERE y_week_no BETWEEN 199846 AND 199851
+        SELECT schedule_on, group_id, restaurant_id, branch_id, sum(delivered) AS delivered FROM relevance_rows WHERE y_week_no BETWEEN 199846 AND 199851
           AND client_id IN (SELECT client_id FROM relevance_rows WHERE y_week_no BETWEEN 199846 AND 199851 GROUP BY 1 HAVING sum(delivered) > 5)
-        GROUP BY 1, 2, 3) AS d) AS t GROUP BY 1, 2""")
+        GROUP BY 1, 2, 3, 4) AS d) AS t GROUP BY 1, 2""")
 check_step("relevance", """
     SELECT group_id, restaurant_id, per_day_restaurants, share, rank, greatest((per_day_restaurants * (rank - 1) + m - 2) // greatest(m - 1, 1), 1) AS bin FROM (
       SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY share, restaurant_id) AS rank, count(*) OVER (PARTITION BY group_id) AS m FROM (
@@ -451,7 +451,7 @@ check_step("relevance", """
 def relevance(v, staged=None):
     y_week = cal.year_week(F.col("schedule_on"))
     rows = (v.order_rows.join(v.companies.where(F.col("group_id").isNotNull()).select("company_id", "group_id"), "company_id")
-            .select("schedule_on", S.client_id(F.col("company_id")).alias("client_id"), "group_id", "restaurant_id",
+            .select("schedule_on", S.client_id(F.col("company_id")).alias("client_id"), "group_id", "restaurant_id", "branch_id",
                     F.when(F.col("status") == 5, F.col("quantity")).otherwise(0).alias("delivered"), y_week.alias("y_week_no")))
     shares = scheduling.relevance_share(rows, 199846, 199851)
     # Equal shares can differ in their last bits; the rank compares them at 9 digits.
@@ -465,12 +465,12 @@ def relevance_share(v):
 
 
 @query("capacity_assign", "p_date d, branch_id i, group_id i, orders i, weight i, slot i", """
-    SELECT p_date, branch_id, group_id, orders, weight, slot FROM (
+    SELECT p_date, branch_id, group_id, orders, weight, CASE WHEN delivery_capacity IS NOT NULL THEN slot END AS slot FROM (
       SELECT *, row_number() OVER (PARTITION BY p_date, branch_id ORDER BY weight DESC, orders DESC, bin DESC, rank DESC, group_id) AS slot FROM (
         SELECT i.p_date, i.branch_id, i.group_id, i.orders, r.bin, r.rank, delivery_capacity,
                CASE WHEN c2r_count IS NULL OR c2r_count = 0 THEN 200 WHEN c2r_count = 1 AND days_diff < 14 THEN 100 WHEN c2r_count = 1 AND days_diff >= 45 THEN 50 ELSE 0 END AS weight
         FROM pool_input AS i JOIN relevance AS r ON i.group_id = r.group_id AND i.restaurant_id = r.restaurant_id) AS w) AS t
-    WHERE slot <= delivery_capacity""")
+    WHERE delivery_capacity IS NULL OR slot <= delivery_capacity""")
 def capacity_assign(v):
     staged = pool_input(v)
     ranked = scheduling.schedule_weight(staged).join(relevance(v, staged).select("group_id", "restaurant_id", "bin", "rank"), ["group_id", "restaurant_id"])
@@ -488,7 +488,7 @@ def top_restaurants(v):
 # ---- clusters and publishing ----
 
 check_step("clustered", """
-    SELECT c.company_id, c.area_id, group_id || '_' || CASE WHEN s.area_id IS NULL THEN 0 ELSE coalesce(own.cluster_id, near.cluster_id) END AS group_id
+    SELECT c.company_id, c.area_id, group_id || '_' || CASE WHEN s.area_id IS NULL THEN 0 ELSE coalesce(own.cluster_id, near.cluster_id, 0) END AS group_id
     FROM relabelled AS c LEFT JOIN (SELECT DISTINCT area_id FROM cluster_samples) AS s ON c.area_id = s.area_id
     LEFT JOIN cluster_samples AS own ON c.company_id = own.company_id
     LEFT JOIN (SELECT a.company_id, arg_min(b.cluster_id, (pow(a.latitude - b.latitude, 2) + pow(a.longitude - b.longitude, 2), b.company_id)) AS cluster_id

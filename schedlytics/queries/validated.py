@@ -251,25 +251,22 @@ def doc_rows(v):
             .join(F.broadcast(types), "type2", "left").join(F.broadcast(cats), "category", "left"))
 
 
-BRANCH_DOC = ("branch_id long, branch_name string, capacity int, restaurant_id long, restaurant_name string, part long, "
+BRANCH_DOC = ("branch_id long, branch_name string, capacity int, restaurant_id long, restaurant_name string, week date, "
               "schedules map<string, array<struct<group_id: long, group_name: string, schedule_status: int, orders: long>>>")
 
 
-@query("json_branch_docs", "branch_id i, branch_name s, restaurant_name s, days i, entries i, orders i, sunday_entries i", """
-    SELECT r.branch_id, any_value(b.branch_name) AS branch_name, any_value(restaurant_name) AS restaurant_name, count(DISTINCT dayname(schedule_on)) AS days,
-           count(*) AS entries, sum(orders) AS orders, count(*) FILTER (WHERE isodow(schedule_on) = 7) AS sunday_entries
+@query("json_branch_docs", "branch_id i, branch_name s, restaurant_name s, week d, day s, entries s", """
+    SELECT r.branch_id, any_value(b.branch_name) AS branch_name, any_value(restaurant_name) AS restaurant_name,
+           schedule_on - CAST(isodow(schedule_on) % 7 AS INTEGER) AS week, dayname(schedule_on) AS day,
+           string_agg(r.group_id || ':' || g.group_name || ':' || schedule_status || ':' || orders, ',' ORDER BY r.group_id, g.group_name, schedule_status, orders) AS entries
     FROM (SELECT * FROM schedule_pool WHERE schedule_status IS NOT NULL) AS r JOIN branches AS b ON r.branch_id = b.branch_id
-    JOIN restaurants AS n ON r.restaurant_id = n.restaurant_id JOIN client_groups AS g ON r.group_id = g.group_id GROUP BY 1""")
+    JOIN restaurants AS n ON r.restaurant_id = n.restaurant_id JOIN client_groups AS g ON r.group_id = g.group_id GROUP BY 1, 4, 5""")
 def json_branch_docs(v):
     rows = doc_rows(v).drop("id", "type2", "category", "days_diff", "type_name", "category_name")
     path = sinks.write_json_docs(documents.branch_docs(rows), f"{work_dir(v.spark)}/branch_docs")
-    docs = tables.scan_json(v.spark, path, BRANCH_DOC)
-    entries = docs.select("branch_id", "branch_name", "restaurant_name", F.explode("schedules").alias("day", "list"))
-    orders = F.aggregate("list", F.lit(0).cast("long"), lambda acc, e: acc + e.orders)
-    return entries.groupBy("branch_id").agg(
-        F.max("branch_name").alias("branch_name"), F.max("restaurant_name").alias("restaurant_name"), F.count_distinct("day").alias("days"),
-        F.sum(F.size("list")).alias("entries"), F.sum(orders).alias("orders"),
-        F.coalesce(F.sum(F.when(F.col("day") == "Sunday", F.size("list"))), F.lit(0)).alias("sunday_entries"))
+    days = tables.scan_json(v.spark, path, BRANCH_DOC).select("branch_id", "branch_name", "restaurant_name", "week", F.explode("schedules").alias("day", "list"))
+    entry = lambda e: F.concat_ws(":", e.group_id.cast("string"), e.group_name, e.schedule_status.cast("string"), e.orders.cast("string"))
+    return days.withColumn("entries", F.array_join(F.transform("list", entry), ","))
 
 
 check_step("open_menus", """

@@ -35,7 +35,7 @@ PORTABLE = {
                CASE WHEN c_custkey % 11 = 0 THEN 2 ELSE 1 END AS status,
                CAST(c_nationkey AS BIGINT) AS area_id,
                CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_nationkey AS BIGINT) * 5 + c_custkey % 5 END AS building_group_id
-        FROM customer WHERE c_custkey % 23 = 0""",
+        FROM customer""",
     "areas": """
         SELECT CAST(n_nationkey AS BIGINT) AS area_id, 7 + n_nationkey % 14 AS blackout_period,
                CAST(n_regionkey AS BIGINT) AS city_id
@@ -75,8 +75,7 @@ PORTABLE = {
                o_custkey * 3 + l_linenumber % 3 AS user_id,
                CASE WHEN l_returnflag = 'R' THEN NULL ELSE CAST(1 + CAST(l_quantity AS BIGINT) % 5 AS DOUBLE) END AS rating,
                CASE WHEN l_linenumber = 7 THEN CAST(o_orderdate AS DATE) ELSE NULL END AS deleted_at
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_returnflag <> 'N'""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "deliveries": """
         SELECT l_orderkey * 10 + l_linenumber AS order_id, o_custkey AS company_id,
                CASE WHEN o_custkey % 23 = 0 THEN o_custkey ELSE NULL END AS building_id,
@@ -88,7 +87,7 @@ PORTABLE = {
                CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '12' HOUR
                    + CAST(l_suppkey % 60 AS INT) * INTERVAL '1' MINUTE AS history_created_at
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_returnflag <> 'N' AND o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' AND l_linenumber <> 7""",
+        WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW' AND l_linenumber <> 7""",
     "visits": """
         SELECT event_id, CAST(user_id AS STRING) || '_C' AS client_id,
                CASE event_type WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END AS restaurant_id,
@@ -108,7 +107,7 @@ PORTABLE = {
                CASE WHEN l_linenumber <= 4 THEN 0 WHEN l_linenumber <= 6 THEN 1 ELSE NULL END AS schedule_status
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              JOIN companies ON o_custkey = company_id JOIN restaurants ON l_suppkey = restaurant_id
-        WHERE l_returnflag <> 'N' AND group_id IS NOT NULL""",
+        WHERE group_id IS NOT NULL""",
     "cluster_samples": """
         SELECT c_custkey AS company_id, c_custkey % 4 AS cluster_id, CAST(c_nationkey AS BIGINT) AS area_id,
                c_acctbal / 100 AS latitude, CAST(c_custkey % 97 AS DOUBLE) AS longitude

@@ -311,6 +311,19 @@ def test_capacity_is_never_exceeded(spark):
     assert rows(got.groupBy("p_date").agg(F.count("*"), F.max("slot"))) == [(1, 2, 2), (2, 2, 2)]
 
 
+def test_branch_without_capacity_is_never_full(spark):
+    df = spark.createDataFrame([(1, 7, i, i, None) for i in range(5)] + [(1, 8, i, i, 1) for i in range(5)], "p_date int, branch_id long, group_id long, orders long, delivery_capacity int")
+    got = scheduling.assign_capacity(df, [F.desc("orders")], 1)
+    assert rows(got.groupBy("branch_id").agg(F.count("*"), F.max("slot"))) == [(7, 5, None), (8, 1, 1)]
+    assert scheduling.assign_capacity(df.where("branch_id = 7"), [F.desc("orders")], None).count() == 5
+
+
+def test_relevance_share_is_per_branch(spark):
+    df = spark.createDataFrame([(1, "c", 4, 10, 1, 10, 1), (1, "c", 4, 10, 2, 10, 1), (1, "c", 4, 11, 3, 20, 1)],
+                               "schedule_on int, client_id string, group_id long, restaurant_id long, branch_id long, delivered long, y_week_no int")
+    assert rows(scheduling.relevance_share(df, 1, 1)) == [(4, 10, 0.25), (4, 11, 0.5)]
+
+
 def test_publish_rows_by_drop_off_point_and_building(spark):
     d = date(2024, 3, 4)
     companies = spark.createDataFrame([(1, "A", 1, 0, 7), (2, "B", 1, 0, 7), (3, "C", 2, 0, 7)], "company_id long, company_name string, status int, is_active_virtual int, drop_off_point_id long")
@@ -387,13 +400,13 @@ def test_type_sets(spark):
 # ---- documents, arrays, metrics ----
 
 
-def test_hot_branch_is_split_into_parts_without_losing_rows(spark):
-    hot = spark.range(950).select(F.lit(1).alias("branch_id"), "id").union(spark.range(50).select((F.col("id") + 2).alias("branch_id"), "id"))
-    parts = documents.in_parts(hot, ["branch_id"], 100)
-    sizes = parts.groupBy("branch_id", "part").count().collect()
-    assert sum(r["count"] for r in sizes) == 1000
-    assert len([r for r in sizes if r.branch_id == 1]) == 10 and max(r["count"] for r in sizes) < 200
-    assert all(r.part == 0 for r in sizes if r.branch_id != 1)
+def test_one_document_per_branch_and_week(spark):
+    days = [date(2024, 1, 6), date(2024, 1, 7), date(2024, 1, 13), date(2024, 1, 14)]
+    df = spark.createDataFrame([(1, "b", 2, 3, "r", d, g, "g", 0, 5) for d in days for g in (8, 9)], "branch_id long, branch_name string, capacity int, restaurant_id long, "
+                               "restaurant_name string, schedule_on date, group_id long, group_name string, schedule_status int, orders long")
+    docs = {r.week: r.schedules for r in documents.branch_docs(df).collect()}
+    assert {w: sorted(x) for w, x in docs.items()} == {date(2023, 12, 31): ["Saturday"], date(2024, 1, 7): ["Saturday", "Sunday"], date(2024, 1, 14): ["Sunday"]}
+    assert [e.group_id for e in docs[date(2024, 1, 14)]["Sunday"]] == [8, 9]
 
 
 def test_array_rules(spark):
