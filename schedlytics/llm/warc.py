@@ -30,8 +30,6 @@ DATE = "2024-01-01T00:00:00Z"
 # Bytes of records that a task trains its archive's dictionary on, and the dictionary's size. Both change sizes only, never contents.
 TRAINING_BYTES = 1 << 21
 DICTIONARY_BYTES = 1 << 15
-# Payload bytes that one archive is planned for.
-ARCHIVE_BYTES = 16 << 20
 
 
 def digest(payload: bytes) -> str:
@@ -67,15 +65,14 @@ def planned(pages: DataFrame, least: int = 0) -> DataFrame:
     return rows.select("page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "size", "sha", again.alias("revisit"), F.col("first.page_id").alias("first_id"))
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 0, archive_bytes: int = ARCHIVE_BYTES) -> str:
-    """Write every row of ``pages`` (page_id, url, html) as a record; several archives below ``path``.
+def write_archives(pages: DataFrame, path: str, least: int = 0) -> str:
+    """Write every row of ``pages`` (page_id, url, html) as a record; several archives below ``path``, one
+    for each partition of the join that finds the revisits, which adaptive execution merges and splits by size.
 
     Nulls: an empty payload, no url (``urn:unknown``), the id ``none``. Other columns are not read. An empty table gives no records.
     """
     small_batches(pages.sparkSession)
     rows = planned(pages, least)
-    total = pages.agg(F.sum(F.octet_length(F.col("html").cast("string")))).first()[0] or 0
-    rows = rows.repartition(max(1, -(-total // archive_bytes)), F.xxhash64("page_id", "url"))
 
     def frames(batches):
         held, size, codec = [], 0, None
