@@ -7,8 +7,12 @@ estimate per set (rows its prefix tokens meet, and candidates those can make) pi
 both, and only pairs with that many common prefix tokens are verified on whole sets.
 
 Rows of one token are never paired with each other wholesale. Equal sets are one node from the start. Sets of crowded tokens
-are first verified against a token's most central set; what that joins is contracted, and only pairs of different
-contracted components are made afterwards. So components are exact while a large group of copies costs a few rows per copy.
+are first verified against a token's most central set, their pivot; what that joins is contracted, and only pairs of
+different contracted components are made afterwards. So components are exact while a large group of copies costs a few rows
+per copy. Sets around one pivot that it does not join (copies edited too much) share nearly all tokens, but their differences
+from the pivot (shingles added or missing) are few: if x does not link with the pivot and shares no difference with y, then
+similarity(x, y) <= similarity(x, pivot), so x and y do not link. Pairs around one pivot are therefore found by a second
+prefix join, on the differences, where a pair needs as many common ones as its sizes demand.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from schedlytics.llm.graph import components
@@ -38,6 +42,8 @@ WORKING_SET = 2_000_000
 CROWD = 8
 # Rows met by a token that weigh as much as verifying one candidate.
 VERIFY_WEIGHT = 8.0
+# Sets around a pivot are described by their differences from it if their similarity in percent is at least this.
+AROUND = 50
 # Bits of the filter that keeps texts without candidates from being cut again.
 SLOTS = 1 << 23
 
@@ -124,8 +130,8 @@ def _slot():
     return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("long")
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes that link, on whole sets; only texts of nodes in pairs are cut again.
+def _with_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) of nodes with their whole sets (left, right); only texts of nodes in pairs are cut again.
 
     The bit table has a fixed size and is collected as such; it may let other texts through, the join on the digest does not.
     """
@@ -150,11 +156,22 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, p
     sets = docs.select("text", _slot().alias("slot")).mapInArrow(cut, "digest binary, members binary")
     sets = sets.join(wanted.select("uid", "digest"), "digest").dropDuplicates(["uid"]).select("uid", "members")
 
+    sets = staged(sets, "sets")
+    return pairs.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("left")), "a").join(sets.select(F.col("uid").alias("b"), F.col("members").alias("right")), "b").select("a", "b", "left", "right")
+
+
+def _members(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+        yield np.frombuffer(left.as_buffer(), dtype=np.uint64), np.frombuffer(right.as_buffer(), dtype=np.uint64)
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes that link, on whole sets."""
+
     def check(batches):
         for batch in batches:
             keep = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                x, y = np.frombuffer(left.as_buffer(), dtype=np.uint64), np.frombuffer(right.as_buffer(), dtype=np.uint64)
+            for x, y in _members(batch):
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -162,9 +179,49 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, p
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = staged(sets, "sets")
-    met = pairs.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("left")), "a").join(sets.select(F.col("uid").alias("b"), F.col("members").alias("right")), "b")
-    return met.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
+    return _with_sets(docs, nodes, pairs, words).mapInArrow(check, "a long, b long")
+
+
+def _around(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs of a set (a) and its pivot (b): whether they link, and their differences (null if too many to be of use)."""
+
+    def compare(batches):
+        for batch in batches:
+            linked, apart = [], []
+            for x, y in _members(batch):
+                other = np.setxor1d(x, y, assume_unique=True)
+                common = (len(x) + len(y) - len(other)) // 2
+                union = common + len(other)
+                linked.append(100 * common >= percent * union)
+                apart.append(other.view(np.int64) if 100 * common >= AROUND * union else None)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))], ["a", "b", "linked", "differences"])
+
+    return _with_sets(docs, nodes, pairs, words).mapInArrow(compare, "a long, b long, linked boolean, differences array<long>")
+
+
+def _sided(rows: DataFrame, keys: list[str], classes: list[str]) -> DataFrame:
+    """Rows of keys that hold pairs apart in all ``classes``, with the class column that has the largest class (cls) and that class (major).
+
+    A pair apart in cls has a side outside the major class, so pairs are made from those rows only.
+    """
+    most = None
+    for name in classes:
+        of = rows.groupBy(*keys, name).count().groupBy(*keys).agg(F.max(F.struct("count", F.col(name).alias("cls"))).alias(f"most_{name}"), F.count("*").alias("classes")).where("classes > 1").drop("classes")
+        most = of if most is None else most.join(of, keys)
+    best = F.greatest(*[F.struct(F.col(f"most_{name}.count").alias("count"), F.lit(k).alias("k"), F.col(f"most_{name}.cls").alias("cls")) for k, name in enumerate(classes)]) if len(classes) > 1 else F.struct(F.lit(0).alias("k"), F.col(f"most_{classes[0]}.cls").alias("cls"))
+    most = most.select(*keys, best.alias("best")).select(*keys, F.col("best.k").alias("k"), F.col("best.cls").alias("major"))
+    return rows.join(most, keys).withColumn("cls", F.element_at(F.array(*classes), F.col("k") + 1)).drop("k")
+
+
+def _crossing(rows: DataFrame, keys: list[str], classes: list[str], condition) -> DataFrame:
+    """Pairs x, y of rows of one key that are apart in all ``classes`` and meet ``condition``, each once."""
+    rows = _sided(rows, keys, classes)
+    apart = (F.col("y.cls") == F.col("y.major")) | (F.col("x.uid") < F.col("y.uid"))
+    for name in classes:
+        apart = apart & (F.col(f"x.{name}") != F.col(f"y.{name}"))
+    same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in keys]
+    on = same[0] if len(same) == 1 else same[0] & same[1]
+    return rows.where("cls <> major").alias("x").join(rows.alias("y"), on & (F.col("x.cls") != F.col("y.cls")) & apart & condition)
 
 
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folder: str | None = None) -> DataFrame:
@@ -201,21 +258,33 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
 
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     pivot = nodes.select(F.col("uid").alias("pivot"), F.col("n").alias("pivot_n"))
-    star = met.where(f"c >= {CROWD} and uid <> pivot").groupBy("uid", "n", "pivot").count().join(pivot, "pivot").where(near(F.col("n"), F.col("pivot_n")))
+    star = met.where(f"c >= {CROWD} and uid <> pivot").groupBy("uid", "n", "pivot").count().join(pivot, "pivot").where(f"100 * least(n, pivot_n) >= {AROUND} * greatest(n, pivot_n)")
     star = star.groupBy("uid").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    star = staged(star.select(F.least("uid", "pivot").alias("a"), F.greatest("uid", "pivot").alias("b")).distinct(), "star", folder)
-    first = staged(_verified(docs, nodes, star, words, percent), "star_links", folder)
-    part = components(first, f"{folder}/part")
-
-    met = met.join(part.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("part", F.coalesce("root", "uid")).drop("root", "pivot", "central", "c")
-    met = staged(met, "parts", folder)
-    mixed = met.groupBy("token", "part").count().groupBy("token").agg(F.max_by("part", F.struct("count", "part")).alias("major"), F.count("*").alias("parts")).where("parts > 1").select("token", "major")
-    met = met.join(mixed, "token")
+    star = staged(star.select(F.col("uid").alias("a"), F.col("pivot").alias("b")), "star", folder)
+    around = staged(_around(docs, nodes, star, words, percent), "around", folder)
+    first = staged(around.where("linked").select("a", "b"), "star_links", folder)
+    part = components(first, f"{folder}/part").select(F.col("node").alias("uid"), "root")
+    group = around.where("differences is not null").select(F.col("a").alias("uid"), F.col("b").alias("grp"), "differences")
+
+    met = met.drop("pivot", "central", "c").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
+    met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", folder)
     need = lambda: F.least(F.greatest("x.ell", "y.ell"), F.expr(f"(x.n * {percent} + 99) div 100"), F.expr(f"(y.n * {percent} + 99) div 100"))
-    cross = met.where("part <> major").alias("x").join(met.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.part") != F.col("y.part"))
-        & ((F.col("y.part") == F.col("y.major")) | (F.col("x.uid") < F.col("y.uid"))) & near(F.col("x.n"), F.col("y.n"))
-        & (F.col("x.level") <= need()) & (F.col("y.level") <= need()))
-    pairs = cross.select(F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b"), need().alias("need")).groupBy("a", "b", "need").count().where("count >= need").select("a", "b")
+    edge = [F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")]
+    cross = _crossing(met, ["token"], ["part", "grp"], near(F.col("x.n"), F.col("y.n")) & (F.col("x.level") <= need()) & (F.col("y.level") <= need()))
+    pairs = cross.select(*edge, need().alias("need")).groupBy("a", "b", "need").count().where("count >= need").select("a", "b")
+
+    # Differences around one pivot: |x ^ y| <= (100 - percent) / (100 + percent) * (|x| + |y|) for a link, and what exceeds it must be common.
+    most = F.expr(f"s - n * {100 - percent} div {percent}")
+    tokens = group.join(nodes.select("uid", "n"), "uid").join(part, "uid", "left")
+    tokens = tokens.select("uid", "n", "grp", F.coalesce("root", "uid").alias("part"), F.size("differences").alias("s"), F.explode("differences").alias("token"))
+    tokens = staged(tokens, "differences", folder)
+    counts = tokens.groupBy("grp", "token").agg(F.count("*").alias("c"))
+    place = F.row_number().over(Window.partitionBy("uid").orderBy("c", "token")) - 1
+    tokens = tokens.join(counts, ["grp", "token"]).withColumn("pos", place).where((F.col("c") > 1) & (F.col("pos") <= F.col("s") - F.greatest(F.lit(1), most)))
+    tokens = staged(tokens.drop("c"), "difference_prefixes", folder)
+    common = F.greatest(F.lit(1), F.expr(f"(x.s + y.s - (x.n + y.n) * {100 - percent} div {100 + percent} + 1) div 2"))
+    close = _crossing(tokens, ["grp", "token"], ["part"], near(F.col("x.n"), F.col("y.n")) & (F.col("x.pos") <= F.col("x.s") - common) & (F.col("y.pos") <= F.col("y.s") - common))
+    pairs = pairs.unionByName(close.select(*edge).distinct())
     second = _verified(docs, nodes, staged(pairs, "pairs", folder), words, percent)
     whole = components(staged(first.unionByName(second), "links", folder), f"{folder}/whole")
 

@@ -87,6 +87,28 @@ def test_jaccard_joins_a_group_through_its_hub(spark):
     assert got == brute_components(table)
 
 
+def test_jaccard_links_around_a_pivot_that_joins_neither(spark):
+    """Families with edits of their own: too far from the pivot, near each other; and lone copies that link with nothing."""
+    rng = np.random.default_rng(11)
+    base = [f"w{k}" for k in range(150)]
+
+    def edited(words, count, name, drop=False):
+        own = list(words)
+        for at in rng.choice(150, count, replace=False):
+            own[at] = None if drop else f"{name}_{at}"
+        return [w for w in own if w]
+
+    texts = [base, *[edited(base, 2, f"n{k}") for k in range(25)], *[edited(base, 7, f"far{k}") for k in range(25)]]
+    for family in range(4):
+        head = edited(base, 6, f"f{family}", drop=family % 2 == 0)
+        head += [None] * (150 - len(head))
+        texts += [edited(head, k % 3, f"f{family}_{k}") for k in range(9)]
+    table = [(k, " ".join(t)) for k, t in enumerate(texts, 100)]
+    got = rows(jaccard.jaccard_components(spark.createDataFrame(table, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert got == brute_components(table)
+    assert len({c for _, _, c in got}) > 20
+
+
 def test_quality_statistics_and_rules(spark, docs, none):
     def brute(text):
         w = WORD.findall(text or "")
