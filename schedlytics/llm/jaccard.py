@@ -254,7 +254,6 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     total = lambda k: F.col(f"s{k}") + F.col(f"s{k}") / k * VERIFY_WEIGHT
     choice = F.least(*[F.struct(total(k).alias("cost"), F.lit(k).alias("k")) for k in range(1, LEVELS + 1)])["k"]
     depth = met.groupBy("uid").agg(*costs).select("uid", choice.alias("ell"))
-    met = staged(met.join(depth, "uid"), "depth", folder)
 
     near = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
     pivot = nodes.select(F.col("uid").alias("pivot"), F.col("n").alias("pivot_n"))
@@ -266,7 +265,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     part = components(first, f"{folder}/part").select(F.col("node").alias("uid"), "root")
     group = around.where("differences is not null").select(F.col("a").alias("uid"), F.col("b").alias("grp"), "differences")
 
-    met = met.drop("pivot", "central", "c").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
+    met = met.drop("pivot", "central", "c").join(depth, "uid").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
     met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", folder)
     need = lambda: F.least(F.greatest("x.ell", "y.ell"), F.expr(f"(x.n * {percent} + 99) div 100"), F.expr(f"(y.n * {percent} + 99) div 100"))
     edge = [F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")]
