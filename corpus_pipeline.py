@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schedlytics.llm import bpe, jaccard, langid, mixing, rules
-from schedlytics.llm.tables import staged, table
+from schedlytics.llm.tables import discard, staged, table
 from schedlytics.session import work_dir
 
 # Share of a text's letters that its main language has at least.
@@ -34,9 +34,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest id. Rows equal in id and text are one document."""
     key = lambda digest: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
-    keepers = jaccard.jaccard_components(docs).where("keeper").select(key(F.col("text_md5")).alias("row_key")).distinct()
+    folder = work_dir(spark)
+    keepers = jaccard.jaccard_components(docs, folder=f"{folder}/join").where("keeper").select(key(F.col("text_md5")).alias("row_key")).distinct()
+    keepers = staged(keepers, "keepers", folder)
+    discard(spark, f"{folder}/join")
     rows = docs.select(F.struct(*docs.columns).alias("row"), key(F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("row_key"))
-    return rows.join(staged(keepers, "keepers"), "row_key").dropDuplicates(["row_key"]).select("row.*")
+    return rows.join(keepers, "row_key").dropDuplicates(["row_key"]).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from schedlytics.llm.graph import components
-from schedlytics.llm.tables import blocks, small_batches, staged, text_column
+from schedlytics.llm.tables import blocks, discard, small_batches, staged, text_column
 from schedlytics.llm.words import shingles, words_of
 from schedlytics.session import work_dir
 
@@ -44,6 +44,8 @@ CROWD = 8
 VERIFY_WEIGHT = 8.0
 # Sets around a pivot are described by their differences from it if their similarity in percent is at least this.
 AROUND = 50
+# Pairs of one hub that share a copy of its set while pairs are verified.
+HUB_PAIRS = 500
 # Bits of the filter that keeps texts without candidates from being cut again.
 SLOTS = 1 << 23
 
@@ -130,14 +132,16 @@ def _slot():
     return F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).cast("long")
 
 
-def _with_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) of nodes with their whole sets (left, right); only texts of nodes in pairs are cut again.
+def _with_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, folder: str) -> DataFrame:
+    """The pairs (a, b) of nodes with their whole sets (left, right, either way round); only texts of nodes in pairs are cut again.
 
     The bit table has a fixed size and is collected as such; it may let other texts through, the join on the digest does not.
+    A set moves once to the place of its digest, where it meets the pairs in which it has fewer partners than the other side;
+    with those it moves on to that side, the hub. A hub's pairs are spread over as many keys as they need, its set goes to each.
     """
-    wanted = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid"))).distinct().join(nodes, "uid")
-    spots = wanted.select(F.pmod(F.xxhash64("first_doc"), F.lit(SLOTS)).cast("long").alias("slot"))
-    spots = spots.groupBy(F.shiftright("slot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits")).collect()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("uid")).groupBy("uid").agg(F.count("*").alias("c")).join(nodes.select("uid", "digest", "first_doc"), "uid")
+    ends = staged(ends.select("uid", F.struct("c", "uid", "digest").alias("end"), F.pmod(F.xxhash64("first_doc"), F.lit(SLOTS)).cast("long").alias("slot")), "ends", folder)
+    spots = ends.groupBy(F.shiftright("slot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 as int))")).alias("bits")).collect()
     table = np.zeros(SLOTS >> 5, dtype=np.int64)
     if spots:
         table[[r.word for r in spots]] = [r.bits for r in spots]
@@ -153,11 +157,14 @@ def _with_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int)
                 parts = [values[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if b > a]
                 yield pa.RecordBatch.from_arrays([pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in parts], pa.binary()), pa.array(parts, pa.binary())], ["digest", "members"])
 
-    sets = docs.select("text", _slot().alias("slot")).mapInArrow(cut, "digest binary, members binary")
-    sets = sets.join(wanted.select("uid", "digest"), "digest").dropDuplicates(["uid"]).select("uid", "members")
-
-    sets = staged(sets, "sets")
-    return pairs.join(sets.select(F.col("uid").alias("a"), F.col("members").alias("left")), "a").join(sets.select(F.col("uid").alias("b"), F.col("members").alias("right")), "b").select("a", "b", "left", "right")
+    sets = docs.select("text", _slot().alias("slot")).mapInArrow(cut, "digest binary, members binary").dropDuplicates(["digest"])
+    side = lambda name: ends.select(F.col("uid").alias(name), F.col("end").alias(f"{name}_end"))
+    sided = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").withColumn("hub", F.greatest("a_end", "b_end")).withColumn("leaf", F.least("a_end", "b_end"))
+    share = F.pmod(F.xxhash64("leaf.uid"), F.ceil(F.col("hub.c") / HUB_PAIRS).cast("long"))
+    sided = staged(sided.select("a", "b", F.col("leaf.digest").alias("leaf"), F.col("hub.digest").alias("hub"), share.alias("share")), "sided", folder)
+    left = sided.join(sets.select(F.col("digest").alias("leaf"), F.col("members").alias("left")), "leaf").select("a", "b", "hub", "share", "left")
+    right = sided.select("hub", "share").distinct().join(sets.select(F.col("digest").alias("hub"), F.col("members").alias("right")), "hub")
+    return left.join(right, ["hub", "share"]).select("a", "b", "left", "right")
 
 
 def _members(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -165,7 +172,7 @@ def _members(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield np.frombuffer(left.as_buffer(), dtype=np.uint64), np.frombuffer(right.as_buffer(), dtype=np.uint64)
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int, folder: str) -> DataFrame:
     """The pairs (a, b) of nodes that link, on whole sets."""
 
     def check(batches):
@@ -179,10 +186,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, p
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(docs, nodes, pairs, words).mapInArrow(check, "a long, b long")
+    return _with_sets(docs, nodes, pairs, words, folder).mapInArrow(check, "a long, b long")
 
 
-def _around(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _around(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, percent: int, folder: str) -> DataFrame:
     """Pairs of a set (a) and its pivot (b): whether they link, and their differences (null if too many to be of use)."""
 
     def compare(batches):
@@ -196,7 +203,7 @@ def _around(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int, per
                 apart.append(other.view(np.int64) if 100 * common >= AROUND * union else None)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_()), pa.array(apart, pa.list_(pa.int64()))], ["a", "b", "linked", "differences"])
 
-    return _with_sets(docs, nodes, pairs, words).mapInArrow(compare, "a long, b long, linked boolean, differences array<long>")
+    return _with_sets(docs, nodes, pairs, words, folder).mapInArrow(compare, "a long, b long, linked boolean, differences array<long>")
 
 
 def _sided(rows: DataFrame, keys: list[str], classes: list[str]) -> DataFrame:
@@ -240,15 +247,17 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     head = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
     nodes = rows.where("n > 0").groupBy("digest").agg(F.min("uid").alias("uid"), F.min(head).alias("head"), F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("central").alias("central"))
     nodes = staged(nodes, "nodes", folder)
+    # What only leads to the links goes there and is removed once the components are written.
+    steps = f"{folder}/steps"
 
     token = rows.where("n > 0").select("uid", "n", F.posexplode("prefix").alias("pos", "token"))
     spare = F.expr(f"n - (n * {percent} + 99) div 100")
     token = token.select("token", "uid", F.greatest(F.lit(1), F.col("pos") - spare + 1).cast("int").alias("level"))
     shared = token.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     met = token.join(shared, "token").join(nodes.select("uid", "n", "central"), "uid")
-    met = staged(met, "met", folder)
+    met = staged(met, "met", steps)
     about = met.groupBy("token").agg(F.count("*").alias("c"), F.max_by("uid", F.struct("central", -F.col("uid"))).alias("pivot")).where("c > 1")
-    met = staged(met.join(about, "token"), "tokens", folder)
+    met = staged(met.join(about, "token"), "tokens", steps)
 
     costs = [F.sum(F.when(F.col("level") <= k, F.col("c")).otherwise(0)).cast("double").alias(f"s{k}") for k in range(1, LEVELS + 1)]
     total = lambda k: F.col(f"s{k}") + F.col(f"s{k}") / k * VERIFY_WEIGHT
@@ -259,14 +268,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     pivot = nodes.select(F.col("uid").alias("pivot"), F.col("n").alias("pivot_n"))
     star = met.where(f"c >= {CROWD} and uid <> pivot").groupBy("uid", "n", "pivot").count().join(pivot, "pivot").where(f"100 * least(n, pivot_n) >= {AROUND} * greatest(n, pivot_n)")
     star = star.groupBy("uid").agg(F.max_by("pivot", F.struct("count", "pivot")).alias("pivot"))
-    star = staged(star.select(F.col("uid").alias("a"), F.col("pivot").alias("b")), "star", folder)
-    around = staged(_around(docs, nodes, star, words, percent), "around", folder)
-    first = staged(around.where("linked").select("a", "b"), "star_links", folder)
-    part = components(first, f"{folder}/part").select(F.col("node").alias("uid"), "root")
+    star = staged(star.select(F.col("uid").alias("a"), F.col("pivot").alias("b")), "star", steps)
+    around = staged(_around(docs, nodes, star, words, percent, f"{steps}/first"), "around", steps)
+    first = staged(around.where("linked").select("a", "b"), "star_links", steps)
+    part = components(first, f"{steps}/part").select(F.col("node").alias("uid"), "root")
     group = around.where("differences is not null").select(F.col("a").alias("uid"), F.col("b").alias("grp"), "differences")
 
     met = met.drop("pivot", "central", "c").join(depth, "uid").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
-    met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", folder)
+    met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", steps)
     need = lambda: F.least(F.greatest("x.ell", "y.ell"), F.expr(f"(x.n * {percent} + 99) div 100"), F.expr(f"(y.n * {percent} + 99) div 100"))
     edge = [F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")]
     cross = _crossing(met, ["token"], ["part", "grp"], near(F.col("x.n"), F.col("y.n")) & (F.col("x.level") <= need()) & (F.col("y.level") <= need()))
@@ -276,16 +285,17 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     most = F.expr(f"s - n * {100 - percent} div {percent}")
     tokens = group.join(nodes.select("uid", "n"), "uid").join(part, "uid", "left")
     tokens = tokens.select("uid", "n", "grp", F.coalesce("root", "uid").alias("part"), F.size("differences").alias("s"), F.explode("differences").alias("token"))
-    tokens = staged(tokens, "differences", folder)
+    tokens = staged(tokens, "differences", steps)
     counts = tokens.groupBy("grp", "token").agg(F.count("*").alias("c"))
     place = F.row_number().over(Window.partitionBy("uid").orderBy("c", "token")) - 1
     tokens = tokens.join(counts, ["grp", "token"]).withColumn("pos", place).where((F.col("c") > 1) & (F.col("pos") <= F.col("s") - F.greatest(F.lit(1), most)))
-    tokens = staged(tokens.drop("c"), "difference_prefixes", folder)
+    tokens = staged(tokens.drop("c"), "difference_prefixes", steps)
     common = F.greatest(F.lit(1), F.expr(f"(x.s + y.s - (x.n + y.n) * {100 - percent} div {100 + percent} + 1) div 2"))
     close = _crossing(tokens, ["grp", "token"], ["part"], near(F.col("x.n"), F.col("y.n")) & (F.col("x.pos") <= F.col("x.s") - common) & (F.col("y.pos") <= F.col("y.s") - common))
     pairs = pairs.unionByName(close.select(*edge).distinct())
-    second = _verified(docs, nodes, staged(pairs, "pairs", folder), words, percent)
-    whole = components(staged(first.unionByName(second), "links", folder), f"{folder}/whole")
+    second = _verified(docs, nodes, staged(pairs, "pairs", steps), words, percent, f"{steps}/second")
+    whole = components(staged(first.unionByName(second), "links", steps), f"{folder}/whole")
+    discard(spark, steps)
 
     named = nodes.join(whole.select(F.col("node").alias("uid"), "root"), "uid", "left").withColumn("root", F.coalesce("root", "uid"))
     named = named.join(named.groupBy("root").agg(F.min("head").alias("first")), "root").select("digest", "first")

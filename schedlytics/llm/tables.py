@@ -33,6 +33,12 @@ def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     return stage(df, folder or work_dir(df.sparkSession), name)
 
 
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove staged tables that nothing reads any more, in whichever file system the folder is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A text column without nulls (null: empty) as 64-bit offset strings."""
     return pc.fill_null(batch.column(name).cast(pa.large_string()), "")

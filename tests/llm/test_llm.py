@@ -71,8 +71,9 @@ def test_jaccard_components(spark, docs, none):
     assert jaccard.jaccard_components(none).count() == 0
 
 
-def test_jaccard_joins_a_group_through_its_hub(spark):
-    """Copies that link with their base but not with each other, in a group above the crowd limit."""
+def test_jaccard_joins_a_group_through_its_hub(spark, monkeypatch):
+    """Copies that link with their base but not with each other, in a group above the crowd limit; the hub's pairs share several copies of its set."""
+    monkeypatch.setattr(jaccard, "HUB_PAIRS", 7)
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in range(120)]
     texts = [" ".join(base)]
