@@ -4,7 +4,8 @@ Texts are sets of 64-bit hashes of their word n-grams, in one order for all: shi
 the others by hash. Two sets with 100 * common >= percent * union share at least L shingles of their prefixes of length
 n - ceil(percent * n / 100) + L, for every L up to their needed overlap. Every set publishes its longest prefix; a cost
 estimate per set (rows its prefix tokens meet, and candidates those can make) picks its own L, a pair uses the larger of
-both, and only pairs with that many common prefix tokens are verified on whole sets.
+both, and only pairs with that many common prefix tokens are verified on whole sets. Sizes that are close ask for more: the
+overlap that a link needs leaves few other tokens in the prefix that ends first, all the rest of that prefix must be common.
 
 Rows of one token are never paired with each other wholesale. Equal sets are one node from the start. Sets of crowded tokens
 are first verified against a token's most central set, their pivot; what that joins is contracted, and only pairs of
@@ -276,10 +277,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
 
     met = met.drop("pivot", "central", "c").join(depth, "uid").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
     met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", steps)
-    need = lambda: F.least(F.greatest("x.ell", "y.ell"), F.expr(f"(x.n * {percent} + 99) div 100"), F.expr(f"(y.n * {percent} + 99) div 100"))
+    floor = lambda n: F.expr(f"({n} * {percent} + 99) div 100")
+    need = lambda: F.least(F.greatest("x.ell", "y.ell"), floor("x.n"), floor("y.n"))
     edge = [F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")]
     cross = _crossing(met, ["token"], ["part", "grp"], near(F.col("x.n"), F.col("y.n")) & (F.col("x.level") <= need()) & (F.col("y.level") <= need()))
-    pairs = cross.select(*edge, need().alias("need")).groupBy("a", "b", "need").count().where("count >= need").select("a", "b")
+    # Of the two prefixes the one that ends first holds only common tokens of both prefixes and at most n - overlap others.
+    overlap = F.expr(f"((x.n + y.n) * {percent} + {99 + percent}) div {100 + percent}")
+    least = need() + F.greatest(F.lit(0), overlap - F.greatest(floor("x.n"), floor("y.n")))
+    pairs = cross.select(*edge, least.alias("least")).groupBy("a", "b", "least").count().where("count >= least").select("a", "b")
 
     # Differences around one pivot: |x ^ y| <= (100 - percent) / (100 + percent) * (|x| + |y|) for a link, and what exceeds it must be common.
     most = F.expr(f"s - n * {100 - percent} div {percent}")
