@@ -271,6 +271,38 @@ def test_search_against_brute_force(spark, docs, none):
     assert search.search(none, none.selectExpr("doc_id as query_id", "text")).count() == 0
 
 
+def test_search_scores_every_word_of_a_query_text(spark):
+    table = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    terms = {d: Counter(words_of(pa.array([t], pa.large_string()), True).hashes().view(np.int64).tolist()) for d, t in table}
+    df = Counter(t for c in terms.values() for t in c)
+    mean = sum(sum(c.values()) for c in terms.values()) / len(terms)
+    idf = {t: math.log1p((len(terms) - n + 0.5) / (n + 0.5)) for t, n in df.items()}
+    impact = {d: {t: int(np.rint(1e6 * idf[t] * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)))) for t, n in c.items()} for d, c in terms.items()}
+    got = {}
+    for r in queries.op9_wand_top_k(spark, SMALL).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.doc_id, r.score))
+    asked = [d for d in terms if d % 20 == 0]
+    assert any(df[t] == 1 for q in asked for t in terms[q]) and max(len(terms[q]) for q in asked) > 100
+    for q in asked:
+        score = {d: sum(own[t] for t in terms[q] if t in own) for d, own in impact.items()}
+        assert got.get(q, []) == [(d, s / 1e6) for d, s in sorted(score.items(), key=lambda x: (-x[1], x[0])) if s > 0][:10]
+
+
+def test_wand_is_exact_with_many_lists_and_ties():
+    rng = np.random.default_rng(6)
+    for turn in range(40):
+        lists = []
+        for _ in range(rng.integers(50, 200)):
+            at = np.unique(rng.integers(0, 700, rng.integers(1, [40, 400, 700][turn % 3]))).astype(np.int32)
+            impact = rng.integers(1, 3 + 2000 // len(at), len(at)).astype(np.int64)
+            lists.append((at, impact, np.maximum.reduceat(impact, np.arange(0, len(at), search.BLOCK)), int(impact.max())))
+        total = Counter()
+        for at, impact, _, _ in lists:
+            for d, v in zip(at.tolist(), impact.tolist(), strict=True):
+                total[d] += v
+        assert search.wand(lists, 7) == sorted(((v, d) for d, v in total.items()), key=lambda x: (-x[0], x[1]))[:7]
+
+
 def test_masked_lm_beats_word_frequencies(spark, docs, none):
     table = spark.read.parquet(f"{SMALL.replace('sf0.001', 'sf0.01')}/documents.parquet")
     frequent = masked_lm.frequent_words(table)
