@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +34,7 @@ SENTENCES = {
     "bsd-name": ["Licensed under the BSD 3-Clause License", "Released under the BSD 3-Clause License", "This work is licensed under the BSD 3-Clause License", "Distributed under the BSD 3-Clause License"],
     "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies"],
     "mpl2-name": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
-    "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/ under this License"],
+    "mpl2-copy": ["If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"],
     "ccby4-name": ["This work is licensed under a Creative Commons Attribution 4.0 International License", "Licensed under CC BY 4.0", "Released under the Creative Commons Attribution 4.0 International License"],
     "ccbync4-name": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc0-name": ["This work is released into the public domain under CC0 1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
@@ -51,7 +52,7 @@ RULES = [
     ("CC-BY-4.0", ["ccby4-name"]), ("CC-BY-NC-4.0", ["ccbync4-name"]), ("CC0-1.0", ["cc0-name"]), ("Unlicense", ["unlicense"]), ("Proprietary", ["reserved"]),
 ]
 # Every sentence above has one of these in lower case, so that a text without any has no licence sentence.
-MARKS = ("licen", "permission", "copyright", "warrant", "redistribut", "public domain", "cc by", "rights reserved")
+MARKS = ("licen", "permission", "copyright", "warrant", "redistribut", "public domain", "cc by", "rights reserved", "mozilla.org/mpl")
 TAG = re.compile(r"spdx-license-identifier:\s*([\w.+-]+)", re.IGNORECASE)
 END = re.compile(r"(?<=[.!?;])[\"')\]]*\s+|(?<=:)(?<!dentifier:)\s+|\n\s*\n")
 OTHER = re.compile(r"[^\w.+]+|_+")
@@ -62,13 +63,30 @@ def normal(sentence: str) -> str:
     return " ".join(w for w in (x.strip(".") for x in OTHER.sub(" ", sentence.lower()).split()) if w)
 
 
-KNOWN = {normal(s): name for name, variants in SENTENCES.items() for s in variants}
+def pieces() -> tuple[dict[str, str], dict[str, list[list[str]]]]:
+    """Identifiers of the pieces that ``END`` cuts the sentences into, and the piece sequences of each sentence.
+
+    A sentence of one piece keeps its identifier, further pieces are numbered; a piece that two sentences share has one identifier.
+    """
+    known, sequences = {}, {}
+    for name, variants in SENTENCES.items():
+        for variant in variants:
+            cut = [normal(x) for x in END.split(variant)]
+            own = [known.setdefault(x, name if len(cut) == 1 else f"{name}.{k}") for k, x in enumerate(cut, 1)]
+            if own not in sequences.setdefault(name, []):
+                sequences[name].append(own)
+    return known, sequences
+
+
+KNOWN, SEQUENCES = pieces()
+# The rules over identifiers of pieces, in the same order.
+PIECE_RULES = [(licence, [x for part in parts for x in part]) for licence, names in RULES for parts in product(*[SEQUENCES[n] for n in names])]
 
 
 def sentence_ids(text: str, known: dict[str, str] = KNOWN) -> tuple[list[str], int]:
     """Identifiers of the known sentences of a whole text in order, and how many others have a licence mark.
 
-    A sentence ends at an end mark before white space or at an empty line. If it is unknown as a whole, its lines and
+    A sentence ends at an end mark before white space or at an empty line; a piece of a known sentence may itself have no mark. If it is unknown as a whole, its lines and
     runs of lines up to its end or start are looked up, as notices often follow a text without an end mark.
     """
     found, others = [], 0
@@ -77,8 +95,7 @@ def sentence_ids(text: str, known: dict[str, str] = KNOWN) -> tuple[list[str], i
         return found, others
     for sentence in END.split(text):
         part = sentence.lower()
-        if not any(m in part for m in MARKS):
-            continue
+        marked = any(m in part for m in MARKS)
         if tag := TAG.search(sentence):
             found.append(f"spdx:{tag[1].rstrip('.')}")
             continue
@@ -90,11 +107,11 @@ def sentence_ids(text: str, known: dict[str, str] = KNOWN) -> tuple[list[str], i
         else:
             hits = [name]
         found += hits
-        others += not hits
+        others += marked and not hits
     return found, others
 
 
-def licences(ids: list[str], rules: list[tuple[str, list[str]]] = RULES) -> list[str]:
+def licences(ids: list[str], rules: list[tuple[str, list[str]]] = PIECE_RULES) -> list[str]:
     """Licences of an identifier sequence: at each place the first rule that matches takes its identifiers, else one is skipped."""
     out, at = [], 0
     while at < len(ids):

@@ -238,6 +238,47 @@ def test_licence_sentences(docs, none, spark):
     assert licences.scan(docs).count() == len(DOCS) and licences.scan(none).count() == 0
 
 
+GPL = """    {name} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+
+    You should have received a copy of the GNU General Public License{end}"""
+NOTICES = {
+    "GPL-3.0-or-later": """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+""" + GPL.format(name="This program", end="\n    along with this program.  If not, see <https://www.gnu.org/licenses/>."),
+    "GPL-2.0-or-later": """    This program is free software; you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation; either version 2 of the License, or
+    (at your option) any later version.
+
+""" + GPL.format(name="This program", end=" along\n    with this program; if not, write to the Free Software Foundation, Inc.,\n    51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+
+
+def test_licence_notices_as_published():
+    for name, notice in NOTICES.items():
+        assert licences.licences(licences.sentence_ids(notice)[0]) == [name]
+        commented = "\n".join(f" * {line}" if line else "" for line in notice.split("\n"))
+        assert licences.licences(licences.sentence_ids(commented)[0]) == [name]
+    ids = {name: licences.sentence_ids(notice)[0] for name, notice in NOTICES.items()}
+    assert ids["MPL-2.0"][-1] == "mpl2-copy" and ids["GPL-3.0-or-later"][-1] == ids["GPL-2.0-or-later"][-1] == "gpl-copy"
+
+
+def test_every_licence_rule_is_met_by_its_own_sentences():
+    for name, names in licences.RULES:
+        for k in range(max(len(licences.SENTENCES[n]) for n in names)):
+            variants = [licences.SENTENCES[n][k % len(licences.SENTENCES[n])] for n in names]
+            assert licences.licences(licences.sentence_ids(". ".join(variants) + ".")[0]) == [name], (name, names)
+
+
 def test_wand_is_exact():
     rng = np.random.default_rng(5)
     for _ in range(60):
