@@ -83,31 +83,52 @@ KNOWN, SEQUENCES = pieces()
 PIECE_RULES = [(licence, [x for part in parts for x in part]) for licence, names in RULES for parts in product(*[SEQUENCES[n] for n in names])]
 
 
-def sentence_ids(text: str, known: dict[str, str] = KNOWN) -> tuple[list[str], int]:
+# First words of known pieces, and the words of the longest.
+FIRST, LONGEST = frozenset(k.split(" ", 1)[0] for k in KNOWN), max(len(k.split(" ")) for k in KNOWN)
+
+
+def runs_of(sentence: str) -> list[str]:
+    """Identifiers of the known runs of whole lines in order, the longest from each line; runs do not overlap.
+
+    A run stops at the word count of the longest known piece, so the work is linear in the lines.
+    """
+    lines = [x for x in map(normal, sentence.split("\n")) if x]
+    found, at = [], 0
+    while at < len(lines):
+        hit, run, words = None, "", 0
+        if lines[at].split(" ", 1)[0] in FIRST:
+            for end in range(at, len(lines)):
+                words += lines[end].count(" ") + 1
+                if words > LONGEST:
+                    break
+                run = f"{run} {lines[end]}" if run else lines[end]
+                if run in KNOWN:
+                    hit = (KNOWN[run], end + 1)
+        if hit:
+            found.append(hit[0])
+        at = hit[1] if hit else at + 1
+    return found
+
+
+def sentence_ids(text: str) -> tuple[list[str], int]:
     """Identifiers of the known sentences of a whole text in order, and how many others have a licence mark.
 
-    A sentence ends at an end mark before white space or at an empty line; a piece of a known sentence may itself have no mark. If it is unknown as a whole, its lines and
-    runs of lines up to its end or start are looked up, as notices often follow a text without an end mark.
+    A sentence ends at an end mark before white space or at an empty line; a piece of a known sentence may itself have no mark. All
+    its known runs of lines are found, as notices often follow a text without an end mark, and every SPDX tag; text on either side
+    of a tag is looked up like a sentence.
     """
     found, others = [], 0
     low = text.lower()
     if not any(m in low for m in MARKS):
         return found, others
     for sentence in END.split(text):
-        part = sentence.lower()
-        marked = any(m in part for m in MARKS)
-        if tag := TAG.search(sentence):
-            found.append(f"spdx:{tag[1].rstrip('.')}")
-            continue
-        name = known.get(normal(sentence))
-        if name is None:
-            lines = sentence.split("\n")
-            name = next((hit for cut in range(1, len(lines)) for piece in (lines[cut:], lines[:cut]) if (hit := known.get(normal("\n".join(piece))))), None) if len(lines) < 64 else None
-            hits = [name] if name else [hit for line in lines if (hit := known.get(normal(line)))]
-        else:
-            hits = [name]
+        part, hits, at = sentence.lower(), [], 0
+        for tag in TAG.finditer(sentence):
+            hits += [*runs_of(sentence[at:tag.start()]), f"spdx:{tag[1].rstrip('.')}"]
+            at = tag.end()
+        hits += runs_of(sentence[at:])
         found += hits
-        others += marked and not hits
+        others += not hits and any(m in part for m in MARKS)
     return found, others
 
 

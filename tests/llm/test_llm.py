@@ -272,6 +272,17 @@ def test_licence_notices_as_published():
     assert ids["MPL-2.0"][-1] == "mpl2-copy" and ids["GPL-3.0-or-later"][-1] == ids["GPL-2.0-or-later"][-1] == "gpl-copy"
 
 
+def test_licence_runs_at_every_length_and_place():
+    found = lambda text: licences.licences(licences.sentence_ids(text)[0])
+    wrapped = "This work is licensed under the GNU General\nPublic License, version 3"
+    for n in (1, 61, 62, 63, 64, 500, 20_000):
+        entries = "\n".join(f"entry {k}" for k in range(n))
+        assert found(f"{entries}\n{wrapped}") == found(f"{wrapped}\n{entries}") == found(f"{entries}\n{wrapped}\n{entries}") == ["GPL-3.0-only"]
+    assert found("Released under the MIT License\nLicensed under CC BY 4.0") == ["MIT", "CC-BY-4.0"]
+    assert found("SPDX-License-Identifier: MIT\nSPDX-License-Identifier: ISC\nAll rights reserved") == ["MIT", "ISC", "Proprietary"]
+    assert found("Licensed under CC BY 4.0\nSPDX-License-Identifier: MIT") == ["CC-BY-4.0", "MIT"]
+
+
 def test_every_licence_rule_is_met_by_its_own_sentences():
     for name, names in licences.RULES:
         for k in range(max(len(licences.SENTENCES[n]) for n in names)):
