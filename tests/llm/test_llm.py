@@ -364,3 +364,13 @@ def test_masked_lm_beats_word_frequencies(spark, docs, none):
     got = masked_lm.pseudo_likelihood(table).selectExpr("sum(pll) / sum(n_tokens) as mean").first().mean
     assert got > plain
     assert len(masked_lm.pseudo_likelihood(docs).collect()) == len(DOCS) and masked_lm.pseudo_likelihood(none).count() == 0
+
+
+def test_masked_lm_trains_on_every_token(spark, tmp_path):
+    """The words at one place in five of a text are not all that the network learns."""
+    text = " ".join("x" if k in (0, 5, 10) else "y" for k in range(16))
+    table = spark.createDataFrame([(k, text) for k in range(50)], "doc_id long, text string").coalesce(1)
+    encoded = masked_lm.encode(table, masked_lm.frequent_words(table))
+    line = np.frombuffer(bytes(2) + encoded.first().tokens + bytes(2), dtype=np.uint8)
+    logs = masked_lm.train(encoded, str(tmp_path)).forward(line, np.arange(2, 18))[1][np.arange(16), line[2:18]]
+    assert logs.min() > -np.log(masked_lm.CLASSES)
