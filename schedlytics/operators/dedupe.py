@@ -25,15 +25,18 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str], last: boo
 
 
 def flag_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "is_repeat") -> DataFrame:
-    """Mark every row that is not the first of its key by ``order`` (which must be unique inside the key).
+    """Mark every row that is not the first of its key by ``order``, then by the other columns.
 
-    The first of each key is an aggregate joined back null-safely; the join
-    leaves a hot key to adaptive skew splitting instead of one window task.
+    Rows equal in every column are told apart: they are one row with a count until the end, where the first copy
+    of the first row alone is unmarked. Grouping by whole rows spreads a hot key over tasks; the first of each key
+    is an aggregate of those, joined back null-safely, and adaptive skew splitting has the rest.
     """
-    first = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(F.struct(*order)).alias("_first"))
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
+    row = F.struct(*order, *[c for c in df.columns if c not in order])
+    first = counted.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(row).alias("_first"))
     cond = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
-    joined = df.join(first, cond, "left")
-    return joined.select(*df.columns, (F.struct(*order) > F.col("_first")).alias(name))
+    each = counted.join(first, cond, "left").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
+    return each.select(*df.columns, ((row > F.col("_first")) | (F.col("_copy") > 1)).alias(name))
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence, n: int, rank: str | None = None) -> DataFrame:

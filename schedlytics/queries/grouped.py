@@ -222,7 +222,7 @@ def distinct_rows(v):
 
 @query("duplicate_flag", "p_date d, group_id i, type2 i, n_repeats i", """
     SELECT p_date, group_id, type2, count(*) FILTER (WHERE rn > 1) AS n_repeats FROM (
-      SELECT *, rank() OVER (PARTITION BY p_date, group_id, type2 ORDER BY id, branch_id, orders, days_diff NULLS FIRST) AS rn FROM schedule_pool) AS t GROUP BY 1, 2, 3""")
+      SELECT *, row_number() OVER (PARTITION BY p_date, group_id, type2 ORDER BY id, branch_id, orders, days_diff NULLS FIRST) AS rn FROM schedule_pool) AS t GROUP BY 1, 2, 3""")
 def duplicate_flag(v):
     flagged = dedupe.flag_repeats(v.schedule_pool, ["p_date", "group_id", "type2"], ["id", "branch_id", "orders", "days_diff"])
     return flagged.groupBy("p_date", "group_id", "type2").agg(F.count_if("is_repeat").alias("n_repeats"))

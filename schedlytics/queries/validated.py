@@ -130,7 +130,7 @@ def rule_category_limit(v):
 
 
 check_step("type_repeats", """
-    SELECT * FROM (SELECT *, rank() OVER (PARTITION BY p_date, group_id, type ORDER BY id, branch_id, orders, days_diff NULLS FIRST) AS rn FROM valid_rows) AS t WHERE rn > 1""")
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY p_date, group_id, type ORDER BY id, branch_id, orders, days_diff NULLS FIRST) AS rn FROM valid_rows) AS t WHERE rn > 1""")
 
 
 @query("rule_type_duplicate", "id i, p_date d, group_id i, branch_id i, restaurant_id i, type i", "SELECT * FROM type_repeats")

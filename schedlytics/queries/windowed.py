@@ -133,9 +133,9 @@ def gap_fill_weeks(v):
 
 @query("last_per_group", "company_id i, schedule_on d, menu_id i, quantity i", """
     SELECT company_id, schedule_on, menu_id, quantity FROM (
-      SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY schedule_on DESC, order_id DESC, menu_id DESC) AS rn FROM order_rows) AS t WHERE rn = 1""")
+      SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY schedule_on DESC, order_id DESC, menu_id DESC, quantity DESC) AS rn FROM order_rows) AS t WHERE rn = 1""")
 def last_per_group(v):
-    return top_n(v.order_rows, ["company_id"], [F.desc("schedule_on"), F.desc("order_id"), F.desc("menu_id")], 1)
+    return top_n(v.order_rows, ["company_id"], [F.desc("schedule_on"), F.desc("order_id"), F.desc("menu_id"), F.desc("quantity")], 1)
 
 
 @query("top5_per_group", "group_id i, restaurant_id i, orders i, place i", """

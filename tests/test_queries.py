@@ -1,9 +1,5 @@
-"""Registered queries against their check SQL on the smallest data, compared as whole multisets.
+"""All registered queries against their check SQL on the smallest data, compared as whole multisets."""
 
-The default set covers every operator family; SCHEDLYTICS_ALL=1 runs all.
-"""
-
-import os
 from collections import Counter
 from pathlib import Path
 
@@ -14,17 +10,7 @@ from conftest import SMALL
 from schedlytics.queries import load
 
 QUERIES = load()
-CORE = """scan_projected scan_json_props sink_roundtrip reject_split reject_report append_missing append_missing_nullsafe metrics_long
-    lookback_window dense_week_index year_week_text last_n_weeks days_since_last lateness_clamped time_split
-    active_entities fill_by_family round_half_even client_id_parse enum_lookup
-    join_right join_full join_indicator area_membership candidate_grid lookup_dedup fill_latest_known nearest_cluster dominant_group
-    weekly_stats distinct_users group_rollup_mode quantile_higher restaurant_quartiles pivot_totals pivot_share dedupe_last duplicate_flag
-    regression_report macro_f1 expanding_stats average_rank quantile_bin previous_orders forward_fill next_known gap_fill_weeks top5_per_group day_share
-    array_overlap array_duplicates order_schedule_ratio client_routing prepared_history panel_pair training_features lateness_features
-    hybrid_predictions schedule_input relevance_share capacity_assign cluster_groups publish_rows
-    rule_perday_matrix rule_category_limit rule_type_sets rule_top_overlap rule_premium_share rule_type_list rule_report
-    json_branch_docs json_group_docs menu_docs""".split()
-NAMES = [n for n in QUERIES if QUERIES[n].check] if os.environ.get("SCHEDLYTICS_ALL") else CORE
+NAMES = [n for n in QUERIES if QUERIES[n].check]
 
 
 @pytest.fixture(scope="module")

@@ -163,6 +163,12 @@ def test_keep_one_and_flag_repeats_on_a_hot_key(spark):
     assert {(r.k, r.i, r.x) for r in flagged if not r.is_repeat} == set(first.values()) and len(flagged) == 400
 
 
+def test_flag_repeats_counts_rows_equal_in_every_column(spark):
+    df = spark.createDataFrame([(1, 5, "x"), (1, 5, "x"), (1, 5, "y"), (2, 5, "x"), (None, 1, "z"), (None, 1, "z")], "k int, i int, other string").repartition(3)
+    flagged = sorted((tuple(r) for r in dedupe.flag_repeats(df, ["k"], ["i"]).collect()), key=repr)
+    assert flagged == sorted([(1, 5, "x", False), (1, 5, "x", True), (1, 5, "y", True), (2, 5, "x", False), (None, 1, "z", False), (None, 1, "z", True)], key=repr)
+
+
 def test_flag_repeats_treats_null_as_a_key(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (3, 3)], "k long, i long")
     assert rows(dedupe.flag_repeats(df, ["k"], ["i"]).select("i", "is_repeat")) == [(1, False), (2, True), (3, False)]
