@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schedlytics.llm import bpe, chat, exact_dedup, jaccard, langid, licences, masked_lm, mixing, rules, search, warc
+from schedlytics.llm import bpe, chat, divergence, exact_dedup, jaccard, langid, licences, masked_lm, mixing, resampling, rules, search, warc
 from schedlytics.llm.tables import table
 from schedlytics.session import work_dir
 
@@ -66,14 +66,24 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_masked_lm, op3_mix_sources, op4_chat_prefix_tree, op5_byte_bpe, op6_language_id, op7_quality_rules, op8_license_scan, op9_wand_top_k, op10_jaccard_join,
-    op13_exact_dedup)}
+    op11_source_divergence, op12_importance_resampling, op13_exact_dedup)}
 SQL: dict[str, str] = {
     "op3_mix_sources": mixing.MIX_SQL.format(docs="documents") + "SELECT doc_id, size, source_size, target, CAST(copies * size AS BIGINT) AS taken FROM mixed",
+    "op11_source_divergence": divergence.DIVERGENCE_SQL,
+    "op12_importance_resampling": resampling.RESAMPLE_SQL,
     "op13_exact_dedup": exact_dedup.DUPLICATES_SQL,
 }
