@@ -4,9 +4,9 @@ Kurtosis and skew follow the population definition with two edge rules: any
 NULL in the group makes them NULL, and zero variance gives kurtosis -3 and skew
 0. The other five skip NULLs.
 
-Exact medians keep one counter per distinct value and group, merged map side
-before the shuffle; order counts and ratings have few distinct values, so a hot
-key costs one small map per task instead of its rows.
+As a group aggregate the median keeps one counter per distinct value, merged
+map side; ``panels.weekly_stats`` takes groups that are too large for that to a
+selection by ranges.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 STATS = ("min", "max", "mean", "median", "std", "kurtosis", "skew")
 
 
-def seven(value: str, over: str = "", prefix: str = "") -> list[Column]:
+def seven(value: str, over: str = "", prefix: str = "", skip: Sequence[str] = ()) -> list[Column]:
     """Columns ``{prefix}_{stat}`` of ``value``; ``over`` is an OVER clause for the window form."""
     shape = lambda fn, at_zero: (f"CASE WHEN count({value}) {over} < count(1) {over} THEN NULL "
                                  f"WHEN var_pop({value}) {over} = 0 THEN {at_zero} ELSE {fn}({value}) {over} END")
@@ -28,7 +28,7 @@ def seven(value: str, over: str = "", prefix: str = "") -> list[Column]:
         "median": f"percentile({value}, 0.5) {over}", "std": f"stddev_samp({value}) {over}",
         "kurtosis": shape("kurtosis", -3), "skew": shape("skewness", 0),
     }
-    return [F.expr(f"CAST({made[s]} AS DOUBLE) AS {prefix or value}_{s}") for s in STATS]
+    return [F.expr(f"CAST({made[s]} AS DOUBLE) AS {prefix or value}_{s}") for s in STATS if s not in skip]
 
 
 def running(keys: Sequence[str], order: str) -> str:

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from schedlytics.operators import ranks
+from schedlytics.session import work_dir
+
 
 def attach_groups(df: DataFrame, *specs: tuple[Sequence[str], Sequence[Column]]) -> DataFrame:
     """Group values on every row, for one or more (keys, aggregates); rows with a null key get NULL.
@@ -28,14 +31,16 @@ def keep_groups(df: DataFrame, keys: Sequence[str], having: Column) -> DataFrame
     return df.join(good, list(keys), "left_semi")
 
 
-def quantiles_higher(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
+def quantiles_higher(df: DataFrame, value: str, qs: Sequence[float], folder: str | None = None) -> DataFrame:
     """One row (q1, q2, ...): the exact quantiles at sorted index ceil(q * (n - 1)), and the maximum as ``top``.
 
-    The interpolated quantile lies between that element and the one below it,
-    so the answer is the smallest value not under it. Two aggregate passes; no
-    sort and no row numbering of the frame.
+    A frame of more than ``ranks.HEAVY`` rows is selected from by ranges of its values. A smaller one fits a single task: the
+    interpolated quantile lies between that element and the one below it, so the answer is the smallest value not under it.
     """
     x = F.col(value)
+    if df.count() > ranks.HEAVY:
+        places = {f"q{i + 1}": F.ceil(F.lit(q) * (F.col("_total") - 1)) for i, q in enumerate(qs)} | {"top": F.col("_total") - 1}
+        return ranks.select_ranks(df, [], value, places, folder or work_dir(df.sparkSession))
     mids = df.select(F.percentile(x, F.array(*[F.lit(q) for q in qs]))).scalar()
     cut = df.withColumn("_mids", mids)
     return cut.select(*[F.min(F.when(x >= F.col("_mids")[i], x)).alias(f"q{i + 1}") for i in range(len(qs))], F.max(x).alias("top"))

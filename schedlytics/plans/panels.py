@@ -7,6 +7,7 @@ history, however many raw rows its key has.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,15 +15,36 @@ from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
+from schedlytics.operators import ranks
 from schedlytics.operators.aggregates import distinct_with_null
 from schedlytics.operators.joins import prefixed
+from schedlytics.session import work_dir
+from schedlytics.sources.sinks import stage
 
 WEEK = "week_no"
 
 
-def weekly_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """The seven statistics of each value per (key, week)."""
-    return df.groupBy(*keys, WEEK).agg(*[c for v in values for c in moments.seven(v)])
+def weekly_stats(df: DataFrame, keys: Sequence[str], values: Sequence[str], folder: str | None = None) -> DataFrame:
+    """The seven statistics of each value per (key, week).
+
+    One map-side combined aggregate, unless a (key, week) has more than ``ranks.HEAVY`` rows: the medians of such groups are
+    selected by ranges of their values, and their other six statistics need no more than a few sums.
+    """
+    group = [*keys, WEEK]
+    columns = [*group, *[n for v in values for n in moments.names(v)]]
+    heavy = df.groupBy(*group).agg(F.count("*").alias("_rows")).where(F.col("_rows") > ranks.HEAVY).select(*group)
+    once = lambda rows: rows.groupBy(*group).agg(*[c for v in values for c in moments.seven(v)])
+    if heavy.isEmpty():
+        return once(df)
+    folder = folder or work_dir(df.sparkSession)
+    named = stage(heavy.select(*[F.col(k).alias(f"_h_{k}") for k in group]), folder, "heavy_groups")
+    same = lambda rows, other, prefix: functools.reduce(lambda a, b: a & b, [rows[k].eqNullSafe(other[f"{prefix}{k}"]) for k in group])
+    large = stage(df.join(named, same(df, named, "_h_"), "left_semi").select(*group, *values), folder, "heavy_rows")
+    out = large.groupBy(*group).agg(*[c for v in values for c in moments.seven(v, skip=["median"])])
+    for v in values:
+        middle = ranks.medians(large, group, v, folder, f"{v}_median").withColumnsRenamed({k: f"_m_{k}" for k in group})
+        out = out.join(middle, same(out, middle, "_m_"), "left").drop(*[f"_m_{k}" for k in group])
+    return once(df.join(named, same(df, named, "_h_"), "left_anti")).select(*columns).unionByName(out.select(*columns))
 
 
 def expanding_stats(weekly: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

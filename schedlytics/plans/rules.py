@@ -16,6 +16,7 @@ from schedlytics.functions import arrays
 from schedlytics.functions import scalars as S
 from schedlytics.operators.aggregates import keep_groups, melt_sizes, metrics_long, with_total_row
 from schedlytics.operators.dedupe import flag_repeats
+from schedlytics.operators.ranks import row_numbers
 from schedlytics.sources.inline import inline_table
 
 GROUP_DAY = ["p_date", "group_id"]
@@ -222,11 +223,14 @@ def type_list(days: DataFrame) -> DataFrame:
     return days.where(~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok))
 
 
-def unscheduled_branches(pool: DataFrame, period: Sequence[str]) -> DataFrame:
-    """Branches of the pool without a valid schedule, ranked by demand; one aggregate replaces the set difference."""
+def unscheduled_branches(pool: DataFrame, period: Sequence[str], folder: str) -> DataFrame:
+    """Branches of the pool without a valid schedule, ranked by demand; one aggregate replaces the set difference.
+
+    The places of a period are numbered by ranges, so its branches need not meet in one task.
+    """
     totals = pool.groupBy(*period, "branch_id").agg(F.sum("orders").alias("orders"), F.count_if(F.col("schedule_status") == 0).alias("_valid"))
-    w = Window.partitionBy(*period).orderBy(F.desc("orders"), "branch_id")
-    return totals.where(F.col("_valid") == 0).drop("_valid").withColumn("place", F.row_number().over(w))
+    unused = totals.where(F.col("_valid") == 0).drop("_valid")
+    return row_numbers(unused, period, [F.desc("orders"), F.col("branch_id")], folder, "place")
 
 
 def require_scheduled(pool: DataFrame) -> DataFrame:

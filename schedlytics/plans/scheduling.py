@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import scalars as S
+from schedlytics.operators import ranks
 from schedlytics.operators.aggregates import attach_groups
 from schedlytics.operators.dedupe import top_n
 from schedlytics.plans.entities import menu_is_open
@@ -141,8 +142,13 @@ def assign_capacity(df: DataFrame, order: Sequence[Column], largest: int | None,
     return ranked.where(F.col("slot") <= F.col(capacity)).unionByName(free)
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], order: str, name: str) -> DataFrame:
-    """Ascending rank where ties share the mean rank; expects rows reduced per key beforehand."""
+def average_rank(df: DataFrame, keys: Sequence[str], order: str, name: str, folder: str | None = None) -> DataFrame:
+    """Ascending rank where ties share the mean rank.
+
+    Without a ``folder`` a key is one window and must be reduced beforehand; with one, keys of any size are ranked by ranges.
+    """
+    if folder is not None:
+        return ranks.average_ranks(df, keys, order, folder, name)
     w = Window.partitionBy(*keys).orderBy(order)
     ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, order))
     return df.withColumn(name, F.rank().over(w) + (ties - 1) / 2)

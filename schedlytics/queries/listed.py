@@ -6,6 +6,7 @@ from schedlytics.functions import arrays
 from schedlytics.plans import rules, scheduling
 from schedlytics.queries.windowed import pool_pairs
 from schedlytics.registry import query
+from schedlytics.session import work_dir
 
 
 @query("priority_sort", "group_id i, restaurant_id i, orders i, bin i, rank i, weight i", """
@@ -36,7 +37,7 @@ def union_by_name(v):
     SELECT p_date, branch_id, orders, row_number() OVER (PARTITION BY p_date ORDER BY orders DESC, branch_id) AS place
     FROM (SELECT p_date, branch_id, sum(orders) AS orders FROM schedule_pool GROUP BY 1, 2 HAVING count(*) FILTER (WHERE schedule_status = 0) = 0) AS t""")
 def unscheduled_branches(v):
-    return rules.unscheduled_branches(v.schedule_pool, ["p_date"])
+    return rules.unscheduled_branches(v.schedule_pool, ["p_date"], work_dir(v.spark))
 
 
 @query("array_overlap", "p_date d, group_id i, common i", """

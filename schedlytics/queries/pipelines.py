@@ -327,30 +327,128 @@ def scoring_candidates(v):
 
 
 SPEC = model.FeatureSpec(
-    numeric=["week_no", "previous_orders", "c_rating_mean", "c_exp_orders_mean", "r_orders_mean", "r_exp_orders_mean", "p_orders_max", "p_exp_orders_mean",
+    numeric=["previous_orders", "c_rating_mean", "c_exp_orders_mean", "r_orders_mean", "r_exp_orders_mean", "p_orders_max", "p_exp_orders_mean",
              "p_pair_rank", "unique_users", "total_orders"],
     categorical=["c_is_first_time_client", "p_is_first_time_pair", "category", "day_of_week", "type", "client_type"])
+KNOWN = ["category", "type"]
+TREES = 150
+PREDICTION_START = date(2024, 1, 28)
+
+
+def with_client_type(df):
+    return df.withColumn("client_type", S.client_type(F.col("client_id")))
+
+
+def feature_table(v, folder):
+    """The feature table as a stage of its own: fitting reads its input once per stage of the pipeline."""
+    return stage(with_client_type(clean_rows(v)), folder, "features")
 
 
 @query("train_score", "event_id i, schedule_on d, client_id s, restaurant_id i, predictions f, orders i")
 def train_score(v):
-    # Fitting reads its input once per stage, so the feature table is written first.
-    rows = stage(clean_rows(v).withColumn("client_type", S.client_type(F.col("client_id"))), work_dir(v.spark), "features")
-    train, valid = history.time_split(rows, "schedule_on", date(2024, 1, 28))
-    fitted = model.train(train, SPEC, trees=150, step=0.1)
-    known = model.seen_only(valid, train, ["category", "type"])
-    return model.score(fitted, known, SPEC, ["event_id", "schedule_on", "client_id", "restaurant_id"])
-
-
-LINEAR = "0.05 * c_orders_mean + 0.02 * r_orders_median + 0.1 * p_orders_max - 0.5 * p_pair_rank + 0.25 * day_of_week - 1"
-check_step("branch_scores", f"""
-    SELECT s.schedule_on + 7 AS schedule_on, s.client_id, s.restaurant_id, b.branch_id, CASE WHEN p <= 0 THEN 0 ELSE round_even(p, 0) END AS orders
-    FROM (SELECT *, CAST({LINEAR} AS DOUBLE) AS p FROM score_rows) AS s JOIN branch_area AS a ON s.area_id = a.area_id
+    folder = work_dir(v.spark)
+    train, valid = history.time_split(feature_table(v, folder), "schedule_on", PREDICTION_START)
+    known, _ = model.split_unseen(valid, train, KNOWN)
+    return model.score(model.fit(train, SPEC, folder, "split_model", trees=TREES), known, SPEC, ["event_id", "schedule_on", "client_id", "restaurant_id"])
+
+
+check_step("fit_rows", """
+    SELECT *, schedule_on <= DATE '2024-01-20' AS is_train, schedule_on BETWEEN DATE '2024-01-21' AND DATE '2024-01-27' AS is_valid FROM clean_rows""")
+check_step("valid_rows_tagged", """
+    SELECT *, CASE WHEN category NOT IN (SELECT category FROM fit_rows WHERE is_train) THEN 'unseen category'
+                   WHEN type NOT IN (SELECT type FROM fit_rows WHERE is_train) THEN 'unseen type' END AS reason FROM fit_rows WHERE is_valid""")
+MEASURES = ["mean_abs_error", "mse", "rmse", "r2", "y", "y_hat", "overall_acc", "diff_orders", "diff_adj1_orders", "diff_records", "diff_adj1_records",
+            "acc", "acc_adj1", "acc_orders", "acc_adj1_orders", "actual_r2", "macro_f1"]
+
+
+def recomputed(predictions):
+    """The report of staged predictions once more, as plain SQL that shares no code with it."""
+    return predictions.sparkSession.sql("""
+        WITH m AS (SELECT dataset, y, predictions, CASE WHEN predictions <= 0 THEN 0 ELSE bround(predictions) END AS r, avg(y) OVER (PARTITION BY dataset) AS mean FROM {p}),
+        d AS (SELECT *, abs(y - r) AS d FROM m),
+        f AS (SELECT dataset, avg(2 * hit / (truths + guesses)) AS macro_f1 FROM (
+                SELECT dataset, class, sum(hit) AS hit, sum(truth) AS truths, sum(guess) AS guesses FROM (
+                  SELECT dataset, CAST(y AS BIGINT) AS class, int(CAST(y AS BIGINT) = r) AS hit, 1 AS truth, 0 AS guess FROM m UNION ALL SELECT dataset, CAST(r AS BIGINT), 0, 0, 1 FROM m) GROUP BY dataset, class) GROUP BY dataset)
+        SELECT d.dataset, count(*) AS records, avg(d) AS mean_abs_error, avg(d * d) AS mse, sqrt(avg(d * d)) AS rmse, 1 - sum(d * d) / sum((y - mean) * (y - mean)) AS r2,
+               sum(y) AS y, sum(predictions) AS y_hat, least(sum(y), sum(predictions)) / greatest(sum(y), sum(predictions)) AS overall_acc, sum(d) AS diff_orders,
+               sum(if(d > 1, d, 0)) AS diff_adj1_orders, count_if(d > 0) AS diff_records, count_if(d > 1) AS diff_adj1_records,
+               1 - count_if(d > 0) / count(*) AS acc, 1 - count_if(d > 1) / count(*) AS acc_adj1, (sum(y) - sum(d)) / sum(y) AS acc_orders,
+               (sum(y) - sum(if(d > 1, d, 0))) / sum(y) AS acc_adj1_orders, 1 - sum((y - predictions) * (y - predictions)) / sum((y - mean) * (y - mean)) AS actual_r2, any_value(macro_f1) AS macro_f1
+        FROM d JOIN f ON d.dataset = f.dataset GROUP BY d.dataset""", p=predictions)
+
+
+@query("model_report", "dataset s, records i, y f, fits b, agrees b", """
+    SELECT 'train' AS dataset, count(*) AS records, sum(orders) AS y, TRUE AS fits, TRUE AS agrees FROM fit_rows WHERE is_train
+    UNION ALL SELECT 'validation', count(*), sum(orders), TRUE, TRUE FROM valid_rows_tagged WHERE reason IS NULL
+    UNION ALL SELECT 'complete', count(*), sum(orders), TRUE, TRUE FROM fit_rows""")
+def model_report(v):
+    """Fit reports of the trained model; ``fits``: better than the mean (on validation rows only a share), ``agrees``: equal to what plain SQL gives."""
+    folder = work_dir(v.spark)
+    predictions, report, _ = model.fit_reports(feature_table(v, folder), SPEC, "schedule_on", PREDICTION_START, KNOWN, folder, ["event_id"], trees=TREES)
+    again = recomputed(predictions)
+    near = lambda c: F.abs(report[c] - again[c]) <= 1e-6 * F.greatest(F.lit(1.0), F.abs(again[c]))
+    agrees = near("records")
+    for c in MEASURES:
+        agrees = agrees & near(c)
+    fits = F.when(report["dataset"] == "validation", report["acc_adj1"].between(0, 1)).otherwise(report["actual_r2"] > 0)
+    return report.join(again, report["dataset"] == again["dataset"]).select(report["dataset"], report["records"], report["y"], fits.alias("fits"), agrees.alias("agrees"))
+
+
+@query("model_rejects", "dataset s, reason s, n i", """
+    SELECT 'validation' AS dataset, reason, count(*) AS n FROM valid_rows_tagged WHERE reason IS NOT NULL GROUP BY reason
+    UNION ALL SELECT 'candidates', reason, count(*) FROM model_candidates WHERE reason IS NOT NULL GROUP BY reason
+    UNION ALL SELECT 'kept candidates', NULL, count(*) FROM model_candidates WHERE reason IS NULL""")
+def model_rejects(v):
+    """Rows that the model cannot score, by reason, and how many candidates it can."""
+    rows = feature_table(v, work_dir(v.spark))
+    train, valid = history.time_split(rows, "schedule_on", PREDICTION_START)
+    known, rejected = model.split_unseen(score_rows(v), rows, KNOWN)
+    counted = lambda df, name, keys: df.groupBy(*keys).agg(F.count("*").alias("n")).withColumn("dataset", F.lit(name))
+    return (counted(model.split_unseen(valid, train, KNOWN)[1], "validation", ["reason"]).unionByName(counted(rejected, "candidates", ["reason"]))
+            .unionByName(counted(known, "kept candidates", []).withColumn("reason", F.lit(None).cast("string"))))
+
+
+check_step("model_candidates", """
+    SELECT *, CASE WHEN category NOT IN (SELECT category FROM clean_rows) THEN 'unseen category'
+                   WHEN type NOT IN (SELECT type FROM clean_rows) THEN 'unseen type' END AS reason FROM score_rows""")
+check_step("model_branches", """
+    SELECT s.schedule_on + 7 AS schedule_on, s.client_id, s.restaurant_id, b.branch_id FROM model_candidates AS s JOIN branch_area AS a ON s.area_id = a.area_id
+    JOIN branches AS b ON a.branch_id = b.branch_id AND b.restaurant_id = s.restaurant_id WHERE b.status IN (1, 2) AND reason IS NULL""")
+
+
+def model_scores(v, folder):
+    """Scores of the model of all feature rows for the candidates it knows, as a stage."""
+    rows = feature_table(v, folder)
+    fitted = model.fit(rows, SPEC, folder, "complete_model", trees=TREES)
+    known, _ = model.split_unseen(with_client_type(score_rows(v)), rows, KNOWN)
+    return stage(model.score(fitted, known, SPEC, ["schedule_on", "client_id", "restaurant_id", "area_id"]), folder, "scores")
+
+
+@query("model_hybrid", "company_id i, group_id i, schedule_on d, branch_id i, restaurant_id i, model s, ratio_orders i, is_count b", """
+    SELECT company_id, group_id, schedule_on, branch_id, restaurant_id, model, ots AS ratio_orders, ots >= 0 AS is_count FROM ratio_rows WHERE model = 'ratio'
+    UNION ALL
+    SELECT r.company_id, g.group_id, schedule_on, branch_id, restaurant_id, model, NULL, TRUE FROM model_branches AS s
+    JOIN routes AS r ON s.client_id = r.company_id || '_C' LEFT JOIN (SELECT DISTINCT company_id, group_id FROM ratio_pairs) AS g ON r.company_id = g.company_id
+    WHERE model = 'model'""")
+def model_hybrid(v):
+    """The blend with the trained model; orders of model rows are trees' output and only checked for being counts."""
+    folder, facts, routes = routed(v)
+    scores = model_scores(v, folder)
+    by_model = stage(model.attach_branches(scores, v.branches, v.branch_area, shift_days=7), folder, "model_rows")
+    by_ratio = stage(ratio_rows(v, folder, facts, routes), folder, "ratio_rows")
+    blend = model.hybrid(by_ratio, by_model, routes, entities.active_clients(v.companies, v.client_groups))
+    return blend.withColumns({"ratio_orders": F.when(F.col("model") == "ratio", F.col("orders")), "is_count": F.col("orders") >= 0})
+
+
+# The naive forecast: a pair orders what it ordered last. It needs no training, so its blend is checked to the last number.
+check_step("branch_scores", """
+    SELECT s.schedule_on + 7 AS schedule_on, s.client_id, s.restaurant_id, b.branch_id, CASE WHEN previous_orders <= 0 THEN 0 ELSE round_even(previous_orders, 0) END AS orders
+    FROM score_rows AS s JOIN branch_area AS a ON s.area_id = a.area_id
     JOIN branches AS b ON a.branch_id = b.branch_id AND b.restaurant_id = s.restaurant_id WHERE b.status IN (1, 2)""")
 
 
 def branch_scores(v):
-    scored = score_rows(v).withColumn("orders", S.as_count(F.expr(LINEAR))).select("schedule_on", "client_id", "restaurant_id", "area_id", "orders")
+    scored = score_rows(v).withColumn("orders", S.as_count(F.col("previous_orders"))).select("schedule_on", "client_id", "restaurant_id", "area_id", "orders")
     return model.attach_branches(scored, v.branches, v.branch_area, shift_days=7)
 
 
@@ -368,7 +466,8 @@ def score_attach_branch(v):
 def hybrid_predictions(v):
     folder, facts, routes = routed(v)
     clients = entities.active_clients(v.companies, v.client_groups)
-    return model.hybrid(ratio_rows(v, folder, facts, routes), branch_scores(v), routes, clients)
+    by_ratio, by_model = stage(ratio_rows(v, folder, facts, routes), folder, "ratio_rows"), stage(branch_scores(v), folder, "model_rows")
+    return model.hybrid(by_ratio, by_model, routes, clients)
 
 
 # ---- scheduling input ----

@@ -12,6 +12,7 @@ from schedlytics.operators.dedupe import top_n
 from schedlytics.plans import panels, scheduling
 from schedlytics.queries.grouped import STATS, visit_weeks, weekly_sql
 from schedlytics.registry import check_step, query
+from schedlytics.session import work_dir
 
 HI, LO = date(1998, 12, 19), date(1998, 9, 19)
 
@@ -66,7 +67,7 @@ def dense_rank(v):
     FROM (SELECT restaurant_id, week_no, count(*) // 100 AS visits FROM visit_weeks GROUP BY 1, 2) AS t""")
 def average_rank(v):
     counts = visit_weeks(v).groupBy("restaurant_id", "week_no").agg(F.floor(F.count("*") / 100).alias("visits"))
-    return scheduling.average_rank(counts, ["week_no"], "visits", "position")
+    return scheduling.average_rank(counts, ["week_no"], "visits", "position", work_dir(v.spark))
 
 
 check_step("pool_pairs", "SELECT group_id, restaurant_id, perday_resto, sum(orders) AS orders FROM schedule_pool GROUP BY 1, 2, 3")

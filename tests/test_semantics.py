@@ -14,7 +14,7 @@ from schedlytics.functions import arrays
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
 from schedlytics.functions import scalars as S
-from schedlytics.operators import aggregates, dedupe, joins, publish, rejects
+from schedlytics.operators import aggregates, dedupe, joins, publish, ranks, rejects
 from schedlytics.plans import candidates, documents, history, lateness, model, panels, publishing, rules, scheduling
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -146,6 +146,67 @@ def test_previous_orders_look_at_observed_weeks(spark):
     assert rows(panels.previous_orders(df).select("week_no", "previous_orders")) == [(1, 0.0), (4, 7.0)]
 
 
+# ---- ranks and selection by ranges ----
+
+
+def spread_rows(n=3000):
+    """A hot key with distinct doubles, a hot value, small keys, a null key and null values."""
+    rng = random.Random(5)
+    out = [("hot", rng.uniform(-1, 1) * 10 ** rng.randint(-3, 6)) for _ in range(n)] + [("flat", 2.5)] * 400 + [("flat", float(i)) for i in range(7)]
+    out += [(None, float(i % 5)) for i in range(31)] + [(f"k{i % 40}", float(i * 7 % 11)) for i in range(300)] + [("hot", None), ("void", None), ("one", -3.0)]
+    rng.shuffle(out)
+    return out
+
+
+def by_key(data):
+    groups = {}
+    for k, x in data:
+        groups.setdefault(k, []).append(x)
+    return groups
+
+
+def test_row_numbers_of_spread_keys(spark, tmp_path):
+    data = [(k, x, i) for i, (k, x) in enumerate(spread_rows(1500))]
+    df = spark.createDataFrame(data, "k string, x double, i int").repartition(5)
+    got = {r.i: r.place for r in ranks.row_numbers(df, ["k"], [F.desc("x"), F.col("i")], str(tmp_path), "place").collect()}
+    for k in by_key([d[:2] for d in data]):
+        own = sorted((d for d in data if d[0] == k), key=lambda d: (d[1] is None, -(d[1] or 0), d[2]))
+        assert [got[i] for _, _, i in own] == list(range(1, len(own) + 1))
+
+
+def test_average_ranks_share_the_mean_across_ranges(spark, tmp_path):
+    data = spread_rows(800)
+    df = spark.createDataFrame(data, "k string, x double").repartition(6)
+    got = sorted((tuple(r) for r in ranks.average_ranks(df, ["k"], "x", str(tmp_path), "rank").collect()), key=repr)
+    groups = {k: [x for x in v if x is not None] for k, v in by_key(data).items()}
+    want = [(k, x, None if x is None else sum(y < x for y in groups[k]) + (sum(y == x for y in groups[k]) + 1) / 2) for k, x in data]
+    assert got == sorted(want, key=repr)
+
+
+def test_selection_equals_sorting(spark, tmp_path, monkeypatch):
+    data = spread_rows()
+    df = spark.createDataFrame(data, "k string, x double").repartition(4)
+    got = {r.k: r.m for r in ranks.medians(df, ["k"], "x", str(tmp_path), "m").collect()}
+    assert got == {k: float(np.median([x for x in v if x is not None])) for k, v in by_key(data).items() if any(x is not None for x in v)}
+    monkeypatch.setattr(ranks, "HEAVY", 100)
+    xs = sorted(x for _, x in data if x is not None)
+    cut = aggregates.quantiles_higher(df, "x", (0.0, 0.25, 0.5, 0.9), str(tmp_path)).first()
+    assert tuple(cut) == (*[xs[math.ceil(q * (len(xs) - 1))] for q in (0.0, 0.25, 0.5, 0.9)], xs[-1])
+
+
+def test_weekly_stats_of_heavy_groups(spark, tmp_path, monkeypatch):
+    """Groups above the limit give what one aggregate gives, with all-distinct doubles, null keys and null values."""
+    data = [(k, 1 + i % 2, x, None if i % 9 == 0 else float(i % 4)) for i, (k, x) in enumerate(spread_rows(1200))]
+    df = spark.createDataFrame(data, "k string, week_no int, x double, y double").repartition(4)
+    key = lambda r: (str(r[0]), r[1])
+    want = sorted((tuple(r) for r in panels.weekly_stats(df, ["k"], ["x", "y"]).collect()), key=key)
+    monkeypatch.setattr(ranks, "HEAVY", 12)
+    got = sorted((tuple(r) for r in panels.weekly_stats(df, ["k"], ["x", "y"], str(tmp_path)).collect()), key=key)
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[:2] == b[:2] and all((x is None and y is None) or x == pytest.approx(y, rel=1e-9) for x, y in zip(a[2:], b[2:], strict=True))
+
+
 # ---- dedupe, joins, spreading ----
 
 
@@ -436,8 +497,34 @@ def test_training_scores_new_rows(spark):
     fitted = model.train(df, spec, trees=5, depth=3)
     out = model.score(fitted, df, spec, ["day"]).collect()
     assert len(out) == 80 and all(r.orders >= 0 for r in out)
-    odd = spark.createDataFrame([(1, 1.0, "z", "k", 0.0)], df.schema)
-    assert model.seen_only(odd.union(df), df, ["kind"]).count() == 80
+    odd = spark.createDataFrame([(1, 1.0, "z", "k", 0.0), (1, 1.0, "a", "q", 0.0), (1, 1.0, None, "k", 0.0)], df.schema)
+    known, rejected = model.split_unseen(odd.union(df), df, ["kind", "fixed"])
+    assert known.columns == df.columns and known.count() == 80
+    assert sorted(r.reason for r in rejected.collect()) == ["unseen fixed", "unseen kind", "unseen kind"]
+
+
+def test_fit_reports_of_a_saved_model(spark, tmp_path):
+    """The loaded model scores like the one in memory, and every report equals plain Python over the staged predictions."""
+    days = [date(2024, 1, d) for d in range(1, 29)]
+    data = [(days[i % 28], float(i % 5), "abc"[i % 3] if days[i % 28] < date(2024, 1, 15) else "abz"[i % 3], float(2 * (i % 5) + i % 2)) for i in range(300)]
+    df = spark.createDataFrame(data, "day date, x double, kind string, orders double")
+    spec = model.FeatureSpec(["x"], ["kind"])
+    predictions, report, rejected = model.fit_reports(df, spec, "day", date(2024, 1, 22), ["kind"], str(tmp_path), ["day"], trees=6, depth=3)
+    training, validation = history.time_split(df, "day", date(2024, 1, 22))
+    unseen = validation.where("kind = 'z'").count()
+    counts = {r.dataset: r.records for r in report.collect()}
+    assert counts == {"train": training.count(), "validation": validation.count() - unseen, "complete": 300} and rejected.count() == unseen > 0
+    for r in report.collect():
+        pairs = [(p.y, p.predictions, p.orders) for p in predictions.where(F.col("dataset") == r.dataset).collect()]
+        y, p, whole = map(np.array, zip(*pairs, strict=True))
+        assert np.array_equal(whole, np.maximum(0, np.round(p)))
+        assert r.mean_abs_error == pytest.approx(np.abs(y - whole).mean()) and r.actual_r2 == pytest.approx(1 - ((y - p) ** 2).sum() / ((y - y.mean()) ** 2).sum())
+        f1 = [2 * ((y == k) & (whole == k)).sum() / ((y == k).sum() + (whole == k).sum()) for k in set(y) | set(whole)]
+        assert r.macro_f1 == pytest.approx(np.mean(f1)) and r.acc == pytest.approx((y == whole).mean())
+    from pyspark.ml import PipelineModel
+
+    first, again = model.train(training, spec, trees=6, depth=3), PipelineModel.load(f"{tmp_path}/split_model")
+    assert rows(model.score(first, training, spec, ["day"])) == rows(model.score(again, training, spec, ["day"]))
 
 
 def test_candidates_equal_the_naive_product(spark):
