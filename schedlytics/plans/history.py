@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import scalars as S
-from schedlytics.sources.sinks import stage
+from schedlytics.sources.sinks import remove, stage
 
 
 def exclude_holidays(df: DataFrame, day: str, dates: Sequence[date], months: Sequence[int] = ()) -> DataFrame:
@@ -107,17 +108,37 @@ def known_by(orders: DataFrame, created: str, until: date) -> DataFrame:
     return require_date(day, "_day", until).where(F.col("_day") <= F.lit(until)).drop("_day")
 
 
+def observed(guard: Observation, name: str) -> int:
+    """The observed number; 0 when no row came by, for then the plan drops the observing step with the empty rows."""
+    try:
+        return guard.get.get(name) or 0
+    except Py4JJavaError:
+        return 0
+
+
 def prepared_history(schedules: DataFrame, orders: DataFrame, menus: DataFrame, branches: DataFrame, companies: DataFrame,
                      anchor: date, folder: str | None = None, building_schedules: DataFrame | None = None,
-                     buildings: DataFrame | None = None, until: date | None = None) -> DataFrame:
+                     buildings: DataFrame | None = None, until: date | None = None, created: str | None = None) -> DataFrame:
     """The schedule-versus-order table of the clients that still order, up to ``until`` when given.
 
     With a ``folder`` the unfiltered table is written there once, since both the
-    client filter and the result read it.
+    client filter and the result read it. With ``created`` only orders created up
+    to ``until`` count, and the job fails when that day has none, because the
+    extract is then incomplete. The guard observes the orders while that table is
+    written, so it costs no pass of its own.
     """
+    guard = None
+    if created is not None:
+        if folder is None or until is None:
+            raise ValueError("the guard needs a last day and a folder to write to")
+        day, guard = F.to_date(created), Observation()
+        orders = orders.where(day <= F.lit(until)).observe(guard, F.count_if(day == F.lit(until)).alias("newest"))
     table = schedules_vs_orders(schedules, orders, menus, branches, companies, anchor, building_schedules=building_schedules, buildings=buildings)
     if folder is not None:
         table = stage(table, folder, "schedules_vs_orders")
+    if guard is not None and not observed(guard, "newest"):
+        remove(table.sparkSession, f"{folder.rstrip('/')}/schedules_vs_orders")
+        raise ValueError(f"no orders created on {until.isoformat()}")
     kept = table.join(vital_clients(table, anchor), "client_id", "left_semi")
     return kept if until is None else kept.where(F.col("schedule_on") <= F.lit(until))
 

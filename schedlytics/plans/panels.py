@@ -53,22 +53,52 @@ def expanding_stats(weekly: DataFrame, keys: Sequence[str], values: Sequence[str
     return weekly.select("*", *[c for v in values for c in moments.seven(f"{v}_mean", run, f"exp_{v}")])
 
 
-def gap_fill(df: DataFrame, keys: Sequence[str], last_week: Column, carry: Sequence[str]) -> DataFrame:
-    """One row per key for each week from its first to ``last_week``; ``carry`` columns keep the last known value.
+def intervals(df: DataFrame, keys: Sequence[str], last_week: Column, carry: Sequence[str]) -> DataFrame:
+    """Observed rows with ``until_week``, the last week they hold for: the one before the key's next row, or ``last_week``.
 
-    Each observed row is repeated over the gap behind it, so no grid is joined.
+    ``carry`` columns keep the last known value.
     """
     by_week = Window.partitionBy(*keys).orderBy(WEEK)
     run = moments.running(keys, WEEK)
-    known = df.withColumns({
+    return df.withColumns({
         **{c: F.expr(f"last({c}, true) {run}") for c in carry},
-        "_until": F.coalesce(F.lead(WEEK).over(by_week) - 1, last_week),
+        "until_week": F.coalesce(F.lead(WEEK).over(by_week) - 1, last_week),
     })
-    return known.withColumn(WEEK, F.explode(F.sequence(F.col(WEEK), F.col("_until")))).drop("_until")
 
 
-def panel(df: DataFrame, keys: Sequence[str], values: Sequence[str], flag: str, rank: str | None = None) -> DataFrame:
-    """Gap-filled weekly panel of a frame with ``week_no``.
+def every_week(rows: DataFrame) -> DataFrame:
+    """Rows of ``intervals`` repeated for each week they hold."""
+    return rows.withColumn(WEEK, F.explode(F.sequence(F.col(WEEK), F.col("until_week")))).drop("until_week")
+
+
+def gap_fill(df: DataFrame, keys: Sequence[str], last_week: Column, carry: Sequence[str]) -> DataFrame:
+    """One row per key for each week from its first to ``last_week``; ``carry`` columns keep the last known value.
+
+    Each observed row is repeated over the gap behind it, so no grid is joined.
+    """
+    return every_week(intervals(df, keys, last_week, carry))
+
+
+def holding_at(base: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``base`` with the columns of the interval row that holds at its (keys, week); NULLs where none does.
+
+    The weeks asked for and the rows' first weeks are merged in one sorted order per key, in which each week asked takes the
+    last row before it. A key has at most two entries per week of the history there, however many rows ask; these are joined
+    back on (keys, week). No interval is repeated over its weeks.
+    """
+    rest = [c for c in rows.columns if c not in (*keys, WEEK, "until_week")]
+    asked = base.select(*keys, WEEK).distinct().withColumn("_row", F.lit(None).cast(rows.select(F.struct("until_week", *rest).alias("r")).schema["r"].dataType))
+    known = rows.select(*keys, WEEK, F.struct("until_week", *rest).alias("_row"))
+    # At one week the row that starts there comes before the question.
+    merged = known.withColumn("_asked", F.lit(0)).unionByName(asked.withColumn("_asked", F.lit(1)))
+    run = Window.partitionBy(*keys).orderBy(WEEK, "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = merged.withColumn("_row", F.last("_row", ignorenulls=True).over(run)).where("_asked = 1")
+    held = last.where(F.col("_row.until_week") >= F.col(WEEK)).select(*keys, WEEK, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    return base.join(held, [*keys, WEEK], "left")
+
+
+def panel_intervals(df: DataFrame, keys: Sequence[str], values: Sequence[str], flag: str, rank: str | None = None) -> DataFrame:
+    """Weekly panel of a frame with ``week_no``, as rows that hold from ``week_no`` to ``until_week``.
 
     ``flag`` (first week of the key) and ``rank`` (dense week rank) hold on each
     week the value of the key's next observed week. Past the last one the flag
@@ -86,20 +116,30 @@ def panel(df: DataFrame, keys: Sequence[str], values: Sequence[str], flag: str,
         extra[rank] = F.when(weeks > 1, F.row_number().over(by_week) + 1)
     observed = observed.withColumns(extra).drop("_first")
     last_week = df.select(F.max(WEEK)).scalar()
-    order = [*keys, WEEK, *stats, flag] + ([rank] if rank else [])
-    return gap_fill(observed, keys, last_week, stats).select(*order)
+    order = [*keys, WEEK, "until_week", *stats, flag] + ([rank] if rank else [])
+    return intervals(observed, keys, last_week, stats).select(*order)
+
+
+CLIENT = (["client_id"], ["rating", "orders"], "is_first_time_client")
+RESTAURANT = (["restaurant_id"], ["rating", "orders"], "is_first_time_restaurant")
+PAIR = (["client_id", "restaurant_id"], ["orders"], "is_first_time_pair", "pair_rank")
+
+
+def panel(df: DataFrame, keys: Sequence[str], values: Sequence[str], flag: str, rank: str | None = None) -> DataFrame:
+    """The gap-filled form of ``panel_intervals``: a row for each week from the key's first to the last of all."""
+    return every_week(panel_intervals(df, keys, values, flag, rank))
 
 
 def client_panel(df: DataFrame) -> DataFrame:
-    return panel(df, ["client_id"], ["rating", "orders"], "is_first_time_client")
+    return panel(df, *CLIENT)
 
 
 def restaurant_panel(df: DataFrame) -> DataFrame:
-    return panel(df, ["restaurant_id"], ["rating", "orders"], "is_first_time_restaurant")
+    return panel(df, *RESTAURANT)
 
 
 def pair_panel(df: DataFrame) -> DataFrame:
-    return panel(df, ["client_id", "restaurant_id"], ["orders"], "is_first_time_pair", "pair_rank")
+    return panel(df, *PAIR)
 
 
 def client_usage(orders: DataFrame, user: str = "user_id", quantity: str = "quantity") -> DataFrame:
@@ -139,11 +179,20 @@ def training_features(history: DataFrame, usage: DataFrame, restaurant_dims: Dat
     prev = previous_orders(history)
     base = (history.select("schedule_on", "client_id", "restaurant_id", WEEK, "event_id", "orders")
             .join(prev, ["client_id", "restaurant_id", WEEK], "left").withColumn(WEEK, F.col(WEEK) - 1))
-    joined = assemble(base, client_panel(history), restaurant_panel(history), pair_panel(history), usage, restaurant_dims, client_dims)
+    joined = base
+    for (keys, *rest), prefix in ((CLIENT, "c_"), (RESTAURANT, "r_"), (PAIR, "p_")):
+        joined = holding_at(joined, prefixed(panel_intervals(history, keys, *rest), prefix, [*keys, WEEK, "until_week"]), keys)
+    joined = joined.join(usage, ["client_id", WEEK], "left").join(restaurant_dims, "restaurant_id").join(client_dims, "client_id", "left")
     return joined.withColumn("day_of_week", cal.weekday(F.col("schedule_on"))).select(
         *[c for c in joined.columns if c != "orders"], "day_of_week", "orders")
 
 
+def latest_panel(df: DataFrame, keys: Sequence[str], values: Sequence[str], flag: str, rank: str | None = None) -> DataFrame:
+    """The panel row of each key that holds at the last week of all, without its weeks."""
+    rows = panel_intervals(df, keys, values, flag, rank)
+    return latest(rows, keys).drop(WEEK, "until_week")
+
+
 def latest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The row of the largest week per key, as an aggregate: no sort, no window."""
     rest = [c for c in df.columns if c not in keys]

@@ -215,12 +215,16 @@ def type_list(days: DataFrame) -> DataFrame:
     Up to 3 a day: no type twice and type 10 present. Above: types 10 and 11
     present, only 9 and 10 may repeat, and then all categories must differ.
     """
+    return days.where(breaks_type_list())
+
+
+def breaks_type_list() -> Column:
     distinct = F.size("listed_types") == F.col("scheduled")
     has = lambda x: F.array_contains("listed_types", x)
     others = F.size(F.filter("listed_types", lambda x: ~x.isin(*MAY_REPEAT)))
     small_ok = distinct & has(10)
     large_ok = has(10) & has(11) & (distinct | ((F.col("listed_others") == others) & (F.size("categories") == F.col("scheduled"))))
-    return days.where(~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok))
+    return ~F.when(F.col("perday_resto") <= 3, small_ok).otherwise(large_ok)
 
 
 def unscheduled_branches(pool: DataFrame, period: Sequence[str], folder: str) -> DataFrame:
@@ -240,25 +244,84 @@ def require_scheduled(pool: DataFrame) -> DataFrame:
     return pool
 
 
+# The row sets that rules over the pool count by, each a set of these columns.
+COUNTED_BY = ("p_date", "branch_id", "group_id", "restaurant_id", "area_id", "type", "category", "perday_resto", "day")
+BRANCH_DAY, CATEGORY, TYPE, PLACED, NEED = (
+    ("p_date", "branch_id"), ("group_id", "category", "perday_resto"), ("p_date", "group_id", "type"), ("p_date", "group_id", "restaurant_id"), ("group_id", "perday_resto", "day"))
+SINGLE = {"pool_days": "p_date", "branches": "branch_id", "restaurants": "restaurant_id", "areas": "area_id", "groups": "group_id"}
+
+
+def _pool_report(pool: DataFrame, top: DataFrame, type_col: str) -> DataFrame:
+    """One row: every number that comes from pool rows, from one pass over them by grouping sets."""
+    st, ok = F.col("schedule_status"), F.col("schedule_status") == 0
+    sets = [BRANCH_DAY, CATEGORY, TYPE, PLACED, NEED, *[(c,) for c in SINGLE.values()], ()]
+    gid = {s: sum(1 << i for i, c in enumerate(reversed(COUNTED_BY)) if c not in s) for s in sets}
+    rows = pool.withColumns({"type": F.col(type_col), "day": F.weekday("p_date"), "_area": F.col("area_id"), "_work": ok & on_working_day(F.col("p_date"))})
+    counted = rows.groupingSets([[F.col(c) for c in s] for s in sets], *COUNTED_BY).agg(
+        F.grouping_id().alias("gid"), F.count_if(ok).alias("valid"), F.count_if("_work").alias("on_work_days"), F.count_if(st.isNotNull() & ~ok).alias("left_over"),
+        F.count_if(ok & (F.col("is_not_blackout") == 0)).alias("blacked"), F.max(F.when(ok, F.col("delivery_capacity"))).alias("capacity"),
+        F.count_if(ok & (F.col("delivery_capacity") == 1)).alias("single"), F.min(F.when(ok, F.col("_area"))).alias("low_area"), F.max(F.when(ok, F.col("_area"))).alias("high_area"))
+    for limits, name in ((CATEGORY_LIMITS, "first_limit"), (CATEGORY_LIMITS_2, "second_limit")):
+        wide = inline_table(pool.sparkSession, "category, `3`, `4`, `5`", limits)
+        counted = counted.join(F.broadcast(melt_sizes(wide, "category", ["3", "4", "5"], "perday_resto", name, UNLIMITED)), ["category", "perday_resto"], "left")
+    counted = counted.join(top.select("group_id", "restaurant_id", F.lit(1).alias("is_top")), ["group_id", "restaurant_id"], "left")
+
+    of = lambda s, value: F.coalesce(F.sum(F.when(F.col("gid") == gid[s], value)), F.lit(0))
+    flag = lambda s, test: of(s, test.cast("int"))
+    held, named = F.col("valid") > 0, F.col("p_date").isNotNull() & F.col("branch_id").isNotNull()
+    sums = {
+        "made": of((), F.col("valid")), "leftover": of((), F.col("left_over")), "blackout": of((), F.col("blacked")), "essential": of(NEED, F.col("perday_resto")),
+        "scheduled_days": flag(("p_date",), held & F.col("p_date").isNotNull()), **{name: flag((c,), F.col(c).isNotNull()) for name, c in SINGLE.items()},
+        "branch_areas": of(BRANCH_DAY, F.when(named & (F.col("low_area") != F.col("high_area")), F.col("single"))), "branch_capacity": flag(BRANCH_DAY, held & (F.col("capacity") < F.col("valid"))),
+        "category_limit": flag(CATEGORY, F.col("first_limit") < F.col("on_work_days")), "category_limit_2": flag(CATEGORY, F.col("second_limit") < F.col("valid")),
+        "type_duplicate": of(TYPE, F.when(held, F.col("valid") - 1)),
+    }
+    # Top restaurants are counted per group-day first; all other rows are one group of sums.
+    placed = F.col("gid") == gid[PLACED]
+    by_day = counted.groupBy(placed.alias("_placed"), *[F.when(placed, F.col(c)).alias(f"_{c}") for c in GROUP_DAY]).agg(
+        *[v.alias(k) for k, v in sums.items()], of(PLACED, F.when(held, F.col("is_top"))).alias("_hits"))
+    return by_day.agg(*[F.sum(k).alias(k) for k in sums], F.count_if(F.col("_hits") > 2).alias("top_overlap"))
+
+
+def _day_report(days: DataFrame) -> DataFrame:
+    """One row: every number that comes from group-days, from one pass over them."""
+    work = on_working_day(F.col("p_date"))
+    count = lambda test: F.coalesce(F.sum(test.cast("int")), F.lit(0))
+    over_set = F.lit(0)
+    for size, types, allowed in TYPE_SETS:
+        hit = work & (F.col("perday_resto") == size) & (arrays.overlap_size(F.col("types"), F.array(*[F.lit(t) for t in types])) > allowed)
+        over_set = over_set + F.coalesce(hit.cast("int"), F.lit(0))
+    per_day = days.groupBy(*GROUP_DAY).agg(
+        F.sum(over_set).alias("type_sets"), count(work & (F.col("scheduled") != F.col("perday_resto"))).alias("type_mismatch"), count(breaks_type_list()).alias("type_list"),
+        *[F.sum(c).alias(c) for c in ("n_new", "n_partly_new", "n_premium", "n_regular")], F.collect_set("perday_resto").alias("sizes"))
+    rated = F.col("n_premium") + F.col("n_regular") > 0
+    # Sizes are a small domain, and a group has one count of premium restaurants per day of the pool.
+    per_group = per_day.groupBy("group_id").agg(
+        *[F.sum(c).alias(c) for c in ("type_sets", "type_mismatch", "type_list")], count(F.col("n_new") > 1).alias("new_per_day"), F.sum("n_partly_new").alias("_partly"),
+        count((F.col("n_new") > 0) & (F.col("n_partly_new") > 0)).alias("new_and_partial"),
+        F.collect_list(F.when(rated, F.col("n_premium"))).alias("_premium"), F.array_distinct(F.flatten(F.collect_set("sizes"))).alias("_sizes"))
+    over = F.aggregate("_sizes", F.lit(0), lambda n, size: n + F.size(F.filter("_premium", lambda p: S.safe_ratio(p, size) > 0.4)))
+    return per_group.agg(*[F.sum(c).alias(c) for c in ("type_sets", "type_mismatch", "type_list", "new_per_day", "new_and_partial")],
+                         count(F.col("_partly") > 2).alias("partial_per_group"), F.sum(F.when(F.col("group_id").isNotNull(), over)).alias("premium_share"))
+
+
+REPORT_DOMAINS = {"blackout": "Blackout", "branch_areas": "Branch_Capacity", "branch_capacity": "Branch_Capacity", "category_limit": "Category", "category_limit_2": "Category",
+                  "type_duplicate": "Type", "type_sets": "Type", "type_mismatch": "Type", "type_list": "Type", "top_overlap": "Top_Restaurants", "new_per_day": "Novelty",
+                  "partial_per_group": "Novelty", "new_and_partial": "Novelty", "premium_share": "Premium"}
+
+
 def report(pool: DataFrame, days: DataFrame, top: DataFrame, type_col: str = "type") -> DataFrame:
     """(scope, domain, name, value) of every rule: the descriptive numbers and one violation count per rule.
 
-    ``pool`` and ``days`` (its ``group_days``) are read once per rule, so hand in materialised ones.
+    One conditional aggregate over ``pool`` and one over ``days`` (its ``group_days``); each frame is read once.
     """
-    rows = lambda df: df.agg(F.count("*").cast("double").alias("value"))
-    repeats = valid(pool).groupBy(*GROUP_DAY, type_col).agg((F.count("*") - 1).alias("n")).agg(F.sum("n").cast("double").alias("value"))
-    counted = [
-        ("Blackout", "blackout", rows(blackout(pool))), ("Branch_Capacity", "branch_areas", rows(branch_areas(pool))),
-        ("Branch_Capacity", "branch_capacity", rows(branch_capacity(pool))),
-        ("Category", "category_limit", rows(category_limit(pool, CATEGORY_LIMITS, True))),
-        ("Category", "category_limit_2", rows(category_limit(pool, CATEGORY_LIMITS_2, False))),
-        ("Type", "type_duplicate", repeats), ("Type", "type_sets", rows(type_sets(days))),
-        ("Type", "type_mismatch", rows(type_mismatch(days))), ("Type", "type_list", rows(type_list(days))),
-        ("Top_Restaurants", "top_overlap", rows(top_overlap(pool, top))), ("Novelty", "new_per_day", rows(new_per_day(days))),
-        ("Novelty", "partial_per_group", rows(partial_per_group(days))), ("Novelty", "new_and_partial", rows(new_and_partial(days))),
-        ("Premium", "premium_share", rows(premium_share(days))),
-    ]
-    out = descriptive(pool).unionByName(pair_coverage(pool))
-    for domain, name, value in counted:
-        out = out.unionByName(value.select(F.lit("Comparative").alias("scope"), F.lit(domain).alias("domain"), F.lit(name).alias("name"), "value"))
-    return out
+    from_pool, from_days = _pool_report(pool, top, type_col), _day_report(days).fillna(0)
+    share = F.col("made") / F.col("essential") * 100
+    pairs = {"pairs_made": F.col("made"), "valid_pairs": F.col("made"), "leftover_pairs": F.col("leftover"), "missing_pairs": F.col("essential") - F.col("made"),
+             "essential_pairs": F.col("essential"), "valid_percent": share, "leftover_percent": 100 - share, "after_leftover_percent": share, "missing_percent": 100 - share}
+    stats = ["pool_days", "scheduled_days", "branches", "restaurants", "areas", "groups"]
+    entries = lambda scope, domain, values: [F.struct(F.lit(scope).alias("scope"), F.lit(domain).alias("domain"), F.lit(n).alias("name"), v.cast("double").alias("value")) for n, v in values.items()]
+    rules_of = lambda df: [e for n, d in REPORT_DOMAINS.items() if n in df.columns for e in entries("Comparative", d, {n: F.col(n)})]
+    listed = lambda df, cells: df.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    first = entries("Descriptive", "Stats", {n: F.col(n) for n in stats}) + entries("Comparative", "Pairs", pairs) + rules_of(from_pool)
+    return listed(from_pool, first).unionByName(listed(from_days, rules_of(from_days)))

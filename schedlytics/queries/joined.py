@@ -103,7 +103,7 @@ def area_contains(v):
     # The list test becomes an equality on the exploded list (at most one entry per area); the list stays available.
     lists = v.branch_area.groupBy("branch_id").agg(F.collect_set("area_id").alias("areas"))
     served = lists.withColumn("area_id", F.explode("areas"))
-    pairs = entities.active_clients(v.companies, v.client_groups).join(served, "area_id")
+    pairs = joins.expanding_join(entities.active_clients(v.companies, v.client_groups), served, "area_id")
     return pairs.where(F.array_contains("areas", F.col("area_id"))).withColumn("areas_served", F.size("areas"))
 
 

@@ -106,6 +106,32 @@ def prepared_history(v):
     return history.prepared_history(*history_args(v), work_dir(v.spark))
 
 
+# Buildings have the schedules of the companies that share them, and an order is created up to two days ahead.
+UNTIL = date(1998, 12, 5)
+check_step("history_until", """
+    SELECT s.*, rating, coalesce(quantity, 0) AS quantity FROM (
+      SELECT DISTINCT schedule_on, b.restaurant_id, client_id FROM (
+        SELECT *, unnest(CASE WHEN company_id % 23 = 0 THEN [company_id || '_C', company_id || '_B'] ELSE [company_id || '_C'] END) AS client_id FROM menu_schedules) AS m
+      JOIN active_branches AS b ON m.branch_id = b.branch_id
+      WHERE schedule_on >= DATE '1998-06-14' AND deleted_at IS NULL AND menu_id IN (SELECT menu_id FROM menus WHERE category_id = 2)) AS s
+    LEFT JOIN (SELECT schedule_on, coalesce(building_id || '_B', company_id || '_C') AS client_id, b.restaurant_id, avg(rating) AS rating, sum(quantity) AS quantity
+               FROM order_rows AS o JOIN active_branches AS b ON o.branch_id = b.branch_id
+               WHERE schedule_on >= DATE '1998-06-14' AND category_id = 2 AND schedule_on - CAST(order_id % 3 AS INTEGER) <= DATE '1998-12-05'
+                 AND company_id NOT IN (SELECT company_id FROM companies WHERE lower(company_name) LIKE '%test%')
+                 AND coalesce(building_id, -1) NOT IN (SELECT building_id FROM buildings WHERE lower(building_name) LIKE '%test%') GROUP BY 1, 2, 3) AS t
+      ON s.schedule_on = t.schedule_on AND s.restaurant_id = t.restaurant_id AND s.client_id = t.client_id""")
+
+
+@query("prepared_history_until", "schedule_on d, restaurant_id i, client_id s, rating f, quantity i", """
+    SELECT * FROM history_until WHERE schedule_on <= DATE '1998-12-05' AND client_id IN (
+      SELECT client_id FROM history_until WHERE schedule_on BETWEEN DATE '1998-10-20' AND DATE '1998-12-20' GROUP BY 1 HAVING sum(quantity) > 0)""")
+def prepared_history_until(v):
+    schedules, orders, *rest = history_args(v)
+    orders = orders.withColumn("created_at", F.date_sub("schedule_on", F.pmod("order_id", F.lit(3)).cast("int")))
+    by_building = schedules.where(F.pmod("company_id", F.lit(23)) == 0).withColumnRenamed("company_id", "building_id")
+    return history.prepared_history(schedules, orders, *rest, work_dir(v.spark), by_building, v.buildings, UNTIL, "created_at")
+
+
 @query("vital_clients", "client_id s", "SELECT client_id FROM vital")
 def vital_clients(v):
     return history.vital_clients(history.schedules_vs_orders(*history_args(v)), ANCHOR)

@@ -16,6 +16,7 @@ from schedlytics.functions import moments
 from schedlytics.functions import scalars as S
 from schedlytics.operators import aggregates, dedupe, joins, publish, ranks, rejects
 from schedlytics.plans import candidates, documents, history, lateness, model, panels, publishing, rules, scheduling
+from schedlytics.sources import sinks
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -146,6 +147,41 @@ def test_previous_orders_look_at_observed_weeks(spark):
     assert rows(panels.previous_orders(df).select("week_no", "previous_orders")) == [(1, 0.0), (4, 7.0)]
 
 
+# ---- panels by intervals ----
+
+
+def test_interval_join_equals_the_panel_of_every_week(spark):
+    rng = random.Random(3)
+    history = spark.createDataFrame([(f"c{rng.randint(0, 5)}", rng.choice([1, 2, 5, 6, 9, 14]), float(rng.randint(0, 9)), None if rng.random() < 0.2 else float(rng.randint(1, 5)))
+                                     for _ in range(90)], "client_id string, week_no int, orders double, rating double")
+    base = spark.createDataFrame([(f"c{k % 7}", k % 17, k) for k in range(140)], "client_id string, week_no int, i int")
+    wide = base.join(panels.client_panel(history), ["client_id", "week_no"], "left")
+    merged = panels.holding_at(base, panels.panel_intervals(history, *panels.CLIENT), ["client_id"])
+    assert sorted(wide.columns) == sorted(merged.columns)
+    assert sorted(map(repr, wide.select(merged.columns).collect())) == sorted(map(repr, merged.collect()))
+    last = panels.latest(panels.client_panel(history), ["client_id"]).drop("week_no")
+    assert sorted(map(repr, panels.latest_panel(history, *panels.CLIENT).collect())) == sorted(map(repr, last.collect()))
+
+
+# ---- sinks ----
+
+
+def test_publish_replace_keeps_the_old_rows_until_the_new_ones_are_complete(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, path)
+    for n in (3, 4, 5):
+        assert sinks.publish_replace(spark.range(n), path).count() == n
+    old = sinks.read_published(spark, path)
+    broken = spark.range(100).repartition(4).withColumn("id", F.when(F.col("id") == 99, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_replace(broken, path)
+    assert sinks.read_published(spark, path).count() == 5
+    assert sinks.publish_replace(spark.range(2), path).count() == 2
+    assert old.count() == 5 and sinks.read_published(spark, path).count() == 2  # a reader of the version before is not disturbed
+    assert len([p for p in (tmp_path / "table").iterdir() if p.name.startswith("version-")]) <= 3
+
+
 # ---- ranks and selection by ranges ----
 
 
@@ -324,7 +360,7 @@ def test_clients_of_buildings_and_companies(spark):
     assert rows(history.with_buildings(c, b).select("client_id", "branch_id")) == [("1_C", 10), ("2_B", 20)]
 
 
-def test_history_with_buildings(spark):
+def test_history_with_buildings(spark, tmp_path):
     d, anchor = date(2024, 3, 4), date(2024, 3, 10)
     plan = "menu_id long, {} long, branch_id long, schedule_on date, deleted_at date"
     companies = spark.createDataFrame([(1, "One"), (2, "Test two")], "company_id long, company_name string")
@@ -341,6 +377,12 @@ def test_history_with_buildings(spark):
     with pytest.raises(ValueError):
         history.known_by(orders, "created_at", date(2024, 3, 5))
     args = (by_company, orders, menus, branches, companies, anchor)
+    guarded = lambda until, table=orders: rows(history.prepared_history(by_company, table, *args[2:], str(tmp_path), by_building, buildings, until, "created_at").select("schedule_on", "restaurant_id", "client_id", "rating", "quantity"))
+    assert guarded(d) == [(d, 100, "1_C", 3.0, 4), (d, 100, "9_B", None, 6)]
+    for empty in (orders, orders.where("false")):
+        with pytest.raises(ValueError, match="2024-03-05"):
+            guarded(date(2024, 3, 5), empty)
+        assert not list(tmp_path.iterdir())
     both = history.prepared_history(*args, building_schedules=by_building, buildings=buildings)
     assert rows(both.select("client_id", "restaurant_id", "quantity", "rating")) == [("1_C", 100, 4, 3.0), ("9_B", 100, 7, 5.0)]
     assert history.prepared_history(*args, building_schedules=by_building, buildings=buildings, until=date(2024, 3, 3)).isEmpty()
@@ -464,6 +506,24 @@ def test_type_sets(spark):
     assert rows(got.select("found", "allowed")) == [(2, 1)]
 
 
+def test_report_counts_what_the_rules_return(spark):
+    rng = random.Random(9)
+    data = [dict(p_date=date(2024, 1, 5 + rng.randint(0, 5)), group_id=rng.choice([1, 2, 3, None]) if i % 50 == 0 else rng.randint(1, 4), branch_id=rng.randint(1, 9), restaurant_id=rng.randint(1, 6),
+                 area_id=rng.randint(1, 3), type=rng.choice([1, 5, 6, 7, 9]), type2=rng.randint(9, 12), category=rng.choice([1, 2, 8, 17, 22, 99]), is_premium=rng.choice([0, 1, None]),
+                 perday_resto=rng.choice([3, 3, 4, 5]), days_diff=rng.choice([None, 10, 50, 89, 90, 200]), is_not_blackout=rng.randint(0, 1), delivery_capacity=rng.choice([1, 2, 40]),
+                 schedule_status=rng.choice([0, 0, 0, 1, None])) for i in range(400)]
+    df, top = pool(spark, data + data[:40]), spark.createDataFrame([(g, r) for g in (1, 2, 3) for r in (1, 2, 3, 4)], "group_id long, restaurant_id long")
+    days = rules.group_days(df)
+    want = {r.name: r.value for r in rules.descriptive(df).unionByName(rules.pair_coverage(df)).collect()}
+    counted = {"blackout": rules.blackout(df), "branch_areas": rules.branch_areas(df), "branch_capacity": rules.branch_capacity(df), "category_limit": rules.category_limit(df, rules.CATEGORY_LIMITS, True),
+               "category_limit_2": rules.category_limit(df, rules.CATEGORY_LIMITS_2, False), "type_sets": rules.type_sets(days), "type_mismatch": rules.type_mismatch(days),
+               "type_list": rules.type_list(days), "top_overlap": rules.top_overlap(df, top), "new_per_day": rules.new_per_day(days), "partial_per_group": rules.partial_per_group(days),
+               "new_and_partial": rules.new_and_partial(days), "premium_share": rules.premium_share(days), "type_duplicate": rules.type_duplicate(df, "type", ["branch_id", "orders"])}
+    want |= {name: float(rows_.count()) for name, rows_ in counted.items()}
+    got = {r.name: r.value for r in rules.report(df, days, top).collect()}
+    assert got == pytest.approx(want) and min(got[n] for n in counted) > 0
+
+
 # ---- documents, arrays, metrics ----
 
 
