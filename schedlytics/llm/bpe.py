@@ -19,6 +19,9 @@ CHUNK = 1 << 16
 # Between a letter and a non-letter after it, or a number and a non-number, a pre-token always ends: no alternative of the
 # pattern goes on from one to the other, and none looks behind itself.
 SAFE = regex.compile(r"(?<=\p{L})(?!\p{L})|(?<=\p{N})(?!\p{N})")
+# White space has no such boundary. A run of it is one pre-token but for its last character, which stays with what follows;
+# at the end of the text all of it is one. Pre-tokens of this length are encoded without the pattern, which cannot take them.
+SPACES = regex.compile(r"\p{White_Space}{%d,}" % CHUNK)
 
 
 def encoding(path: str, pattern: str) -> tiktoken.Encoding:
@@ -42,13 +45,21 @@ def pieces(text: str, size: int = CHUNK):
 
 def encode(codec: tiktoken.Encoding, text: str) -> np.ndarray:
     """Ids of a whole text as little-endian 32-bit numbers."""
-    return np.concatenate([codec.encode_to_numpy(piece) for piece in pieces(text)]).astype("<u4")
+    ids, at = [], 0
+    for run in SPACES.finditer(text) if len(text) >= CHUNK else ():
+        end = run.end() - (run.end() < len(text))
+        ids += [codec.encode_to_numpy(piece) for piece in pieces(text[at:run.start()])]
+        ids.append(np.array(codec._encode_single_piece(text[run.start():end]), dtype=np.uint32))
+        at = end
+    return np.concatenate([*ids, *[codec.encode_to_numpy(piece) for piece in pieces(text[at:])]]).astype("<u4")
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Add ``ids`` (little-endian unsigned 32-bit numbers as bytes) to the columns ``doc_id`` and ``keep`` for the whole ``text`` (null: empty).
 
-    The rank file must lie at ``path`` on every executor (it comes with the Python environment).
+    The rank file must lie at ``path`` on every executor (it comes with the Python environment). The pattern is one of those
+    whose pre-tokens mix neither letters nor numbers with anything after them and take white space as described at ``SPACES``.
+    Repeated rows are rows of their own, an empty table gives none, and further columns travel along when ``keep`` names them.
     """
     small_batches(docs.sparkSession)
     source = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))

@@ -8,6 +8,7 @@ change of language; runs of one label are the spans.
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,25 +28,41 @@ SWITCH = 4.0
 SCRIPTS = [
     (0x0000, "none"), (0x0041, "Latin"), (0x005B, "none"), (0x0061, "Latin"), (0x007B, "none"), (0x00AA, "Latin"), (0x00AB, "none"), (0x00B5, "Latin"),
     (0x00B6, "none"), (0x00BA, "Latin"), (0x00BB, "none"), (0x00C0, "Latin"), (0x00D7, "none"), (0x00D8, "Latin"), (0x00F7, "none"), (0x00F8, "Latin"),
-    (0x02B0, "none"), (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"), (0x0700, "Syriac"),
+    (0x0370, "Greek"), (0x0400, "Cyrillic"), (0x0530, "Armenian"), (0x0590, "Hebrew"), (0x0600, "Arabic"), (0x0700, "Syriac"),
     (0x0750, "Arabic"), (0x0780, "Thaana"), (0x07C0, "Other"), (0x08A0, "Arabic"), (0x0900, "Devanagari"), (0x0980, "Bengali"), (0x0A00, "Gurmukhi"), (0x0A80, "Gujarati"),
     (0x0B00, "Oriya"), (0x0B80, "Tamil"), (0x0C00, "Telugu"), (0x0C80, "Kannada"), (0x0D00, "Malayalam"), (0x0D80, "Sinhala"), (0x0E00, "Thai"),
     (0x0E80, "Lao"), (0x0F00, "Tibetan"), (0x1000, "Myanmar"), (0x10A0, "Georgian"), (0x1100, "Hangul"), (0x1200, "Ethiopic"), (0x13A0, "Other"),
-    (0x1780, "Khmer"), (0x1800, "Mongolian"), (0x18B0, "Other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "none"), (0x2C00, "Other"), (0x2E00, "none"),
+    (0x1780, "Khmer"), (0x1800, "Mongolian"), (0x18B0, "Other"), (0x1E00, "Latin"), (0x1F00, "Greek"), (0x2000, "none"), (0x2C00, "Other"), (0x2E00, "none"), (0x3005, "Han"), (0x3008, "none"),
     (0x3040, "Kana"), (0x3100, "Other"), (0x3130, "Hangul"), (0x3190, "none"), (0x31F0, "Kana"), (0x3200, "none"), (0x3400, "Han"), (0x4DC0, "none"), (0x4E00, "Han"),
     (0xA000, "Other"), (0xAC00, "Hangul"), (0xD7B0, "none"), (0xF900, "Han"), (0xFB00, "Latin"), (0xFB13, "Other"), (0xFB50, "Arabic"), (0xFE00, "none"), (0xFE70, "Arabic"),
     (0xFF00, "none"), (0xFF21, "Latin"), (0xFF3B, "none"), (0xFF41, "Latin"), (0xFF5B, "none"), (0xFF66, "Kana"), (0xFFA0, "Hangul"), (0xFFE0, "none"),
     (0x10000, "Other"), (0x1F000, "none"), (0x20000, "Han"), (0x30000, "Han"), (0x323B0, "none"),
 ]
 NAMES = sorted({name for _, name in SCRIPTS} - {"none"})
-BORDERS = np.array([at for at, _ in SCRIPTS], dtype=np.uint32)
-# Place of each block's script in NAMES from 1 on; 0 is no letter.
-KINDS = np.array([0 if name == "none" else NAMES.index(name) + 1 for _, name in SCRIPTS], dtype=np.uint8)
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """First code points of runs of one kind, and their kinds: 0 is neither letter nor mark, else the place of the script in
+    NAMES from 1 on, plus LETTER for letters. A block says the script, the Unicode category says what is a letter; a letter of a
+    block without script is of an other one."""
+    category = np.array([{"L": 2, "M": 1}.get(unicodedata.category(chr(c))[0], 0) for c in range(0x110000)], dtype=np.uint8)
+    script = np.zeros(0x110000, dtype=np.uint8)
+    for (low, name), (high, _) in zip(SCRIPTS, [*SCRIPTS[1:], (0x110000, "")], strict=True):
+        script[low:high] = 0 if name == "none" else NAMES.index(name) + 1
+    script[(script == 0) & (category == 2)] = NAMES.index("Other") + 1
+    kind = np.where(category == 2, script + LETTER, np.where(category == 1, script, 0)).astype(np.uint8)
+    borders = np.flatnonzero(np.diff(kind, prepend=255))
+    return borders.astype(np.uint32), kind[borders]
+
+
+# Kinds from here on are letters; those below are marks, which belong to the word they stand in.
+LETTER = 64
+BORDERS, KINDS = _kinds()
 
 
 @dataclass
 class LetterRuns:
-    """Words of several texts: maximal runs of letters of one script, as code points folded to lower case."""
+    """Words of several texts: maximal runs of letters of one script and their marks, as code points folded to lower case."""
 
     points: np.ndarray
     starts: np.ndarray
@@ -66,11 +83,18 @@ def letter_runs(texts: list[str]) -> LetterRuns:
     kind = plain[np.minimum(points, 0x7FF)]
     far = np.flatnonzero(points >= 0x800)
     kind[far] = KINDS[np.searchsorted(BORDERS, points[far], side="right") - 1]
+    letter = kind >= LETTER
+    kind = np.where(letter, kind - LETTER, kind).astype(np.uint8)
     change = np.flatnonzero(np.diff(kind, prepend=0, append=0))
     edges = np.append(change, len(kind)) if len(kind) else change
     low, high = edges[:-1], edges[1:]
     keep = (high > low) & (kind[np.minimum(low, max(0, len(kind) - 1))] > 0) if len(kind) else np.zeros(len(low), dtype=bool)
     low, high = low[keep], high[keep]
+    if len(low):
+        # A run of marks alone is no word.
+        before = np.append(0, np.cumsum(letter))
+        spelt = before[high] > before[low]
+        low, high = low[spelt], high[spelt]
     offsets = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
     text = np.searchsorted(offsets, low, side="right") - 1
@@ -109,7 +133,10 @@ class LanguageModel:
 
 
 def train(docs: DataFrame) -> LanguageModel:
-    """Learn from all rows of ``docs`` (text, lang) with both; the driver gets counts of a fixed number of buckets per language."""
+    """Learn from all rows of ``docs`` (text, lang) with both; the driver gets counts of a fixed number of buckets per language.
+
+    ``lang`` is taken to have few values, as languages do: the model grows with their number, not with the rows.
+    """
     known = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).where("text is not null and lang is not null")
     small_batches(docs.sparkSession)
 
@@ -189,7 +216,8 @@ def predict(docs: DataFrame, model: LanguageModel, switch: float = SWITCH, keep:
     """Per row of ``docs`` (doc_id, text): doc_id, the columns ``keep``, lang_pred, score and spans (start and end in characters, lang, letters).
 
     lang_pred is the label with most letters (ties: first by name), score its share of the letters. A null text, one without
-    letters, or an empty model: ``und``, score 0, no spans.
+    letters (Unicode category L), or an empty model: ``und``, score 0, no spans. Repeated rows are rows of their own, an empty
+    table gives none.
     """
     small_batches(docs.sparkSession)
     source = docs.select("doc_id", *keep, F.col("text").cast("string").alias("text"))

@@ -39,6 +39,24 @@ SENTENCES = {
     "ccbync4-name": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc0-name": ["This work is released into the public domain under CC0 1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
+    "gpl3-head": ["GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "gpl2-head": ["GNU GENERAL PUBLIC LICENSE Version 2, June 1991"],
+    "lgpl21-head": ["GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"],
+    "lgpl3-head": ["GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"],
+    "agpl3-head": ["GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"],
+    "apache2-head": ["Apache License Version 2.0, January 2004"],
+    "lgpl21-later": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version"],
+    "lgpl3-later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "lgpl-warranty": ["This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE"],
+    "agpl3-later": ["This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version"],
+    "zlib-as-is": ["This software is provided 'as-is', without any express or implied warranty"],
+    "zlib-liable": ["In no event will the authors be held liable for any damages arising from the use of this software"],
+    "zlib-grant": ["Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"],
+    "epl2-name": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http://www.eclipse.org/legal/epl-2.0"],
+    "bsl1-name": ["Distributed under the Boost Software License, Version 1.0", "Boost Software License - Version 1.0 - August 17th, 2003"],
+    "bsl1-grant": ['Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following'],
+    "bsd2-name": ["Licensed under the BSD 2-Clause License", "Released under the BSD 2-Clause License", "This work is licensed under the BSD 2-Clause License", "Distributed under the BSD 2-Clause License"],
+    "ccbysa4-name": ["This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "Licensed under CC BY-SA 4.0"],
     "reserved": ["All rights reserved"],
 }
 # Rules in order of precedence; the first whose identifiers follow each other names the licence.
@@ -49,11 +67,17 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl2-later", "gpl-warranty", "gpl-copy"]), ("GPL-2.0-or-later", ["gpl2-later", "gpl-warranty"]), ("GPL-2.0-or-later", ["gpl2-later"]), ("GPL-2.0-only", ["gpl2-name"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"]), ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]), ("BSD-3-Clause", ["bsd-name"]),
     ("ISC", ["isc-grant", "mit-as-is"]), ("ISC", ["isc-grant"]), ("MPL-2.0", ["mpl2-name", "mpl2-copy"]), ("MPL-2.0", ["mpl2-name"]),
+    ("GPL-3.0-only", ["gpl3-head"]), ("GPL-2.0-only", ["gpl2-head"]), ("LGPL-2.1-only", ["lgpl21-head"]), ("LGPL-3.0-only", ["lgpl3-head"]), ("AGPL-3.0-only", ["agpl3-head"]), ("Apache-2.0", ["apache2-head"]),
+    ("LGPL-2.1-or-later", ["lgpl21-later", "lgpl-warranty"]), ("LGPL-2.1-or-later", ["lgpl21-later"]), ("LGPL-3.0-or-later", ["lgpl3-later"]), ("AGPL-3.0-or-later", ["agpl3-later", "gpl-warranty"]), ("AGPL-3.0-or-later", ["agpl3-later"]),
+    ("Zlib", ["zlib-as-is", "zlib-liable", "zlib-grant"]), ("Zlib", ["zlib-grant"]), ("EPL-2.0", ["epl2-name"]), ("BSL-1.0", ["bsl1-name", "bsl1-grant"]), ("BSL-1.0", ["bsl1-name"]), ("BSL-1.0", ["bsl1-grant"]),
+    ("BSD-2-Clause", ["bsd2-name"]), ("CC-BY-SA-4.0", ["ccbysa4-name"]),
     ("CC-BY-4.0", ["ccby4-name"]), ("CC-BY-NC-4.0", ["ccbync4-name"]), ("CC0-1.0", ["cc0-name"]), ("Unlicense", ["unlicense"]), ("Proprietary", ["reserved"]),
 ]
-# Every sentence above has one of these in lower case, so that a text without any has no licence sentence.
-MARKS = ("licen", "permission", "copyright", "warrant", "redistribut", "public domain", "cc by", "rights reserved", "mozilla.org/mpl")
-TAG = re.compile(r"spdx-license-identifier:\s*([\w.+-]+)", re.IGNORECASE)
+# Every sentence above has one of these after ``normal``, so that a text without any has no licence sentence.
+MARKS = ("licen", "permission", "copyright", "warrant", "redistribut", "public domain", "cc by", "rights reserved", "mozilla.org mpl", "held liable")
+# A licence expression: names joined by AND, OR and WITH, in brackets or not.
+TAG = re.compile(r"spdx-license-identifier:\s*((?:\([ \t]*)*[\w.+:-]+(?:[ \t)]+(?:and|or|with)[ \t(]+[\w.+:-]+)*)", re.IGNORECASE)
+JOINT = re.compile(r"[\s()]+(?:and|or)[\s()]+", re.IGNORECASE)
 END = re.compile(r"(?<=[.!?;])[\"')\]]*\s+|(?<=:)(?<!dentifier:)\s+|\n\s*\n")
 OTHER = re.compile(r"[^\w.+]+|_+")
 
@@ -87,6 +111,20 @@ PIECE_RULES = [(licence, [x for part in parts for x in part]) for licence, names
 FIRST, LONGEST = frozenset(k.split(" ", 1)[0] for k in KNOWN), max(len(k.split(" ")) for k in KNOWN)
 
 
+def marked(text: str) -> bool:
+    """Whether a text has a mark; wrapped lines and comment signs stand between words of a mark only before ``normal``."""
+    low = text.lower()
+    if any(m in low for m in MARKS if " " not in m):
+        return True
+    return any(m.split(" ")[0] in low for m in MARKS if " " in m) and any(m in normal(text) for m in MARKS if " " in m)
+
+
+def named(expression: str) -> list[str]:
+    """The licences of an SPDX expression; an exception stays with its licence."""
+    parts = [" ".join(x.strip("() \t").split()).rstrip(".") for x in JOINT.split(expression)]
+    return [re.sub(r" with ", " WITH ", x, flags=re.IGNORECASE) for x in parts if x]
+
+
 def runs_of(sentence: str) -> list[str]:
     """Identifiers of the known runs of whole lines in order, the longest from each line; runs do not overlap.
 
@@ -104,6 +142,8 @@ def runs_of(sentence: str) -> list[str]:
                 run = f"{run} {lines[end]}" if run else lines[end]
                 if run in KNOWN:
                     hit = (KNOWN[run], end + 1)
+        elif lines[at].startswith(("copyright ", "c ")) and lines[at].endswith(" all rights reserved"):
+            hit = (KNOWN["all rights reserved"], at + 1)
         if hit:
             found.append(hit[0])
         at = hit[1] if hit else at + 1
@@ -118,17 +158,16 @@ def sentence_ids(text: str) -> tuple[list[str], int]:
     of a tag is looked up like a sentence.
     """
     found, others = [], 0
-    low = text.lower()
-    if not any(m in low for m in MARKS):
+    if not marked(text):
         return found, others
     for sentence in END.split(text):
-        part, hits, at = sentence.lower(), [], 0
+        hits, at = [], 0
         for tag in TAG.finditer(sentence):
-            hits += [*runs_of(sentence[at:tag.start()]), f"spdx:{tag[1].rstrip('.')}"]
+            hits += [*runs_of(sentence[at:tag.start()]), *[f"spdx:{x}" for x in named(tag[1])]]
             at = tag.end()
         hits += runs_of(sentence[at:])
         found += hits
-        others += not hits and any(m in part for m in MARKS)
+        others += not hits and marked(sentence)
     return found, others
 
 
@@ -150,7 +189,8 @@ def licences(ids: list[str], rules: list[tuple[str, list[str]]] = PIECE_RULES) -
 def scan(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are not read): doc_id, licences, sentence_ids, n_unknown.
 
-    Licences stand in order of their first place, each once. Null and empty texts have none. Nulls in doc_id stay.
+    Licences stand in order of their first place, each once. Null and empty texts have none. Nulls in doc_id stay. Repeated rows
+    are rows of their own, an empty table gives none.
     """
     small_batches(docs.sparkSession)
     source = docs.select("doc_id", F.col("text").cast("string").alias("text"))
