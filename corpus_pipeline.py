@@ -17,7 +17,7 @@ MAIN_LANGUAGE = 0.5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rule nor the learned list rejects."""
+    """Documents that neither the base rule nor the learned list rejects; null and empty texts have too few words. Without labels the base rule decides alone."""
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
     judged = rules.quality_rules(rows, table(spark, sf_dir, "labels"), keep=("row",))
     # A filter below the row number would repeat every statistic in the place of each of its uses.
@@ -25,14 +25,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters of which one language has at least half."""
+    """Documents with letters of which one language has at least half; where no row tells a language, all documents with letters.
+
+    Null and empty texts have no letters and go; null ids and repeated rows stay as they are.
+    """
     model = langid.train(docs.where(~langid.held_out()).select("text", "lang"))
+    if not model.languages:
+        return docs.where(F.coalesce(F.col("text").cast("string"), F.lit("")).rlike("\\p{L}"))
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
     return langid.predict(rows, model, keep=("row",)).where(f"lang_pred <> 'und' and score >= {MAIN_LANGUAGE}").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the smallest id. Rows equal in id and text are one document."""
+    """One document of each group of near duplicates: that with the smallest id, null ids last. Rows equal in id and text are one document, whatever their other columns."""
     key = lambda digest: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest)
     folder = work_dir(spark)
     keepers = jaccard.jaccard_components(docs, folder=f"{folder}/join").where("keeper").select(key(F.col("text_md5")).alias("row_key")).distinct()
@@ -43,12 +48,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
+    """Documents as often as the mix of their sources takes them; a null source is one of its own. Rows equal in id, source and text are interchangeable."""
     return mixing.mixed_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token digests of every document that the mix takes, once for each time it does."""
+    """Token digests of every document that the mix takes, once for each time it does; null ids stay."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     return bpe.decode_ids(bpe.encode_texts(docs, path, pattern), path, pattern, digests=True)
 
