@@ -7,12 +7,15 @@ calendar and literal rule tables, bounded by construction, are hinted.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from schedlytics.operators.ranks import row_numbers
+from schedlytics.session import work_dir
+from schedlytics.sources.sinks import stage
+
 
 def join_natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on all shared column names."""
@@ -36,8 +39,8 @@ def prefixed(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
 
 
 def expanding_join(left: DataFrame, right: DataFrame, key: str, left_size: DataFrame | None = None, right_size: DataFrame | None = None,
-                   left_rows: int = 100_000, right_rows: int = 64) -> DataFrame:
-    """Inner equi join on ``key`` whose output is many times its input, however skewed the key.
+                   left_rows: int = 100_000, right_rows: int = 64, how: str = "inner") -> DataFrame:
+    """Equi join on ``key`` (inner or left) whose output is many times its input, however skewed the key.
 
     Input size says nothing about the work here, so size-based partitioning
     would leave it to a few tasks, and one hot key to a single one. Each key is
@@ -60,7 +63,11 @@ def expanding_join(left: DataFrame, right: DataFrame, key: str, left_size: DataF
     a = left.join(grid, key).withColumn("_line", cell_of(left, "_lines")).withColumn("_column", every("_columns")).drop("_lines", "_columns")
     b = right.join(grid, key).withColumn("_column", cell_of(right, "_columns")).withColumn("_line", every("_lines")).drop("_lines", "_columns")
     cell = [key, "_line", "_column"]
-    return a.repartition(tasks, *cell).join(b.hint("merge"), cell).drop("_line", "_column")
+    both = a.repartition(tasks, *cell).join(b.hint("merge"), cell).drop("_line", "_column")
+    if how == "inner":
+        return both
+    alone = left.join((right if right_size is None else right_size).select(key).distinct(), key, "left_anti")
+    return both.unionByName(alone, allowMissingColumns=True)
 
 
 def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFrame) -> DataFrame:
@@ -73,48 +80,83 @@ def serving_pairs(clients: DataFrame, branches: DataFrame, branch_area: DataFram
     return expanding_join(clients, branches.join(served, "branch_id"), "area_id")
 
 
-def nearest_label(points: DataFrame, refs: DataFrame, part: str, coords: tuple[str, str], label: str, ref_id: str) -> DataFrame:
-    """Exact 1-nearest-neighbour label inside ``part``, ties to the smallest reference id.
+# References of a leaf, and children of an inner node, of the tree that nearest references are searched in.
+LEAF, FAN = 16, 16
+
+
+def _curve(x: Column, y: Column) -> Column:
+    """Place on the Z-order curve of two whole numbers below 2^31: their bits in turn."""
+
+    def spread(v: Column) -> Column:
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return F.shiftleft(spread(x), 1).bitwiseOR(spread(y))
+
 
-    Points and references meet through a pyramid of square grids, never as all
-    pairs of a part. The finest level with a reference in the 3x3 block around
-    a point bounds the nearest distance by 2.83 cells, so the 3x3 block two
-    levels up (4 cells wide each way) must hold the nearest one. Equal
-    coordinates are reduced to one point and one reference beforehand.
+def _reference_tree(ref: DataFrame, part: str, x: str, y: str, folder: str) -> tuple[DataFrame, list[int]]:
+    """``ref`` numbered along the curve inside each part (``_row`` from 0), staged, and the sizes of nodes from leaves up.
+
+    The curve runs through the places of the references by x and by y, not through their values, and a node is a run of
+    numbers: neither dense spots nor far outliers make large nodes.
+    """
+    by_x = row_numbers(ref, [part], [F.col(x), F.col(y)], folder, "_px")
+    by_y = row_numbers(by_x, [part], [F.col(y), F.col(x)], folder, "_py")
+    placed = by_y.withColumn("_z", _curve(F.col("_px"), F.col("_py"))).drop("_px", "_py")
+    numbered = stage(row_numbers(placed, [part], [F.col("_z"), F.col(x), F.col(y)], folder, "_row").withColumn("_row", F.col("_row") - 1).drop("_z"), folder, "references")
+    largest = numbered.agg(F.max("_row")).first()[0] or 0
+    sizes = [LEAF]
+    while largest // sizes[-1] >= FAN:
+        sizes.append(sizes[-1] * FAN)
+    return numbered, sizes
+
+
+def nearest_candidates(points: DataFrame, refs: DataFrame, part: str, coords: tuple[str, str], label: str, ref_id: str, folder: str) -> DataFrame:
+    """Pairs of a distinct place (part, x, y) and a reference (_rx, _ry, _ref, _label) among which each place's nearest is.
+
+    References hang in a balanced tree. Level by level, from the root down, a place keeps the nodes that may hold its nearest: a
+    node goes when its box is farther than the distance within which the best box must hold a reference. Boxes and places meet by
+    (part, node), a place with a handful of nodes. Places with a null coordinate have no pairs.
     """
     x, y = coords
-    ref = refs.groupBy(part, x, y).agg(F.min(ref_id).alias("_ref"), F.min_by(label, ref_id).alias("_label"))
-    place = points.select(part, x, y).distinct()
-    x0, y0, extent, n = _extent(place.select(x, y).unionByName(ref.select(x, y)), x, y)
-    levels = min(24, max(1, math.ceil(math.log2(math.sqrt(n) + 1)) + 3))
-    cell = lambda v, origin: F.floor((F.col(v) - origin) / (F.lit(extent) / F.pow(F.lit(2.0), F.col("_lvl"))))
-    on_grid = lambda df: df.withColumn("_cx", cell(x, x0)).withColumn("_cy", cell(y, y0))
-    every_level = F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("_lvl")
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    block = lambda df: (on_grid(df).withColumn("_s", F.explode(steps))
-                        .withColumn("_cx", F.col("_cx") + F.col("_s.i")).withColumn("_cy", F.col("_cy") + F.col("_s.j")).drop("_s"))
-    keys = [part, "_lvl", "_cx", "_cy"]
-    ref_cells = on_grid(ref.select("*", every_level))
-    occupied = ref_cells.select(*keys).distinct()
-    start = (block(place.select("*", every_level)).join(occupied, keys, "left_semi")
-             .groupBy(part, x, y).agg(F.greatest(F.max("_lvl") - 2, F.lit(0)).alias("_lvl")))
-    other = ref_cells.select(*keys, F.col(x).alias("_rx"), F.col(y).alias("_ry"), "_ref", "_label")
+    known = F.col(x).isNotNull() & F.col(y).isNotNull()
+    ref = refs.where(known).groupBy(part, x, y).agg(F.min(ref_id).alias("_ref"), F.min_by(label, ref_id).alias("_label"))
+    tree, sizes = _reference_tree(ref, part, x, y, folder)
+
+    def boxes(size: int) -> DataFrame:
+        node = F.expr(f"_row div {size}").alias("_node")
+        return tree.groupBy(part, node).agg(F.min(x).alias("_x0"), F.max(x).alias("_x1"), F.min(y).alias("_y0"), F.max(y).alias("_y1"))
+
+    def kept(pairs: DataFrame) -> DataFrame:
+        gap = lambda v, low, high: F.greatest(F.col(low) - F.col(v), F.col(v) - F.col(high), F.lit(0.0))
+        sides = lambda v, low, high: (F.abs(F.col(v) - F.col(low)), F.abs(F.col(high) - F.col(v)))
+        square = lambda f: f * f
+        near = square(gap(x, "_x0", "_x1")) + square(gap(y, "_y0", "_y1"))
+        across, along = sides(x, "_x0", "_x1"), sides(y, "_y0", "_y1")
+        # Every side of a tight box has a reference on it, so the nearer side of either direction holds one no farther than its far end.
+        bound = F.least(square(F.least(*across)) + square(F.greatest(*along)), square(F.greatest(*across)) + square(F.least(*along)))
+        return pairs.withColumns({"_near": near, "_bound": F.min(bound).over(Window.partitionBy(part, x, y))}).where(F.col("_near") <= F.col("_bound")).select(part, x, y, "_node")
+
+    places = points.where(known).select(part, x, y).distinct()
+    at = kept(places.join(boxes(sizes[-1]), part))
+    for size in reversed(sizes[:-1]):
+        children = boxes(size).withColumns({"_child": F.col("_node"), "_node": F.expr(f"_node div {FAN}")})
+        at = kept(at.join(children, [part, "_node"]).withColumn("_node", F.col("_child")))
+    leaves = tree.select(part, F.expr(f"_row div {LEAF}").alias("_node"), F.col(x).alias("_rx"), F.col(y).alias("_ry"), "_ref", "_label")
+    return at.join(leaves, [part, "_node"]).drop("_node")
+
+
+def nearest_label(points: DataFrame, refs: DataFrame, part: str, coords: tuple[str, str], label: str, ref_id: str, folder: str | None = None) -> DataFrame:
+    """Exact 1-nearest-neighbour label inside ``part``, ties to the smallest reference id; equal coordinates count once."""
+    x, y = coords
+    pairs = nearest_candidates(points, refs, part, coords, label, ref_id, folder or work_dir(points.sparkSession))
     square = (F.col(x) - F.col("_rx")) * (F.col(x) - F.col("_rx")) + (F.col(y) - F.col("_ry")) * (F.col(y) - F.col("_ry"))
-    best = (block(start).join(other, keys).groupBy(part, x, y)
-            .agg(F.min_by(F.struct("_label", "_ref"), F.struct(square.alias("d"), F.col("_ref").alias("r"))).alias("_best")))
+    best = pairs.groupBy(part, x, y).agg(F.min_by(F.struct("_label", "_ref"), F.struct(square.alias("d"), F.col("_ref").alias("r"))).alias("_best"))
     return (points.join(best, [part, x, y], "left")
             .select(*points.columns, F.col("_best._label").alias(f"nearest_{label}"), F.col("_best._ref").alias(f"nearest_{ref_id}")))
 
 
-def _extent(df: DataFrame, x: str, y: str) -> tuple[float, float, float, int]:
-    """Origin, side and size of the bounding square: one row comes back to the driver."""
-    row = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"), F.count("*").alias("n")).first()
-    if row.n == 0:
-        return 0.0, 0.0, 1.0, 1
-    side = max(float(row.x1) - float(row.x0), float(row.y1) - float(row.y0))
-    return float(row.x0), float(row.y0), side or 1.0, int(row.n)
-
-
 def fill_latest_known(df: DataFrame, history: DataFrame, keys: Sequence[str], order: str, value: str, history_value: str) -> DataFrame:
     """Fill a missing ``value`` with the key's last known one on rows past its last ``order``."""
     last = history.groupBy(*keys).agg(

@@ -35,6 +35,11 @@ def global_row_number(df: DataFrame, order: Sequence[Column], folder: str, alias
     return rows.withColumn("inside", inside).join(offsets, "part").withColumn(alias, (F.col("before") + F.col("inside")).cast("long")).drop("part", "inside", "before")
 
 
+def _dealt(df: DataFrame, order: Sequence[Column], folder: str, name: str) -> DataFrame:
+    """``ranged`` with a range number, ``_range``, that no column of the caller's clashes with."""
+    return stage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), folder, name)
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str = "_k_") -> Column:
     """Null-safe equality of ``keys`` with the prefixed columns of ``right``."""
     same = F.lit(True)
@@ -44,34 +49,34 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str =
 
 
 def _range_offsets(rows: DataFrame, keys: Sequence[str], size: Column) -> DataFrame:
-    """Per (key, range) of ``ranged`` rows: _held, the sum of ``size``, _before, that of the ranges before it, and _total of the key.
+    """Per (key, range) of dealt rows: _held, the sum of ``size``, _before, that of the ranges before it, and _total of the key.
 
     A key has one row per range it reaches into, which bounds the window.
     """
     named = [F.col(k).alias(f"_k_{k}") for k in keys]
-    held = rows.groupBy(*named, F.col("part").alias("_part")).agg(size.alias("_held"))
+    held = rows.groupBy(*named, "_range").agg(size.alias("_held"))
     key = Window.partitionBy(*[f"_k_{k}" for k in keys])
-    before = F.sum("_held").over(key.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("_held").over(key.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     return held.withColumns({"_before": F.coalesce(before, F.lit(0)), "_total": F.sum("_held").over(key)})
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], folder: str, alias: str = "row_number") -> DataFrame:
     """Number the rows of each key 1..n by ``order``, which must be total for a repeatable result."""
-    rows = ranged(df, [*map(F.col, keys), *order], folder, f"ranged_{alias}")
+    rows = _dealt(df, [*map(F.col, keys), *order], folder, f"ranged_{alias}")
     offsets = _range_offsets(rows, keys, F.count("*"))
-    inside = rows.withColumn("_inside", F.row_number().over(Window.partitionBy("part", *keys).orderBy(*order)))
-    joined = inside.join(offsets, (F.col("part") == F.col("_part")) & _same(inside, offsets, keys))
+    inside = rows.withColumn("_inside", F.row_number().over(Window.partitionBy("_range", *keys).orderBy(*order)))
+    joined = inside.join(offsets, (inside["_range"] == offsets["_range"]) & _same(inside, offsets, keys))
     return joined.select(*df.columns, (F.col("_before") + F.col("_inside")).cast("long").alias(alias))
 
 
 def value_positions(df: DataFrame, keys: Sequence[str], value: str, folder: str) -> DataFrame:
     """Per distinct (key, non-null value): _n rows with it, _below rows with a smaller one, _total rows of the key, and its range."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    rows = ranged(counts, [F.col(c) for c in (*keys, value)], folder, f"values_{value}")
+    rows = _dealt(counts, [F.col(c) for c in (*keys, value)], folder, f"values_{value}")
     offsets = _range_offsets(rows, keys, F.sum("_n"))
-    smaller = F.sum("_n").over(Window.partitionBy("part", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
+    smaller = F.sum("_n").over(Window.partitionBy("_range", *keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1))
     inside = rows.withColumn("_inside", F.coalesce(smaller, F.lit(0)))
-    joined = inside.join(offsets, (F.col("part") == F.col("_part")) & _same(inside, offsets, keys))
+    joined = inside.join(offsets, (inside["_range"] == offsets["_range"]) & _same(inside, offsets, keys))
     return joined.select(*keys, value, "_n", (F.col("_before") + F.col("_inside")).alias("_below"), "_total")
 
 

@@ -1,10 +1,10 @@
-"""Nested documents of a schedule, as struct columns ready for JSON lines."""
+"""Nested documents of a schedule, as struct columns ready for JSON lines or written as they are sorted."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from schedlytics.functions.calendar import day_name, snap_sunday
@@ -12,18 +12,30 @@ from schedlytics.operators.dedupe import keep_one
 from schedlytics.plans.publishing import current_menus
 
 
-def branch_docs(rows: DataFrame) -> DataFrame:
-    """One document per branch and schedule week (from Sunday): weekday -> list of {group, status, orders}.
+def write_branch_docs(rows: DataFrame, path: str) -> str:
+    """One JSON line per branch and schedule week (from Sunday): weekday -> list of {group, status, orders}, sorted.
 
     ``rows``: branch_id, branch_name, capacity, restaurant_id, restaurant_name,
-    schedule_on, group_id, group_name, schedule_status, orders. A branch's
-    capacity bounds what one week holds.
+    schedule_on, group_id, group_name, schedule_status, orders. A document is
+    written row by row as its sorted rows come by, opened at its first and closed
+    at its last one. So a branch without a capacity may have any number of
+    entries in a week: they are spilled while they are sorted, never held.
     """
     head = ["branch_id", "branch_name", "capacity", "restaurant_id", "restaurant_name", "week"]
-    dated = rows.withColumns({"week": snap_sunday(F.col("schedule_on")), "day": day_name(F.col("schedule_on"))})
-    entry = F.struct("group_id", "group_name", "schedule_status", "orders")
-    days = dated.groupBy(*head, "day").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    return days.groupBy(*head).agg(F.map_from_entries(F.collect_list(F.struct("day", "entries"))).alias("schedules"))
+    entry = ["group_id", "group_name", "schedule_status", "orders"]
+    dated = rows.withColumns({"week": snap_sunday(F.col("schedule_on")), "day": F.coalesce(day_name(F.col("schedule_on")), F.lit(""))})
+    order = Window.partitionBy(*head).orderBy("day", *entry)
+    near = dated.select(*head, "day", *entry, F.lag("day").over(order).alias("_before"), F.lead("day").over(order).alias("_after"))
+    opens, closes = F.col("_before").isNull(), F.col("_after").isNull()
+    day_opens, day_closes = opens | (F.col("_before") != F.col("day")), closes | (F.col("_after") != F.col("day"))
+    fields = F.to_json(F.struct(*head))
+    piece = F.concat(
+        F.when(opens, F.concat(F.expr("left({0}, length({0}) - 1)".format("_head")), F.lit(',"schedules":{'))).otherwise(""),
+        F.when(day_opens, F.concat(F.when(opens, "").otherwise(","), F.lit('"'), "day", F.lit('":['))).otherwise(","),
+        F.to_json(F.struct(*entry)), F.when(day_closes, "]").otherwise(""), F.when(closes, "}}\n").otherwise(""))
+    # Pieces are separated by a space, which JSON allows between them; the line ends with the document.
+    near.withColumn("_head", F.when(opens, fields)).select(piece.alias("value")).write.mode("overwrite").option("lineSep", " ").text(path)
+    return path
 
 
 def menu_docs(menus: DataFrame, menus_meals: DataFrame, meals: DataFrame) -> DataFrame:

@@ -263,7 +263,7 @@ BRANCH_DOC = ("branch_id long, branch_name string, capacity int, restaurant_id l
     JOIN restaurants AS n ON r.restaurant_id = n.restaurant_id JOIN client_groups AS g ON r.group_id = g.group_id GROUP BY 1, 4, 5""")
 def json_branch_docs(v):
     rows = doc_rows(v).drop("id", "type2", "category", "days_diff", "type_name", "category_name")
-    path = sinks.write_json_docs(documents.branch_docs(rows), f"{work_dir(v.spark)}/branch_docs")
+    path = documents.write_branch_docs(rows, f"{work_dir(v.spark)}/branch_docs")
     days = tables.scan_json(v.spark, path, BRANCH_DOC).select("branch_id", "branch_name", "restaurant_name", "week", F.explode("schedules").alias("day", "list"))
     entry = lambda e: F.concat_ws(":", e.group_id.cast("string"), e.group_name, e.schedule_status.cast("string"), e.orders.cast("string"))
     return days.withColumn("entries", F.array_join(F.transform("list", entry), ","))

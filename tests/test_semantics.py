@@ -1,5 +1,6 @@
 """Edge rules on small hand-made frames."""
 
+import json
 import math
 import random
 from datetime import date
@@ -147,6 +148,26 @@ def test_previous_orders_look_at_observed_weeks(spark):
     assert rows(panels.previous_orders(df).select("week_no", "previous_orders")) == [(1, 0.0), (4, 7.0)]
 
 
+# ---- nearest references ----
+
+
+def test_nearest_on_uneven_density_with_an_outlier(spark, tmp_path):
+    """Dense clusters, an outlier that stretches the box, equal places, ties, a part without references, null coordinates."""
+    rng = random.Random(17)
+    spots = [(rng.uniform(-5, 5), rng.uniform(-5, 5)) for _ in range(4)]
+    near = lambda scale: [round(c + rng.gauss(0, scale), 9) for c in rng.choice(spots)]
+    refs = [(i, rng.choice("ab"), *near(1e-4), f"l{i % 9}") for i in range(1500)] + [(1500, "a", 1e7, -1e7, "far"), (1501, "a", 0.0, 0.0, "z"), (1502, "a", 0.0, 0.0, "y"), (1503, "b", 1.0, 1.0, "q")]
+    points = [(i, rng.choice("ab"), *near(10 ** rng.uniform(-5, 1))) for i in range(600)] + [(600, "a", 5e6, -5e6), (601, "a", 0.0, 0.0), (602, "c", 1.0, 1.0), (603, "a", None, 1.0), (604, "a", 0.0, 0.0)]
+    p = spark.createDataFrame(points, "point_id long, part string, x double, y double").repartition(3)
+    r = spark.createDataFrame(refs, "ref_id long, part string, x double, y double, label string").repartition(3)
+    got = {g.point_id: (g.nearest_label, g.nearest_ref_id) for g in joins.nearest_label(p, r, "part", ("x", "y"), "label", "ref_id", str(tmp_path)).collect()}
+    for i, part, x, y in points:
+        own = [((x - rx) * (x - rx) + (y - ry) * (y - ry), k, name) for k, rpart, rx, ry, name in refs if rpart == part and x is not None]
+        assert got[i] == ((min(own)[2], min(own)[1]) if own else (None, None))
+    pairs = joins.nearest_candidates(p, r, "part", ("x", "y"), "label", "ref_id", str(tmp_path)).count()
+    assert pairs <= 8 * joins.LEAF * len(points)  # all pairs of a part would be 750 for each point
+
+
 # ---- panels by intervals ----
 
 
@@ -527,13 +548,29 @@ def test_report_counts_what_the_rules_return(spark):
 # ---- documents, arrays, metrics ----
 
 
-def test_one_document_per_branch_and_week(spark):
+def test_one_document_per_branch_and_week(spark, tmp_path):
     days = [date(2024, 1, 6), date(2024, 1, 7), date(2024, 1, 13), date(2024, 1, 14)]
     df = spark.createDataFrame([(1, "b", 2, 3, "r", d, g, "g", 0, 5) for d in days for g in (8, 9)], "branch_id long, branch_name string, capacity int, restaurant_id long, "
                                "restaurant_name string, schedule_on date, group_id long, group_name string, schedule_status int, orders long")
-    docs = {r.week: r.schedules for r in documents.branch_docs(df).collect()}
-    assert {w: sorted(x) for w, x in docs.items()} == {date(2023, 12, 31): ["Saturday"], date(2024, 1, 7): ["Saturday", "Sunday"], date(2024, 1, 14): ["Sunday"]}
-    assert [e.group_id for e in docs[date(2024, 1, 14)]["Sunday"]] == [8, 9]
+    lines = spark.read.text(documents.write_branch_docs(df, str(tmp_path))).where("length(trim(value)) > 0").collect()
+    docs = {r["week"]: r["schedules"] for r in (json.loads(x.value) for x in lines)}
+    assert {w: sorted(x) for w, x in docs.items()} == {"2023-12-31": ["Saturday"], "2024-01-07": ["Saturday", "Sunday"], "2024-01-14": ["Sunday"]}
+    assert [e["group_id"] for e in docs["2024-01-14"]["Sunday"]] == [8, 9]
+
+
+def test_a_document_of_any_length_is_written_row_by_row(spark, tmp_path):
+    """A branch without capacity, with names that need escapes and nulls: more entries than a window keeps in memory."""
+    many = spark.range(20_000).selectExpr("1L AS branch_id", "'a \"b\" \\\\ c' AS branch_name", "CAST(NULL AS INT) AS capacity", "3L AS restaurant_id", "CAST(NULL AS STRING) AS restaurant_name",
+                                          "DATE '2024-01-07' + CAST(id % 3 AS INT) AS schedule_on", "id AS group_id", "IF(id % 7 = 0, NULL, 'g\n' || id) AS group_name", "0 AS schedule_status", "id % 5 AS orders")
+    small = many.where("group_id < 4").withColumn("branch_id", F.col("group_id") + 10)
+    df = many.unionByName(small).repartition(6)
+    lines = spark.read.text(documents.write_branch_docs(df, str(tmp_path))).where("length(trim(value)) > 0").collect()
+    docs = {d["branch_id"]: d for d in (json.loads(r.value) for r in lines)}
+    assert len(lines) == len(docs) == 5 and docs[1]["branch_name"] == 'a "b" \\ c' and "capacity" not in docs[1]
+    entries = [e for day in docs[1]["schedules"].values() for e in day]
+    assert sorted(e["group_id"] for e in entries) == list(range(20_000)) and sorted(docs[1]["schedules"]) == ["Monday", "Sunday", "Tuesday"]
+    assert all([e["group_id"] for e in day] == sorted(e["group_id"] for e in day) for day in docs[1]["schedules"].values())
+    assert entries[1] == {"group_id": entries[1]["group_id"], "group_name": f"g\n{entries[1]['group_id']}", "schedule_status": 0, "orders": entries[1]["group_id"] % 5}
 
 
 def test_array_rules(spark):
