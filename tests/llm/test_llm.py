@@ -393,27 +393,34 @@ def test_masked_lm_trains_on_every_token(spark, tmp_path):
     text = " ".join("x" if k in (0, 5, 10) else "y" for k in range(16))
     table = spark.createDataFrame([(k, text) for k in range(50)], "doc_id long, text string").coalesce(1)
     encoded = masked_lm.encode(table, masked_lm.vocabulary(table, str(tmp_path)))
-    line = np.frombuffer(bytes(2) + encoded.first().tokens + bytes(2), dtype=np.uint8)
-    logs = masked_lm.train(encoded, str(tmp_path)).forward(line, np.arange(2, 18))[1][np.arange(16), line[2:18]]
+    line = np.frombuffer(bytes(2) + encoded.first().tokens + bytes(2), dtype=np.uint8).astype(np.intp)
+    logs = masked_lm.train(encoded, str(tmp_path)).log_probability(line, np.arange(2, 18), masked_lm.Room())
     assert logs.min() > -np.log(masked_lm.CLASSES)
 
 
-def test_descent_sums_gradients_by_class():
-    """The sums over rows of one class are those of one-hot matrices."""
+@pytest.mark.parametrize("scale", [1, 400])
+def test_descent_follows_the_plain_gradient(scale):
+    """One-hot matrices and a shifted softmax give the same gradients, with small weights and with ones that need the shift."""
     rng = np.random.default_rng(1)
-    line = np.concatenate([np.zeros(2), rng.integers(1, masked_lm.CLASSES, 300), np.zeros(2)]).astype(np.uint8)
-    at = np.arange(2, 302)
-    model, want = masked_lm.Network.fresh(), masked_lm.Network.fresh()
-    hidden, logs = want.forward(line, at)
-    slope = np.exp(logs)
-    slope[np.arange(300), line[at]] -= 1
-    slope /= 300
-    back = (slope @ want.out.T) * (1 - hidden * hidden)
+    line = np.concatenate([np.zeros(2), rng.integers(1, masked_lm.CLASSES, 900), np.zeros(2)]).astype(np.intp)
+    at = np.arange(2, 902)
+    model = masked_lm.Network.fresh()
+    model.out *= scale
+    into, out = model.into.astype(np.float64), model.out.astype(np.float64)
+    hidden = np.tanh(model.bias + sum(into[p][line[at + k]] for p, k in enumerate(masked_lm.PLACES)))
+    logits = hidden @ out + model.prior
+    slope = np.exp(logits - logits.max(axis=1, keepdims=True))
+    slope /= slope.sum(axis=1, keepdims=True)
+    logs = logits[np.arange(900), line[at]] - logits.max(axis=1) - np.log(np.exp(logits - logits.max(axis=1, keepdims=True)).sum(axis=1))
+    assert np.allclose(model.log_probability(line, at, masked_lm.Room()), logs, rtol=1e-3, atol=1e-3)
+    slope[np.arange(900), line[at]] -= 1
+    slope /= 900
+    back = (slope @ out.T) * (1 - hidden * hidden)
     squares = [np.zeros_like(x) for x in (model.into, model.bias, model.out, model.prior)]
-    model.descend(line, at, squares)
-    for p, k in enumerate(masked_lm.PLACES):
-        grad = np.eye(masked_lm.CLASSES, dtype=np.float32)[line[at + k]].T @ back
-        assert np.allclose(squares[0][p], grad * grad, atol=1e-9)
+    model.descend(line, at, squares, masked_lm.Room())
+    want = [np.stack([np.eye(masked_lm.CLASSES)[line[at + k]].T @ back for k in masked_lm.PLACES]), back.sum(axis=0), hidden.T @ slope, slope.sum(axis=0)]
+    for got, grad in zip(squares, want, strict=True):
+        assert np.allclose(np.sqrt(got), np.abs(grad), rtol=1e-3, atol=1e-5 * scale)
 
 
 def test_bpe_takes_long_white_space(spark):
