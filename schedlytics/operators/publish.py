@@ -16,7 +16,7 @@ def missing_rows(new: DataFrame, existing: DataFrame, keys: Sequence[str], requi
     nothing, unless the key is listed in ``null_safe``.
     """
     rows = new.dropna(subset=list(required)) if required else new
-    have = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys]).distinct()
+    have = existing.select(*[F.col(k).alias(f"_e_{k}") for k in keys])
     same: Column | None = None
     for k in keys:
         left, right = F.col(k), F.col(f"_e_{k}")

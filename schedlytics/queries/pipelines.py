@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from schedlytics.functions import calendar as cal
 from schedlytics.functions import moments
 from schedlytics.functions import scalars as S
+from schedlytics.operators.joins import expanding_join
 from schedlytics.plans import candidates, clusters, entities, history, lateness, model, panels, publishing, ratio, scheduling
 from schedlytics.queries.grouped import PERIOD, staged_weeks, visit_weeks
 from schedlytics.queries.windowed import expanding_sql, weighted_scores
@@ -56,19 +57,17 @@ check_step("ratio_rows", """
     CROSS JOIN generate_series(DATE '1998-12-20', DATE '1998-12-24', INTERVAL 1 DAY) AS days(d)""")
 
 
-def entity_frames(v):
-    return v.companies, v.client_groups, v.branches, v.restaurants, v.branch_area
-
-
 def routed(v):
-    """The shared steps: order facts and client routes, written once."""
+    """The shared steps: folder, serving branches, order facts and client routes, each written once."""
     folder = work_dir(v.spark)
+    serving = stage(ratio.serving_branches(v.branches, v.restaurants, v.branch_area), folder, "serving")
     facts = ratio.window_facts(v.order_rows, PERIOD, folder)
-    return folder, facts, ratio.client_routing(ratio.pair_clients(*entity_frames(v)), facts, folder)
+    routes = ratio.client_routing(ratio.pair_clients(v.companies, v.client_groups, serving), facts, folder)
+    return folder, serving, facts, stage(routes, folder, "routes")
 
 
-def ratio_rows(v, folder, facts, routes):
-    return ratio.order_schedule_ratio(*entity_frames(v), facts, v.menu_schedules, routes, PERIOD, folder)
+def ratio_rows(v, folder, serving, facts, routes):
+    return ratio.order_schedule_ratio(v.companies, v.client_groups, v.branches, v.restaurants, serving, facts, v.menu_schedules, routes, PERIOD, folder)
 
 
 @query("order_schedule_ratio", "company_id i, group_id i, schedule_on d, branch_id i, restaurant_id i, ots f, model s", "SELECT * FROM ratio_rows")
@@ -78,7 +77,7 @@ def order_schedule_ratio(v):
 
 @query("client_routing", "company_id i, weeks_count i, orders_sum i, order_avg i, all_avg i, model s", "SELECT * FROM routes")
 def client_routing(v):
-    return routed(v)[2]
+    return routed(v)[-1]
 
 
 # ---- history ----
@@ -315,6 +314,28 @@ def lateness_features(v):
     return lateness.attach_lateness(base, lateness.delivery_minutes(v.deliveries.withColumn("client_id", cid)), since="1996_44")
 
 
+def last_mean_sql(keys: str) -> str:
+    return f"""
+    SELECT {keys}, arg_max(minutes, week) AS minutes FROM (SELECT {keys}, week, avg(minutes) AS minutes FROM late_rows WHERE week > '1996_44' GROUP BY {keys}, week) AS t GROUP BY {keys}"""
+
+
+check_step("last_late_pair", last_mean_sql("client_id, restaurant_id"))
+check_step("last_late_client", last_mean_sql("client_id"))
+check_step("last_late_restaurant", last_mean_sql("restaurant_id"))
+
+
+@query("latest_lateness", "client_id s, restaurant_id i, p_lateness f, c_lateness f, r_lateness f", """
+    SELECT s.client_id, s.restaurant_id, coalesce(p.minutes, 0) AS p_lateness, coalesce(c.minutes, 0) AS c_lateness, coalesce(r.minutes, 0) AS r_lateness
+    FROM score_pairs AS s LEFT JOIN last_late_pair AS p ON s.client_id = p.client_id AND s.restaurant_id = p.restaurant_id
+    LEFT JOIN last_late_client AS c ON s.client_id = c.client_id LEFT JOIN last_late_restaurant AS r ON s.restaurant_id = r.restaurant_id""")
+def latest_lateness(v):
+    cid = S.client_id(F.col("company_id"), F.col("building_id"))
+    rows = stage(lateness.delivery_minutes(v.deliveries.withColumn("client_id", cid)), work_dir(v.spark), "minutes")
+    serving = candidates.serving_restaurants(v.restaurants, v.branches, v.branch_area)
+    pairs = expanding_join(candidates.candidate_clients(v.companies), serving, "area_id").select("client_id", "restaurant_id")
+    return lateness.attach_latest(pairs, rows, "1996_44")
+
+
 # ---- candidates, scoring, hybrid ----
 
 check_step("score_pairs", """
@@ -458,10 +479,10 @@ def model_scores(v, folder):
     WHERE model = 'model'""")
 def model_hybrid(v):
     """The blend with the trained model; orders of model rows are trees' output and only checked for being counts."""
-    folder, facts, routes = routed(v)
+    folder, serving, facts, routes = routed(v)
     scores = model_scores(v, folder)
     by_model = stage(model.attach_branches(scores, v.branches, v.branch_area, shift_days=7), folder, "model_rows")
-    by_ratio = stage(ratio_rows(v, folder, facts, routes), folder, "ratio_rows")
+    by_ratio = stage(ratio_rows(v, folder, serving, facts, routes), folder, "ratio_rows")
     blend = model.hybrid(by_ratio, by_model, routes, entities.active_clients(v.companies, v.client_groups))
     return blend.withColumns({"ratio_orders": F.when(F.col("model") == "ratio", F.col("orders")), "is_count": F.col("orders") >= 0})
 
@@ -490,9 +511,9 @@ def score_attach_branch(v):
     JOIN routes AS r ON s.client_id = r.company_id || '_C' LEFT JOIN (SELECT DISTINCT company_id, group_id FROM ratio_pairs) AS g ON r.company_id = g.company_id
     WHERE model = 'model'""")
 def hybrid_predictions(v):
-    folder, facts, routes = routed(v)
+    folder, serving, facts, routes = routed(v)
     clients = entities.active_clients(v.companies, v.client_groups)
-    by_ratio, by_model = stage(ratio_rows(v, folder, facts, routes), folder, "ratio_rows"), stage(branch_scores(v), folder, "model_rows")
+    by_ratio, by_model = stage(ratio_rows(v, folder, serving, facts, routes), folder, "ratio_rows"), stage(branch_scores(v), folder, "model_rows")
     return model.hybrid(by_ratio, by_model, routes, clients)
 
 
@@ -597,7 +618,7 @@ def relevance_share(v):
         FROM pool_input AS i JOIN relevance AS r ON i.group_id = r.group_id AND i.restaurant_id = r.restaurant_id) AS w) AS t
     WHERE delivery_capacity IS NULL OR slot <= delivery_capacity""")
 def capacity_assign(v):
-    staged = pool_input(v)
+    staged = stage(pool_input(v), work_dir(v.spark), "pool_input")
     ranked = scheduling.schedule_weight(staged).join(relevance(v, staged).select("group_id", "restaurant_id", "bin", "rank"), ["group_id", "restaurant_id"])
     largest = v.branches.agg(F.max("delivery_capacity")).first()[0]
     return scheduling.assign_capacity(ranked, [*scheduling.priority_order(), F.asc("group_id")], largest)
@@ -638,3 +659,48 @@ def publish_rows(v):
     schedule = v.schedule_pool.where("schedule_status = 0").select("schedule_on", "group_id", "branch_id", "restaurant_id").distinct()
     predictions = v.order_rows.select("branch_id", "restaurant_id", "schedule_on", "company_id", "order_id", F.col("quantity").alias("orders"))
     return publishing.publish_rows(schedule, v.companies, v.menus, predictions, ["company_id", "order_id", "orders"])
+
+
+check_step("current_menus", "SELECT restaurant_id, max(menu_id) AS menu_id FROM menus WHERE category_id = 2 AND status = 1 AND publish_status = 1 GROUP BY 1")
+check_step("first_predictions", """
+    SELECT branch_id, restaurant_id, schedule_on, arg_min(quantity, (company_id, order_id, quantity)) AS orders FROM order_rows GROUP BY 1, 2, 3""")
+# Schedules of building clients, and of drop-off points that several companies share, from the days that have orders.
+check_step("client_schedules", """
+    SELECT DISTINCT schedule_on, CASE WHEN building_id IS NULL THEN company_id % 50 || '_CD' ELSE building_id || '_B' END AS client_code, branch_id, restaurant_id
+    FROM order_rows WHERE schedule_on BETWEEN DATE '1998-11-01' AND DATE '1998-12-19'""")
+
+
+def client_schedules(v):
+    code = F.when(F.col("building_id").isNull(), F.concat(F.pmod("company_id", F.lit(50)).cast("string"), F.lit("_CD"))).otherwise(F.concat(F.col("building_id").cast("string"), F.lit("_B")))
+    rows = v.order_rows.where(F.col("schedule_on").between(F.lit(date(1998, 11, 1)), F.lit(date(1998, 12, 19))))
+    return rows.select("schedule_on", code.alias("client_code"), "branch_id", "restaurant_id").distinct()
+
+
+def first_orders(v):
+    return v.order_rows.select("branch_id", "restaurant_id", "schedule_on", "company_id", "order_id", F.col("quantity").alias("orders"))
+
+
+@query("publish_buildings", "schedule_on d, branch_id i, building_id i, menu_id i, ots i", """
+    SELECT s.schedule_on, s.branch_id, CAST(split_part(client_code, '_', 1) AS BIGINT) AS building_id, menu_id, orders AS ots
+    FROM client_schedules AS s LEFT JOIN current_menus AS m ON s.restaurant_id = m.restaurant_id
+    LEFT JOIN first_predictions AS o ON s.branch_id = o.branch_id AND s.restaurant_id = o.restaurant_id AND s.schedule_on = o.schedule_on WHERE client_code LIKE '%\\_B' ESCAPE '\\'""")
+def publish_buildings(v):
+    return publishing.building_rows(client_schedules(v).withColumnRenamed("client_code", "client_id"), v.menus, first_orders(v), ["company_id", "order_id", "orders"])
+
+
+@query("publish_drop_offs", "schedule_on d, branch_id i, company_id i, menu_id i, ots i", """
+    SELECT s.schedule_on, s.branch_id, company_id, menu_id, orders AS ots
+    FROM client_schedules AS s LEFT JOIN current_menus AS m ON s.restaurant_id = m.restaurant_id
+    LEFT JOIN first_predictions AS o ON s.branch_id = o.branch_id AND s.restaurant_id = o.restaurant_id AND s.schedule_on = o.schedule_on
+    LEFT JOIN (SELECT company_id, drop_off_point_id FROM companies WHERE status = 1 AND is_active_virtual = 0) AS c ON c.drop_off_point_id = CAST(split_part(client_code, '_', 1) AS BIGINT)
+    WHERE client_code LIKE '%CD'""")
+def publish_drop_offs(v):
+    schedule = publishing.drop_off_points(client_schedules(v))
+    return publishing.publish_rows(schedule, v.companies, v.menus, first_orders(v), ["company_id", "order_id", "orders"], "drop_off_point_id", drop_tests=False)
+
+
+@query("cluster_predictions", "group_id s, area_id i, schedule_on d, branch_id i, restaurant_id i, orders i", """
+    SELECT c.group_id, c.area_id, schedule_on, branch_id, restaurant_id, sum(ots) AS orders FROM clustered AS c JOIN ratio_rows AS r ON c.company_id = r.company_id GROUP BY 1, 2, 3, 4, 5""")
+def cluster_predictions(v):
+    by_ratio = ratio_rows(v, *routed(v)).select("company_id", "schedule_on", "branch_id", "restaurant_id", F.col("ots").alias("orders"))
+    return clusters.cluster_predictions(clusters.cluster_groups(v.companies, v.cluster_samples), by_ratio)

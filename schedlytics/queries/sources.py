@@ -138,7 +138,8 @@ check_step("fresh_keys", "SELECT company_id, menu_id, branch_id, schedule_on FRO
 def append_missing(v):
     keys = ["company_id", "menu_id", "branch_id", "schedule_on"]
     new = v.order_rows.withColumn("menu_id", F.when(F.col("status") != 2, F.col("menu_id"))).select(*keys)
-    live = v.menu_schedules.where(F.col("deleted_at").isNull()).select(*keys)
+    # The live rows are compared with and kept, so they are derived once.
+    live = sinks.stage(v.menu_schedules.where(F.col("deleted_at").isNull()).select(*keys), work_dir(v.spark), "live")
     return publish.append_missing(new, live, keys, required=["menu_id"], stamp=F.lit("2001-09-01").cast("date"))
 
 
