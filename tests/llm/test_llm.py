@@ -290,21 +290,6 @@ def test_every_licence_rule_is_met_by_its_own_sentences():
             assert licences.licences(licences.sentence_ids(". ".join(variants) + ".")[0]) == [name], (name, names)
 
 
-def test_wand_is_exact():
-    rng = np.random.default_rng(5)
-    for _ in range(60):
-        lists = []
-        for _ in range(rng.integers(1, 6)):
-            at = np.unique(rng.integers(0, 700, rng.integers(1, 400))).astype(np.int32)
-            impact = rng.integers(1, 30, len(at)).astype(np.int64)
-            lists.append((at, impact, np.maximum.reduceat(impact, np.arange(0, len(at), search.BLOCK)), int(impact.max())))
-        total = Counter()
-        for at, impact, _, _ in lists:
-            for d, v in zip(at.tolist(), impact.tolist(), strict=True):
-                total[d] += v
-        assert sorted(search.wand(lists, 7), key=lambda x: (-x[0], x[1])) == sorted(((v, d) for d, v in total.items()), key=lambda x: (-x[0], x[1]))[:7]
-
-
 def test_search_of_awkward_rows(docs, none):
     assert search.search(docs, docs.selectExpr("doc_id as query_id", "text")).count() > 0
     assert search.search(none, none.selectExpr("doc_id as query_id", "text")).count() == 0
@@ -327,19 +312,37 @@ def test_search_scores_every_word_of_a_query_text(spark):
         assert got.get(q, []) == [(d, s / 1e6) for d, s in sorted(score.items(), key=lambda x: (-x[1], x[0])) if s > 0][:10]
 
 
-def test_wand_is_exact_with_many_lists_and_ties():
+def segment_of(lists):
+    return search.Segment(np.concatenate([d for d, _ in lists]), np.concatenate([v for _, v in lists]), np.array([len(d) for d, _ in lists]))
+
+
+def test_wand_is_exact_with_few_and_many_lists_and_ties():
     rng = np.random.default_rng(6)
-    for turn in range(40):
+    for turn in range(60):
         lists = []
-        for _ in range(rng.integers(50, 200)):
-            at = np.unique(rng.integers(0, 700, rng.integers(1, [40, 400, 700][turn % 3]))).astype(np.int32)
-            impact = rng.integers(1, 3 + 2000 // len(at), len(at)).astype(np.int64)
-            lists.append((at, impact, np.maximum.reduceat(impact, np.arange(0, len(at), search.BLOCK)), int(impact.max())))
+        for _ in range(rng.integers(1, 6) if turn % 2 else rng.integers(50, 200)):
+            at = np.unique(rng.integers(0, 700, rng.integers(1, [40, 400, 700][turn % 3]))).astype(np.int64)
+            lists.append((at, rng.integers(1, 3 + 2000 // len(at), len(at)).astype(np.int64)))
+        asked = np.sort(rng.choice(len(lists), rng.integers(1, len(lists) + 1), replace=False))
         total = Counter()
-        for at, impact, _, _ in lists:
-            for d, v in zip(at.tolist(), impact.tolist(), strict=True):
+        for t in asked:
+            for d, v in zip(*(x.tolist() for x in lists[t]), strict=True):
                 total[d] += v
-        assert search.wand(lists, 7) == sorted(((v, d) for d, v in total.items()), key=lambda x: (-x[0], x[1]))[:7]
+        for k in (1, 7, 2000):
+            assert segment_of(lists).wand(asked, k) == sorted(((v, d) for d, v in total.items()), key=lambda x: (-x[0], x[1]))[:k]
+    assert segment_of(lists).wand(np.zeros(0, dtype=np.int64), 3) == []
+
+
+def test_wand_skips_blocks_that_cannot_reach_the_floor():
+    """Most of the impact lies in few docs: most blocks are never read, and what is read decides the same as everything."""
+    rng, seen = np.random.default_rng(7), {}
+    strong = np.sort(rng.choice(20_000, 60, replace=False))
+    lists = [(at := np.unique(np.append(rng.choice(20_000, 300), strong)), np.where(np.isin(at, strong), 900, 10) + rng.integers(0, 9, len(at))) for _ in range(40)]
+    total = np.zeros(20_000, dtype=np.int64)
+    for at, impact in lists:
+        total[at] += impact
+    assert segment_of(lists).wand(np.arange(40), 10, seen) == [(int(total[d]), int(d)) for d in np.lexsort((np.arange(20_000), -total))[:10]]
+    assert seen["skipped"] > 10 * seen["scored"] > 0
 
 
 def test_masked_lm_beats_word_frequencies(spark, docs, none, tmp_path):
