@@ -83,17 +83,16 @@ def letter_runs(texts: list[str]) -> LetterRuns:
     kind = plain[np.minimum(points, 0x7FF)]
     far = np.flatnonzero(points >= 0x800)
     kind[far] = KINDS[np.searchsorted(BORDERS, points[far], side="right") - 1]
-    letter = kind >= LETTER
-    kind = np.where(letter, kind - LETTER, kind).astype(np.uint8)
+    marks = np.flatnonzero((kind > 0) & (kind < LETTER))
+    kind &= LETTER - 1
     change = np.flatnonzero(np.diff(kind, prepend=0, append=0))
     edges = np.append(change, len(kind)) if len(kind) else change
     low, high = edges[:-1], edges[1:]
     keep = (high > low) & (kind[np.minimum(low, max(0, len(kind) - 1))] > 0) if len(kind) else np.zeros(len(low), dtype=bool)
     low, high = low[keep], high[keep]
-    if len(low):
+    if len(marks):
         # A run of marks alone is no word.
-        before = np.append(0, np.cumsum(letter))
-        spelt = before[high] > before[low]
+        spelt = np.searchsorted(marks, high) - np.searchsorted(marks, low) < high - low
         low, high = low[spelt], high[spelt]
     offsets = np.zeros(len(texts) + 1, dtype=np.int64)
     np.cumsum([len(t) + 1 for t in texts], out=offsets[1:])
