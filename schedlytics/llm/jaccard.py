@@ -34,8 +34,9 @@ from schedlytics.session import work_dir
 
 # Longest multi-match prefix: common prefix tokens that a pair may be asked for.
 LEVELS = 4
-# Shingles with a place of their own at the end of the order: a fixed table of the most repeated ones. It only orders tokens.
-ORDER_TOKENS = 50_000
+# Shingles with a place of their own at the end of the order: a table of the most repeated ones, of 16 bytes each. It only orders
+# tokens, and is wide so that the shared shingles of a larger corpus do not crowd the prefixes either.
+ORDER_TOKENS = 1_000_000
 # A shingle is reported for that table from so many documents of one working set on.
 LOCAL_REPEATS = 3
 WORKING_SET = 2_000_000
@@ -65,8 +66,8 @@ def _sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray, np.nd
         yield low, values, np.searchsorted(row, np.arange(high - low + 1))
 
 
-def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most repeated shingles and their document counts, sorted by hash; at most ``ORDER_TOKENS``."""
+def _frequent(docs: DataFrame, words: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
+    """The most repeated shingles and their document counts, sorted by hash: all from that count on from which ``ORDER_TOKENS`` suffice."""
 
     def count(batches):
         held, size = [], 0
@@ -87,10 +88,13 @@ def _frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
             yield flush()
 
     rows = docs.select("text").mapInArrow(count, "token long, copies long")
-    top = rows.groupBy("token").agg(F.sum("copies").alias("copies")).orderBy(F.desc("copies"), "token").limit(ORDER_TOKENS).collect()
-    tokens = np.array([r.token for r in top], dtype=np.int64).view(np.uint64)
+    rows = staged(rows.groupBy("token").agg(F.sum("copies").alias("copies")), "repeated", folder)
+    sizes = rows.groupBy("copies").agg(F.count("*").alias("n")).toArrow().sort_by([("copies", "descending")])
+    few = np.cumsum(sizes["n"].to_numpy()) <= ORDER_TOKENS
+    top = rows.where(F.col("copies") >= int(sizes["copies"].to_numpy()[few].min(initial=1 << 62))).toArrow()
+    tokens = top["token"].to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], np.array([r.copies for r in top], dtype=np.float64)[order]
+    return tokens[order], top["copies"].to_numpy().astype(np.float64)[order]
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, order_by: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -244,7 +248,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     small_batches(spark)
     folder = folder or work_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = staged(_prefixes(docs, words, percent, _frequent(docs, words)), "prefixes", folder)
+    rows = staged(_prefixes(docs, words, percent, _frequent(docs, words, folder)), "prefixes", folder)
     head = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
     nodes = rows.where("n > 0").groupBy("digest").agg(F.min("uid").alias("uid"), F.min(head).alias("head"), F.min("doc_id").alias("first_doc"), F.first("n").alias("n"), F.first("central").alias("central"))
     nodes = staged(nodes, "nodes", folder)
@@ -259,6 +263,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
     met = staged(met, "met", steps)
     about = met.groupBy("token").agg(F.count("*").alias("c"), F.max_by("uid", F.struct("central", -F.col("uid"))).alias("pivot")).where("c > 1")
     met = staged(met.join(about, "token"), "tokens", steps)
+    discard(spark, f"{steps}/met")
 
     costs = [F.sum(F.when(F.col("level") <= k, F.col("c")).otherwise(0)).cast("double").alias(f"s{k}") for k in range(1, LEVELS + 1)]
     total = lambda k: F.col(f"s{k}") + F.col(f"s{k}") / k * VERIFY_WEIGHT
@@ -277,6 +282,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, folde
 
     met = met.drop("pivot", "central", "c").join(depth, "uid").join(part, "uid", "left").join(group.select("uid", "grp"), "uid", "left")
     met = staged(met.withColumn("part", F.coalesce("root", "uid")).withColumn("grp", F.coalesce("grp", "uid")).drop("root"), "parts", steps)
+    discard(spark, f"{steps}/tokens")
     floor = lambda n: F.expr(f"({n} * {percent} + 99) div 100")
     need = lambda: F.least(F.greatest("x.ell", "y.ell"), floor("x.n"), floor("y.n"))
     edge = [F.least("x.uid", "y.uid").alias("a"), F.greatest("x.uid", "y.uid").alias("b")]

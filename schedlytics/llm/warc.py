@@ -206,7 +206,8 @@ def records(data: memoryview) -> Iterator[bytes]:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Every record below ``path``: page_id, url, record_type, refers_to, payload (null for a revisit), payload_bytes, payload_digest.
 
-    An archive is one task's input, a frame is decoded at a time. Damage raises an error that names the archive.
+    Archives are read where Spark deals their files out, whole and without a shuffle; a frame is decoded at a time. Damage raises an
+    error that names the archive. Repeated rows are records of their own; a folder without archives gives none.
     """
     small_batches(spark)
     schema = "page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string"
@@ -236,5 +237,5 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield out(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content").repartition(F.col("path"))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     return files.mapInArrow(run, schema)
