@@ -23,6 +23,8 @@ HEADLINE = [
     "duplicate_flag", "restaurant_quartiles", "expanding_stats", "recency_weighted", "prepared_history", "panel_client", "panel_pair", "client_usage",
     "training_features", "lateness_features", "order_schedule_ratio", "client_routing", "schedule_input", "capacity_assign", "cluster_groups",
     "publish_rows", "rule_type_list", "rule_premium_share", "rule_report", "json_branch_docs",
+    "scoring_candidates", "score_attach_branch", "hybrid_predictions", "clean_features", "relevance_share", "candidate_grid", "latest_lateness",
+    "publish_replace", "prepared_history_until",
 ]
 
 
