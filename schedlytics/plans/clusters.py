@@ -35,7 +35,21 @@ def cluster_groups(companies: DataFrame, samples: DataFrame) -> DataFrame:
 
 
 def cluster_predictions(groups: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Predictions of the companies summed per cluster group, area, day, branch and restaurant."""
-    joined = groups.join(predictions, "company_id", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
-    known = joined.where(F.col("schedule_on").isNotNull())
-    return known.groupBy("group_id", "area_id", "schedule_on", "branch_id", "restaurant_id").agg(F.sum("orders").alias("orders"))
+    """Predictions of the companies summed per cluster group, area, day, branch and restaurant.
+
+    Predictions that took the ``member_labels`` of ``groups`` before they were multiplied need no join here; without days they hold for a whole period.
+    """
+    days = [c for c in ("schedule_on",) if c in predictions.columns]
+    if set(LABELS) <= set(predictions.columns):
+        named = predictions.drop("group_id", "area_id").withColumnsRenamed({label: c for label, c in LABELS.items()})
+    else:
+        named = groups.join(predictions, "company_id")
+    return named.groupBy("group_id", "area_id", *days, "branch_id", "restaurant_id").agg(F.sum(F.coalesce("orders", F.lit(0))).alias("orders"))
+
+
+LABELS = {"_cluster_group": "group_id", "_cluster_area": "area_id"}
+
+
+def member_labels(groups: DataFrame) -> DataFrame:
+    """Cluster group and area per company under names that clash with no others."""
+    return groups.select("company_id", *[F.col(c).alias(label) for label, c in LABELS.items()])
