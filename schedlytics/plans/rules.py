@@ -245,18 +245,22 @@ def require_scheduled(pool: DataFrame) -> DataFrame:
 
 
 # The row sets that rules over the pool count by, each a set of these columns.
-COUNTED_BY = ("p_date", "branch_id", "group_id", "restaurant_id", "area_id", "type", "category", "perday_resto", "day")
+COUNTED_BY = ("p_date", "branch_id", "group_id", "restaurant_id", "top_restaurant", "area_id", "type", "category", "perday_resto", "day")
 BRANCH_DAY, CATEGORY, TYPE, PLACED, NEED = (
-    ("p_date", "branch_id"), ("group_id", "category", "perday_resto"), ("p_date", "group_id", "type"), ("p_date", "group_id", "restaurant_id"), ("group_id", "perday_resto", "day"))
+    ("p_date", "branch_id"), ("group_id", "category", "perday_resto"), ("p_date", "group_id", "type"), ("p_date", "group_id", "top_restaurant"), ("group_id", "perday_resto", "day"))
 SINGLE = {"pool_days": "p_date", "branches": "branch_id", "restaurants": "restaurant_id", "areas": "area_id", "groups": "group_id"}
 
 
 def _pool_report(pool: DataFrame, top: DataFrame, type_col: str) -> DataFrame:
-    """One row: every number that comes from pool rows, from one pass over them by grouping sets."""
+    """One row: every number that comes from pool rows, from one pass over them by grouping sets.
+
+    ``top`` has a few rows per group. It meets the pool first, so that the restaurants of a group-day are counted by its top ones only.
+    """
     st, ok = F.col("schedule_status"), F.col("schedule_status") == 0
     sets = [BRANCH_DAY, CATEGORY, TYPE, PLACED, NEED, *[(c,) for c in SINGLE.values()], ()]
     gid = {s: sum(1 << i for i, c in enumerate(reversed(COUNTED_BY)) if c not in s) for s in sets}
-    rows = pool.withColumns({"type": F.col(type_col), "day": F.weekday("p_date"), "_area": F.col("area_id"), "_work": ok & on_working_day(F.col("p_date"))})
+    named_top = top.select("group_id", "restaurant_id", F.col("restaurant_id").alias("top_restaurant"))
+    rows = pool.join(named_top, ["group_id", "restaurant_id"], "left").withColumns({"type": F.col(type_col), "day": F.weekday("p_date"), "_area": F.col("area_id"), "_work": ok & on_working_day(F.col("p_date"))})
     counted = rows.groupingSets([[F.col(c) for c in s] for s in sets], *COUNTED_BY).agg(
         F.grouping_id().alias("gid"), F.count_if(ok).alias("valid"), F.count_if("_work").alias("on_work_days"), F.count_if(st.isNotNull() & ~ok).alias("left_over"),
         F.count_if(ok & (F.col("is_not_blackout") == 0)).alias("blacked"), F.max(F.when(ok, F.col("delivery_capacity"))).alias("capacity"),
@@ -264,7 +268,6 @@ def _pool_report(pool: DataFrame, top: DataFrame, type_col: str) -> DataFrame:
     for limits, name in ((CATEGORY_LIMITS, "first_limit"), (CATEGORY_LIMITS_2, "second_limit")):
         wide = inline_table(pool.sparkSession, "category, `3`, `4`, `5`", limits)
         counted = counted.join(F.broadcast(melt_sizes(wide, "category", ["3", "4", "5"], "perday_resto", name, UNLIMITED)), ["category", "perday_resto"], "left")
-    counted = counted.join(top.select("group_id", "restaurant_id", F.lit(1).alias("is_top")), ["group_id", "restaurant_id"], "left")
 
     of = lambda s, value: F.coalesce(F.sum(F.when(F.col("gid") == gid[s], value)), F.lit(0))
     flag = lambda s, test: of(s, test.cast("int"))
@@ -279,7 +282,7 @@ def _pool_report(pool: DataFrame, top: DataFrame, type_col: str) -> DataFrame:
     # Top restaurants are counted per group-day first; all other rows are one group of sums.
     placed = F.col("gid") == gid[PLACED]
     by_day = counted.groupBy(placed.alias("_placed"), *[F.when(placed, F.col(c)).alias(f"_{c}") for c in GROUP_DAY]).agg(
-        *[v.alias(k) for k, v in sums.items()], of(PLACED, F.when(held, F.col("is_top"))).alias("_hits"))
+        *[v.alias(k) for k, v in sums.items()], flag(PLACED, held & F.col("top_restaurant").isNotNull()).alias("_hits"))
     return by_day.agg(*[F.sum(k).alias(k) for k in sums], F.count_if(F.col("_hits") > 2).alias("top_overlap"))
 
 

@@ -230,7 +230,7 @@ def rule_type_list(v):
         ("Novelty", "new_and_partial", "new_with_partly"), ("Premium", "premium_share", "premium_days")]]]))
 def rule_report(v):
     folder = work_dir(v.spark)
-    staged = sinks.stage(rules.require_scheduled(pool(v)), folder, "pool")
+    staged = rules.require_scheduled(sinks.stage(pool(v), folder, "pool"))
     top = sinks.stage(top5(v), folder, "top")
     days = sinks.stage(rules.group_days(staged), folder, "group_days")
     return rules.report(staged, days, top)

@@ -55,3 +55,25 @@ def test_top_n_is_limited_before_the_shuffle(spark):
 
 def test_expanding_join_keeps_its_layout(spark):
     assert "REPARTITION_BY_NUM" in plan(QUERIES["area_membership"].run(spark, SMALL))
+
+
+def test_rule_report_looks_at_the_written_pool(spark, monkeypatch):
+    from schedlytics.plans import rules
+
+    seen, check = [], rules.require_scheduled
+    monkeypatch.setattr(rules, "require_scheduled", lambda df: seen.append(plan(df)) or check(df))
+    QUERIES["rule_report"].run(spark, SMALL)
+    assert len(seen) == 1 and "l_orderkey" not in seen[0]
+
+
+def test_pool_report_counts_restaurants_of_a_group_day_by_top_ones_only(spark):
+    from schedlytics.plans import rules
+
+    pool = spark.sql("""SELECT date'1998-12-20' AS p_date, id % 2 AS branch_id, 1L AS group_id, id AS restaurant_id, 1L AS area_id, 5 AS type, 1 AS category, 3 AS perday_resto,
+                               0 AS schedule_status, 1 AS is_not_blackout, 1 AS delivery_capacity FROM range(20)""")
+    top = spark.sql("SELECT 1L AS group_id, id AS restaurant_id FROM range(3)")
+    report = rules._pool_report(pool, top, "type")
+    lines = str(report._jdf.queryExecution().optimizedPlan().toString()).splitlines()
+    expand = next(i for i, line in enumerate(lines) if "Expand" in line)
+    assert any("Join LeftOuter" in line for line in lines[expand:])
+    assert report.first().top_overlap == 1 and report.first().restaurants == 20
