@@ -15,6 +15,7 @@ from schedlytics.operators.aggregates import attach_groups
 from schedlytics.operators.dedupe import top_n
 from schedlytics.plans.entities import menu_is_open
 from schedlytics.plans.history import days_since
+from schedlytics.session import work_dir
 from schedlytics.sources.sinks import stage
 
 
@@ -84,13 +85,16 @@ def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame,
                          (["p_date", "branch_id"], [F.max("orders").alias("branch_day_max")]))
 
 
-def relevance_share(history: DataFrame, lo_week: int, hi_week: int, min_orders: int = 5) -> DataFrame:
+def relevance_share(history: DataFrame, lo_week: int, hi_week: int, min_orders: int = 5, folder: str | None = None) -> DataFrame:
     """Mean daily share of a group's delivered orders per (group, restaurant), over the clients active in the weeks.
 
     ``history``: schedule_on, client_id, group_id, restaurant_id, branch_id, delivered, y_week_no. A day's share is that of
-    one branch; the mean is over the branches and days of a restaurant.
+    one branch; the mean is over the branches and days of a restaurant. The sums of the weeks are written below ``folder`` once,
+    because the active clients, the days and their totals all read them.
     """
-    recent = history.where(F.col("y_week_no").between(lo_week, hi_week))
+    sums = (history.where(F.col("y_week_no").between(lo_week, hi_week))
+            .groupBy("client_id", "schedule_on", "group_id", "restaurant_id", "branch_id").agg(F.sum("delivered").alias("delivered")))
+    recent = stage(sums, folder or work_dir(history.sparkSession), "recent_orders")
     active = recent.groupBy("client_id").agg(F.sum("delivered").alias("n")).where(F.col("n") > min_orders).select("client_id")
     daily = (recent.join(active, "client_id", "left_semi")
              .groupBy("schedule_on", "group_id", "restaurant_id", "branch_id").agg(F.sum("delivered").alias("delivered")))

@@ -57,6 +57,10 @@ def test_expanding_join_keeps_its_layout(spark):
     assert "REPARTITION_BY_NUM" in plan(QUERIES["area_membership"].run(spark, SMALL))
 
 
+def test_relevance_reads_the_order_lines_once(spark):
+    assert "l_orderkey" not in plan(QUERIES["relevance_share"].run(spark, SMALL))
+
+
 def test_rule_report_looks_at_the_written_pool(spark, monkeypatch):
     from schedlytics.plans import rules
 
