@@ -60,8 +60,8 @@ def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame,
                    types: Sequence[int], categories: Sequence[int], folder: str, type_col: str = "type") -> DataFrame:
     """Group predictions with everything the scheduler needs; ``predictions``: p_date, group_id, branch_id, restaurant_id, orders.
 
-    The joined table is written below ``folder`` once, because the two group
-    maxima and the result all read it.
+    The joined table is written below ``folder`` once, because the earliest day, the two group
+    maxima and the result all read it. The earliest day is that of all its rows, also of restaurants that are not kept.
     """
     hi = cal.lookback(start, days=1)
     served = branch_area.where(F.col("is_deliverable") == 1).select("branch_id").distinct()
@@ -69,18 +69,18 @@ def schedule_input(predictions: DataFrame, groups: DataFrame, areas: DataFrame,
                      .join(served, "branch_id", "left_semi").select("branch_id", "delivery_capacity"))
     kept = (restaurants.where(F.col("status").isin(1, 2) & F.col("category_status").isin(1, 3) & ~S.is_test(F.col("restaurant_name")))
             .where(F.col(type_col).isin(*types) & F.col("category").isin(*categories))
-            .select("restaurant_id", F.col(type_col).alias("type"), "category", "is_premium"))
+            .select("restaurant_id", F.col(type_col).alias("type"), "category", "is_premium", F.lit(True).alias("_kept")))
     on_menu = menus.where(menu_is_open()).select("restaurant_id").distinct()
     pool = (predictions.join(on_menu, "restaurant_id", "left_semi")
             .join(groups.select("group_id", "area_id", "per_day_restaurants", "is_perk_group"), "group_id", "left")
             .join(areas, "area_id", "left").join(open_branches, "branch_id")
             .join(group_history(schedules, companies, cal.lookback(hi, months=3), hi), ["group_id", "branch_id"], "left"))
-    dated = blackout_flag(days_since(pool, "p_date", "last_schedule_on")).join(kept, "restaurant_id")
-    sized = dated.withColumns({
+    joined = stage(pool.join(kept, "restaurant_id", "left"), folder, "schedule_input")
+    dated = blackout_flag(days_since(joined, "p_date", "last_schedule_on")).where("_kept").drop("_kept")
+    ready = dated.withColumns({
         "per_day_restaurants": S.clamp(F.col("per_day_restaurants"), 3, 5), "day": cal.weekday(F.col("p_date")),
         "y_week_no": cal.year_week(F.col("p_date")), "pair": F.concat_ws("_", "group_id", "restaurant_id"),
     })
-    ready = stage(sized, folder, "schedule_input")
     return attach_groups(ready, (["p_date", "group_id"], [F.max("orders").alias("group_day_max")]),
                          (["p_date", "branch_id"], [F.max("orders").alias("branch_day_max")]))
 

@@ -61,6 +61,15 @@ def test_relevance_reads_the_order_lines_once(spark):
     assert "l_orderkey" not in plan(QUERIES["relevance_share"].run(spark, SMALL))
 
 
+def test_earliest_day_does_not_join_the_pool_again(spark, monkeypatch):
+    from schedlytics.plans import scheduling
+
+    seen, days = [], scheduling.days_since
+    monkeypatch.setattr(scheduling, "days_since", lambda df, *args: seen.append(plan(df)) or days(df, *args))
+    QUERIES["schedule_input"].run(spark, SMALL)
+    assert len(seen) == 1 and "l_orderkey" not in seen[0]
+
+
 def test_rule_report_looks_at_the_written_pool(spark, monkeypatch):
     from schedlytics.plans import rules
 
