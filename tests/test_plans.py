@@ -90,3 +90,12 @@ def test_pool_report_counts_restaurants_of_a_group_day_by_top_ones_only(spark):
     expand = next(i for i, line in enumerate(lines) if "Expand" in line)
     assert any("Join LeftOuter" in line for line in lines[expand:])
     assert report.first().top_overlap == 1 and report.first().restaurants == 20
+
+
+def test_recomputed_report_has_no_window_over_a_dataset(spark):
+    from schedlytics.queries.pipelines import recomputed
+
+    predictions = spark.createDataFrame([("train", 1.0, 1.2), ("train", 3.0, 1.8), ("validation", 2.0, 2.0)], "dataset string, y double, predictions double")
+    report = recomputed(predictions)
+    assert "Window" not in plan(report)
+    assert {r.dataset: (r.records, round(r.mse, 6), r.actual_r2 and round(r.actual_r2, 6)) for r in report.where("dataset = 'train'").collect()} == {"train": (2, 0.5, 0.26)}
