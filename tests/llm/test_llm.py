@@ -457,3 +457,15 @@ def test_wrapped_marks_expressions_and_further_notices():
     assert found("Copyright 2021 The Authors All rights reserved.") == ["Proprietary"]
     assert found("GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999\n\nPreamble") == ["LGPL-2.1-only"]
     assert found("accept cc everything under the public road and the domain") == []
+
+
+def test_index_packs_terms_and_cells_join_segments(spark, monkeypatch):
+    docs = spark.createDataFrame([(59 - i, f"word{i % 7} word{i % 5} common only{i}") for i in range(60)], "doc_id long, text string").repartition(6, "doc_id").cache()
+    # Every segment has a row of doc ids and one of lists.
+    assert search.build_index(docs).count() <= 12
+    asked = docs.where("doc_id % 4 = 0").selectExpr("doc_id as query_id", "text")
+    found = lambda: sorted(tuple(r) for r in search.search(docs, asked, k=5).collect())
+    whole = found()
+    monkeypatch.setattr(search, "CELL_WORDS", 1)
+    monkeypatch.setattr(search, "PACKED", 3)
+    assert len(whole) == 15 * 5 and found() == whole
