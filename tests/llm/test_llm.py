@@ -345,6 +345,28 @@ def test_wand_skips_blocks_that_cannot_reach_the_floor():
     assert seen["skipped"] > 10 * seen["scored"] > 0
 
 
+def test_wand_of_many_queries_keeps_their_best_from_segment_to_segment():
+    """Segments before raise the floor of those behind; ties go by doc_id, null last, wherever the docs are."""
+    rng, best, totals, seen = np.random.default_rng(8), search.Best(70, 5), [Counter() for _ in range(70)], {}
+    asked = [np.sort(rng.choice(90, rng.integers(0, 60), replace=False)) for _ in range(70)]
+    bounds, terms = np.append(0, np.cumsum([len(t) for t in asked])), np.concatenate(asked)
+    for turn, block in enumerate((16, 512, 16, 512)):
+        n, strength = 700, [3000, 2, 2, 3000][turn]
+        lists = [(at := np.unique(rng.integers(0, n, rng.integers(1, [400, 30][k % 2]))), rng.integers(1, strength, len(at))) for k in range(90)]
+        ids, unknown = 4 * rng.permutation(n) + turn, rng.random(n) < 0.1
+        one = search.Segment(np.concatenate([d for d, _ in lists]), np.concatenate([v for _, v in lists]), np.array([len(d) for d, _ in lists]), block, ids, unknown)
+        before = dict(seen)
+        one.wand_all(bounds, terms, best, seen)
+        assert turn != 2 or seen["scored"] == before["scored"]
+        for total, own in zip(totals, asked, strict=True):
+            for t in own:
+                for d, v in zip(*(x.tolist() for x in lists[t]), strict=True):
+                    total[(bool(unknown[d]), int(ids[d]))] += v
+    for q, total in enumerate(totals):
+        expected = sorted(((-v, *d) for d, v in total.items()))[:5]
+        assert [(-s, u, d) for s, u, d in zip(best.scores[q], best.unknown[q], best.ids[q], strict=True) if s] == expected
+
+
 def test_masked_lm_beats_word_frequencies(spark, docs, none, tmp_path):
     table = spark.read.parquet(f"{SMALL.replace('sf0.001', 'sf0.01')}/documents.parquet")
     words = masked_lm.vocabulary(table, str(tmp_path))
