@@ -423,6 +423,38 @@ def test_masked_lm_trains_on_every_token(spark, tmp_path):
     assert logs.min() > -np.log(masked_lm.CLASSES)
 
 
+def test_masked_lm_counts_every_word_by_itself(spark, tmp_path, monkeypatch):
+    """Words whose hashes agree in their last 20 bits have counts of their own, carried or joined; a text that occurs twice scores above one of as rare words."""
+    seen, pair = {}, None
+    for k in range(20_000):
+        name = f"w{k}"
+        bits = int(words_of(pa.array([name], pa.large_string())).hashes()[0]) % (1 << 20)
+        if bits in seen:
+            pair = seen[bits], name
+            break
+        seen[bits] = name
+    common = " ".join(f"c{k} " * 40 for k in range(masked_lm.TOP))
+    texts = [common, " ".join([pair[0]] * 30), pair[1], *[" ".join(f"t{k}x{i}" for i in range(30)) for k in range(20)] * 2, *[" ".join(f"o{k}x{i}" for i in range(30)) for k in range(20)], None, ""]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    count = Counter(w for t in texts for w in (t or "").split())
+    hashed = {w: int(words_of(pa.array([w], pa.large_string())).hashes()[0]) for w in count}
+    frequent = {w for w in count if w[0] == "c"}
+    total, kinds = Counter(), Counter()
+    for w in count.keys() - frequent:
+        total[hashed[w] % masked_lm.HASHED] += count[w]
+        kinds[hashed[w] % masked_lm.HASHED] += 1
+    log = lambda w: 0 if w in frequent else math.log((count[w] - 0.5) / (total[hashed[w] % masked_lm.HASHED] - 1 + 0.5 * kinds[hashed[w] % masked_lm.HASHED]))
+    for carried in (masked_lm.CARRIED, 700, 0):
+        monkeypatch.setattr(masked_lm, "CARRIED", carried)
+        words = masked_lm.vocabulary(table, str(tmp_path / str(carried)))
+        assert len(words.carried) + words.rest.count() == len(count) - masked_lm.TOP and len(words.carried) <= carried
+        got = {r.doc_id: r.inside for r in masked_lm.encode(table, words).collect()}
+        assert all(math.isclose(got[k], sum(map(log, (t or "").split())), rel_tol=1e-9, abs_tol=1e-9) for k, t in enumerate(texts))
+    assert not math.isclose(log(pair[0]), log(pair[1]), abs_tol=1)
+    score = {r.doc_id: r.pll_mean for r in masked_lm.pseudo_likelihood(table).collect()}
+    assert min(score[k] for k in range(3, 43)) > max(score[k] for k in range(43, 63))
+
+
 @pytest.mark.parametrize("scale", [1, 400])
 def test_descent_follows_the_plain_gradient(scale):
     """One-hot matrices and a shifted softmax give the same gradients, with small weights and with ones that need the shift."""
