@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from schedlytics import contract
 from schedlytics.functions import calendar as cal
 from schedlytics.operators import joins
+from schedlytics.operators.dedupe import keep_one
 from schedlytics.plans import clusters, lateness, model
 from schedlytics.queries import load, pipelines
+from schedlytics.sources.views import Views
 
 QUERIES = load()
 
@@ -30,6 +32,26 @@ def test_expanding_join_with_facts_equals_two_plain_joins(spark, how):
     assert rows(got.select("area_id", "c", "b", "n", "v", "t")) == rows(want.select("area_id", "c", "b", "n", "v", "t"))
 
 
+@pytest.mark.parametrize(("lists", "cells"), [(64, 16), (4, 4), (2, 1)])
+def test_a_left_row_is_moved_once_for_many_lists(spark, monkeypatch, lists, cells):
+    """Rows that are dealt out to cells, and pairs with their facts however the lists are cut into cells."""
+    monkeypatch.setattr(joins, "LISTS", lists)
+    monkeypatch.setattr(joins, "KEY_CELLS", cells)
+    left = spark.createDataFrame([(i, i % 2) for i in range(400)], "c long, area_id long")
+    right = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(3, 0), (7, None)], "b long, area_id long")
+    facts = spark.createDataFrame([(c, b, c * 1000 + b) for c in range(0, 400, 7) for b in range(0, 200, 3)], "c long, b long, v long")
+    dealt, deal = [], type(left).repartition
+    monkeypatch.setattr(type(left), "repartition", lambda df, *how: dealt.append(df) or deal(df, *how))
+    for known in (None, facts):
+        got = joins.expanding_join(left, right, "area_id", left_rows=50, right_rows=10, facts=known, on=("c", "b"))
+        want = left.join(right, "area_id")
+        want = want if known is None else want.join(facts, ["c", "b"], "left")
+        assert rows(got.select(want.columns)) == rows(want)
+    # A key has 4 lines and 10 or 11 lists.
+    columns = max(-(-11 // lists), -(-cells // 4))
+    assert all(df.count() <= 400 * columns < 4000 * max(1, columns // 10) for df in dealt) and len(dealt) == 2
+
+
 def test_equal_right_rows_spread_over_lists(spark):
     left = spark.createDataFrame([(1, 0)], "c long, area_id long")
     right = spark.createDataFrame([(7, 0)] * 4000, "b long, area_id long")
@@ -97,3 +119,19 @@ def test_shaped_columns_stay_as_they_are(spark):
     assert rows(plain) == rows(early) and [f.dataType for f in plain.schema] == [f.dataType for f in early.schema]
     days = cal.date_spine(spark.range(1), date(2024, 2, 28), date(2024, 3, 2))
     assert [r[0] for r in days.select(cal.day_text(F.col("schedule_on"), date(2024, 2, 28), date(2024, 3, 2))).collect()] == ["2024-02-28", "2024-02-29", "2024-03-01", "2024-03-02"]
+
+
+def test_one_row_per_key_moves_its_order_once(spark):
+    df = spark.createDataFrame([(1, 5, None, "a"), (1, 5, 2, "b"), (1, None, 9, "c"), (None, 1, 1, None), (2, 3, 3, "x")], "k long, a long, b long, t string")
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    for last, want in ((True, [(1, 5, 2), (2, 3, 3), (None, 1, 1)]), (False, [(1, None, 9), (2, 3, 3), (None, 1, 1)])):
+        one = keep_one(df.select("k", "a", "b"), ["k"], ["a", "b"], last)
+        assert rows(one) == sorted(want, key=repr) and "_by(" not in plan(one)
+        assert rows(one) == rows(keep_one(df, ["k"], ["a", "b"], last).drop("t")) and "_by(" in plan(keep_one(df, ["k"], ["a", "b"], last))
+
+
+def test_first_orders_are_those_of_the_days_that_are_scheduled(spark):
+    v = Views(spark, SMALL)
+    scheduled = pipelines.client_schedules(v).select("schedule_on").distinct()
+    first = pipelines.first_orders(v)
+    assert first.count() == v.order_rows.join(scheduled, "schedule_on").count() < v.order_rows.count()
