@@ -11,7 +11,7 @@ from schedlytics import contract
 from schedlytics.functions import calendar as cal
 from schedlytics.operators import joins
 from schedlytics.operators.dedupe import keep_one
-from schedlytics.plans import clusters, lateness, model
+from schedlytics.plans import candidates, clusters, lateness, model, ratio
 from schedlytics.queries import load, pipelines
 from schedlytics.sources.views import Views
 
@@ -135,3 +135,29 @@ def test_first_orders_are_those_of_the_days_that_are_scheduled(spark):
     scheduled = pipelines.client_schedules(v).select("schedule_on").distinct()
     first = pipelines.first_orders(v)
     assert first.count() == v.order_rows.join(scheduled, "schedule_on").count() < v.order_rows.count()
+
+
+def test_label_sums_equal_those_of_the_pairs(spark):
+    clients = spark.createDataFrame([(1, 7, "a"), (2, 7, "a"), (3, 7, None), (3, 7, None), (4, 8, "b"), (5, None, "b")], "company_id long, area_id long, label string")
+    offers = spark.createDataFrame([(7, 10, 1, 2.0), (7, 11, 1, 2.0), (7, 11, 1, 2.0), (7, 20, 2, 0.0), (8, 20, 2, 5.0), (None, 30, 3, 1.0)], "area_id long, branch_id long, restaurant_id long, fallback double")
+    history = spark.createDataFrame([(1, 1, 9.0), (3, 1, 0.0), (3, 2, 4.0), (4, 1, 8.0), (9, 2, 6.0)], "company_id long, restaurant_id long, own double")
+    pairs = clients.join(offers, "area_id").join(history, ["company_id", "restaurant_id"], "left")
+    want = pairs.groupBy("label", "branch_id", "restaurant_id").agg(F.sum(F.coalesce("own", "fallback")).alias("ots"))
+    assert rows(ratio.label_sums(clients, offers, history, ["label"]).select(want.columns)) == rows(want)
+
+
+def test_counts_equal_those_of_the_pairs(spark):
+    left = spark.createDataFrame([(i, i % 3 if i % 4 else None) for i in range(50)], "c long, area_id long")
+    right = spark.createDataFrame([(i, i % 3 if i % 7 else None, "x" if i % 2 else None) for i in range(40)] * 2 + [(1, 9, "z")], "b long, area_id long, reason string")
+    want = left.join(right, "area_id").groupBy("reason").agg(F.count("*").alias("n"))
+    assert rows(joins.expanding_counts(left, right, "area_id", ["reason"])) == rows(want)
+
+
+@pytest.mark.parametrize("name", ["cluster_predictions", "model_rejects"])
+def test_sums_and_counts_do_not_repeat_clients(spark, monkeypatch, name):
+    """No client row is repeated for the branches of its area: where sides are expanded, they hold groups."""
+    expanded, keep = [], joins.expanding_join
+    for module in (ratio, candidates):
+        monkeypatch.setattr(module, "expanding_join", lambda left, right, key, **how: expanded.append(left.columns) or keep(left, right, key, **how))
+    QUERIES[name].run(spark, SMALL)
+    assert not [c for c in expanded if {"company_id", "client_id"} & set(c)]
